@@ -1,34 +1,21 @@
-"""Small column expressions shared by the operators."""
+"""Small expressions shared by the operators."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def ratio(top: Column, bottom: Column) -> Column:
+def ratio_sql(top: str, bottom: str) -> str:
     """``top / bottom`` where ``bottom`` is positive, else NULL. Safe under ANSI mode."""
-    return F.when(bottom > 0, top / bottom)
+    return f"CASE WHEN {bottom} > 0 THEN {top} / {bottom} END"
 
 
-def finite_or_zero(c: Column) -> Column:
-    """NULL, NaN and infinities become 0.0 (NaN orders above infinity, so one test covers all)."""
-    return F.when(F.abs(c) < F.lit(float("inf")), c).otherwise(F.lit(0.0))
-
-
-def scaled(c: Column, low: Column, high: Column) -> Column:
+def scaled_sql(value: str, low: str, high: str) -> str:
     """Min-max scaling; the small term keeps a constant column at 0 instead of dividing by zero."""
-    return (c - low) / (high - low + 1e-9)
-
-
-def total(terms: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
-
-
-def all_of(conditions: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+    return f"({value} - {low}) / ({high} - {low} + 1e-9D)"
 
 
+def finite_or_zero(c: Column) -> Column:
+    """NULL, NaN and infinities become 0.0 (NaN orders above infinity, so one test covers all)."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c).otherwise(F.lit(0.0))

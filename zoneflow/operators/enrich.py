@@ -50,13 +50,13 @@ def with_weather(trips: DataFrame, weather: DataFrame, window: MonthWindow | Non
     With a month window the weather side holds at most one row per hour of it, which proves that it
     can be broadcast. Each side is one row per time step, so no trip is multiplied.
     """
-    pickup = F.col("tpep_pickup_datetime")
+    pickup = "tpep_pickup_datetime"
     if window:
         weather = weather.filter(in_window("date", window))
     hourly = unique_weather(weather, "hourly", F.col("date"), TRIP_WEATHER_HOURLY).withColumnRenamed("at", "_hour")
     daily = unique_weather(weather, "daily", F.to_date("date"), TRIP_WEATHER_DAILY).withColumnRenamed("at", "_day")
     # Sub-hour time stamps never match a pickup hour; without them the bound on the hourly side holds.
-    hourly = hourly.filter(F.col("_hour") == hour_floor(F.col("_hour")))
+    hourly = hourly.filter(F.col("_hour") == hour_floor("_hour"))
     joined = trips.join(bounded(hourly, window and window.hours), hour_floor(pickup) == F.col("_hour"), "left")
     joined = joined.join(bounded(daily, window and window.hours), F.to_date(pickup) == F.col("_day"), "left")
     return joined.drop("_hour", "_day")

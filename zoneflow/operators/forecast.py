@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from zoneflow.config import (
     FEATURES, HOUR_WEATHER_MEANS, MAX_HORIZON_HOURS, RANK_SIGNALS, SAME_HOUR_MEASURES, ZONE_HOUR_MEANS,
 )
-from zoneflow.functions.calendar import CALENDAR_COLUMNS, ntz, plus_hours, with_calendar
+from zoneflow.functions.calendar import CALENDAR_COLUMNS, ntz, plus_hours, with_calendar, with_sql
 from zoneflow.operators.hourly import rolling_columns
 from zoneflow.operators.quantiles import column_medians
 
@@ -136,7 +136,7 @@ def time_lag_join(grid: DataFrame, history: DataFrame, first: Column, hours: int
     sent = sent.withColumn("ts_hour", plus_hours(F.col("ts_hour"), F.col("_k"))).filter(
         F.col("ts_hour").between(first, last))
     lags = [
-        F.max(F.when(F.col("_k") == k, F.col(source))).alias(feature)
+        F.expr(f"max(CASE WHEN _k = {k} THEN {source} END) AS {feature}")
         for k, columns in plan.items() for source, feature in columns.items() if source in sources
     ]
     return grid.join(sent.groupBy("PUZone", "ts_hour").agg(*lags), ["PUZone", "ts_hour"], "left")
@@ -144,19 +144,15 @@ def time_lag_join(grid: DataFrame, history: DataFrame, first: Column, hours: int
 
 def lag_derived(lagged: DataFrame, weekly_activity: bool = True) -> DataFrame:
     """Momentum and stability of a future row, from its lags alone."""
-    c = F.col
-    std = F.coalesce("rolling_24h_rph_std", F.lit(0.0))
-    mean = F.coalesce("rolling_24h_rph_mean", F.lit(0.0))
     columns = {
-        "trip_count_delta_1h": c("lag_1h_trip_count") - c("lag_2h_trip_count"),
-        "rph_delta_1h": c("lag_1h_rph") - c("lag_2h_rph"),
-        "rph_zscore": (c("lag_1h_rph") - c("rolling_24h_rph_mean")) / (std + 1e-6),
-        "rph_cv": std / (mean + 1e-6),
+        "trip_count_delta_1h": "lag_1h_trip_count - lag_2h_trip_count",
+        "rph_delta_1h": "lag_1h_rph - lag_2h_rph",
+        "rph_zscore": "(lag_1h_rph - rolling_24h_rph_mean) / (coalesce(rolling_24h_rph_std, 0D) + 1e-6D)",
+        "rph_cv": "coalesce(rolling_24h_rph_std, 0D) / (coalesce(rolling_24h_rph_mean, 0D) + 1e-6D)",
     }
     if weekly_activity:
-        columns["relative_zone_activity"] = c("lag_1h_trip_count") / F.nullif(
-            c("rolling_168h_trip_mean"), F.lit(0.0))
-    return lagged.withColumns(columns)
+        columns["relative_zone_activity"] = "lag_1h_trip_count / nullif(rolling_168h_trip_mean, 0D)"
+    return with_sql(lagged, columns)
 
 
 def zone_hour_means(history: DataFrame) -> DataFrame:
@@ -183,19 +179,19 @@ def fill_missing(future: DataFrame, history: DataFrame, features: Sequence[str]
     fillable = [c for c in features if not (c in always_there and c in future.columns)]
     known = [c for c in fillable if c in history.columns]
     frame = future
-    overall = None
     if known:
         by_zone = column_medians(history, known, ["PUZone"]).withColumnsRenamed({c: f"_zone_{c}" for c in known})
-        frame = frame.join(by_zone, "PUZone", "left")
+        # The medians of all zones are one row, read once as a subquery.
         overall = column_medians(history, known).select(F.struct(*known)).scalar()
+        frame = frame.join(by_zone, "PUZone", "left").withColumn("_all", overall)
 
-    def filled(c: str) -> Column:
-        sources = [F.col(c).cast("double")] if c in future.columns else []
+    def filled(c: str) -> str:
+        sources = [f"double({c})"] if c in future.columns else []
         if c in known:
-            sources += [F.col(f"_zone_{c}"), overall[c]]
-        return F.coalesce(*sources, F.lit(0.0))
+            sources += [f"_zone_{c}", f"_all.{c}"]
+        return f"coalesce({', '.join([*sources, '0D'])})"
 
-    return frame.withColumns({c: filled(c) for c in fillable}).drop(*[f"_zone_{c}" for c in known])
+    return with_sql(frame, {c: filled(c) for c in fillable}).drop("_all", *[f"_zone_{c}" for c in known])
 
 
 def forecast_window_check(future: DataFrame, first: Column, hours: int) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.config import SAME_HOUR_MEASURES, TRIP_LIMITS, MonthWindow, StoreConfig
-from zoneflow.functions.calendar import with_calendar
-from zoneflow.functions.scalar import ratio
-from zoneflow.operators.quantiles import join_back, locate, resolve, value_bin, value_counts
+from zoneflow.functions.calendar import with_calendar, with_sql
+from zoneflow.functions.scalar import ratio_sql
+from zoneflow.operators.quantiles import bin_sql, key_sql, locate, resolve, value_counts
 from zoneflow.sources.sinks import in_month
 
 CELL = ("PUZone", "PUBorough", "ts_hour")
@@ -22,15 +22,15 @@ CELL_MEANS = {
     "target_rph": "revenue_per_hour",
     "avg_revenue": "revenue",
     "avg_tip": "tip_amount",
-    "tip_rate": "CASE WHEN tip_amount > 0 THEN 1.0D ELSE 0.0D END",
+    "tip_rate": "CASE WHEN tip_amount > 0 THEN 1D ELSE 0D END",
     "avg_distance_mi": "trip_distance",
     "avg_duration_min": "trip_duration_min",
     "precipitation": "precipitation",
     "temperature": "apparent_temperature",
     "wind_speed": "wind_speed_10m",
-    "frac_raining": "CAST(is_raining AS DOUBLE)",
-    "frac_airport_pickup": "CAST(is_airport_pickup AS DOUBLE)",
-    "frac_airport_dropoff": "CAST(is_airport_dropoff AS DOUBLE)",
+    "frac_raining": "double(is_raining)",
+    "frac_airport_pickup": "double(is_airport_pickup)",
+    "frac_airport_dropoff": "double(is_airport_dropoff)",
 }
 CELL_QUANTILES = {"median_rph": 0.5, "p75_rph": 0.75}
 
@@ -42,23 +42,18 @@ def hourly_pickups(trips: DataFrame, limits: dict = TRIP_LIMITS) -> DataFrame:
     bin counts behind the quantiles; a second, four-column pass counts the values for the quantiles. The
     calendar depends on the hour alone and is added after grouping instead of widening the key.
     """
-    low, high = limits["revenue_per_hour"]
-    binned = trips.withColumn("_bin", value_bin(F.col("revenue_per_hour"), low, high))
-
-    parts = [F.count("*").alias("_c")]
+    key, bin_number = key_sql(CELL), bin_sql("revenue_per_hour", *limits["revenue_per_hour"])
+    parts = ["count(*) AS _c"]
     for name, source in CELL_MEANS.items():
-        parts += [F.sum(F.expr(source)).alias(f"_{name}_sum"), F.count(F.expr(source)).alias(f"_{name}_n")]
-    by_bin = binned.groupBy(*CELL, "_bin").agg(*parts)
-
-    totals = {"trip_count": F.sum("_c")}
-    for name in CELL_MEANS:
-        totals[name] = ratio(F.sum(f"_{name}_sum"), F.sum(f"_{name}_n"))
-    cells = locate(by_bin, CELL, CELL_QUANTILES, totals)
+        parts += [f"sum({source}) AS _s_{name}", f"count({source}) AS _n_{name}"]
+    by_bin = with_sql(trips, {"_bin": bin_number}).groupBy(F.expr(key), "_bin").agg(*[F.expr(p) for p in parts])
 
-    values = binned.filter("revenue_per_hour IS NOT NULL").select(*CELL, "_bin", "revenue_per_hour")
-    quantiles = resolve(value_counts(values, CELL, "revenue_per_hour"), CELL, cells, CELL_QUANTILES)
-    cells = join_back(cells.select(*CELL, *totals), quantiles, CELL)
-    return with_calendar(cells).withColumn("service_date", F.to_date("ts_hour"))
+    totals = {"trip_count": "sum(_c)"}
+    totals |= {name: f"try_divide(sum(_s_{name}), sum(_n_{name}))" for name in CELL_MEANS}
+    values = trips.selectExpr(key, f"{bin_number} AS _bin", "revenue_per_hour AS _v").filter("_v IS NOT NULL")
+    cells = resolve(value_counts(values), locate(by_bin, CELL_QUANTILES, totals), CELL_QUANTILES, carry=list(totals))
+    cells = cells.selectExpr("_k.*", *totals, *CELL_QUANTILES)
+    return with_calendar(cells).selectExpr("*", "to_date(ts_hour) AS service_date")
 
 
 def hourly_dropoffs(trips: DataFrame) -> DataFrame:
@@ -70,9 +65,9 @@ def pickup_dropoff_flow(pickups: DataFrame, dropoffs: DataFrame) -> DataFrame:
     """Pickups with the arrivals of the same zone and hour; no arrivals count as 0."""
     arrivals = dropoffs.withColumnRenamed("zone", "PUZone")
     merged = pickups.join(arrivals, ["PUZone", "ts_hour"], "left").fillna(0, ["dropoff_count"])
-    return merged.withColumns({
-        "net_pickup_flow": F.col("trip_count") - F.col("dropoff_count"),
-        "pickup_dropoff_ratio": ratio(F.col("trip_count").cast("double"), F.col("dropoff_count")),
+    return with_sql(merged, {
+        "net_pickup_flow": "trip_count - dropoff_count",
+        "pickup_dropoff_ratio": ratio_sql("double(trip_count)", "dropoff_count"),
     })
 
 
@@ -103,18 +98,18 @@ ROLLING = {
 
 
 def lag_columns() -> dict[str, Column]:
-    return {name: F.lag(source, k).over(_by_zone()) for name, (source, k) in LAGS.items()}
+    by_zone = _by_zone()
+    return {name: F.lag(source, k).over(by_zone) for name, (source, k) in LAGS.items()}
 
 
 def rolling_columns(names=tuple(ROLLING), include_current: bool = False) -> dict[str, Column]:
     """Means and deviations over the rows before the current one (or up to it)."""
     last = 0 if include_current else -1
-    columns = {}
-    for name in names:
-        aggregate, source, rows = ROLLING[name]
-        frame = _by_zone().rowsBetween(last - rows + 1, last)
-        columns[name] = aggregate(source).over(frame)
-    return columns
+    by_zone = _by_zone()
+    return {
+        name: aggregate(source).over(by_zone.rowsBetween(last - rows + 1, last))
+        for name, (aggregate, source, rows) in ROLLING.items() if name in names
+    }
 
 
 def lag_features(flow: DataFrame) -> DataFrame:
@@ -131,34 +126,34 @@ def derived_features(lagged: DataFrame, compat: bool = True) -> DataFrame:
     In compatible mode ``rph_delta_1h`` and ``rph_zscore`` use the hour's own revenue; otherwise the
     last known hour's, as a forecast has to.
     """
-    c = F.col
-    speed = c("avg_distance_mi") / (c("avg_duration_min") / 60.0)
-    moving = (c("avg_duration_min") > 0) & (c("avg_distance_mi") > 0)
-    now, previous = (c("target_rph"), c("lag_1h_rph")) if compat else (c("lag_1h_rph"), c("lag_2h_rph"))
-    return lagged.withColumns({
-        "trip_count_delta_1h": c("lag_1h_trip_count") - c("lag_2h_trip_count"),
-        "demand_vs_baseline": ratio(c("trip_count"), c("rolling_24h_trip_mean")),
-        "rph_delta_1h": now - previous,
-        "rph_zscore": ratio(now - c("rolling_24h_rph_mean"), c("rolling_24h_rph_std")),
-        "avg_speed_mph": F.when(c("avg_duration_min") > 0, speed),
-        "congestion_score": F.when(moving, 1.0 / speed),
-        "precipitation_delta": c("precipitation") - F.lag("precipitation", 1).over(_by_zone()),
-        "rph_cv": ratio(c("rolling_24h_rph_std"), c("rolling_24h_rph_mean")),
-        "relative_zone_activity": ratio(c("lag_1h_trip_count"), c("rolling_168h_trip_mean")),
+    now, previous = ("target_rph", "lag_1h_rph") if compat else ("lag_1h_rph", "lag_2h_rph")
+    speed = "(avg_distance_mi / (avg_duration_min / 60D))"
+    derived = with_sql(lagged, {
+        "trip_count_delta_1h": "lag_1h_trip_count - lag_2h_trip_count",
+        "demand_vs_baseline": ratio_sql("trip_count", "rolling_24h_trip_mean"),
+        "rph_delta_1h": f"{now} - {previous}",
+        "rph_zscore": ratio_sql(f"({now} - rolling_24h_rph_mean)", "rolling_24h_rph_std"),
+        "avg_speed_mph": f"CASE WHEN avg_duration_min > 0 THEN {speed} END",
+        "congestion_score": f"CASE WHEN avg_duration_min > 0 AND avg_distance_mi > 0 THEN 1D / {speed} END",
+        "rph_cv": ratio_sql("rolling_24h_rph_std", "rolling_24h_rph_mean"),
+        "relative_zone_activity": ratio_sql("lag_1h_trip_count", "rolling_168h_trip_mean"),
     })
+    return derived.withColumn("precipitation_delta", F.col("precipitation") - F.lag("precipitation", 1).over(_by_zone()))
 
 
 def shifted_features(derived: DataFrame) -> DataFrame:
     """Every same-hour measure as the value of the zone's previous row."""
-    return derived.withColumns({f"lag1h_{m}": F.lag(m, 1).over(_by_zone()) for m in SAME_HOUR_MEASURES})
+    by_zone = _by_zone()
+    return derived.withColumns({f"lag1h_{m}": F.lag(m, 1).over(by_zone) for m in SAME_HOUR_MEASURES})
 
 
 def hour_grid(cells: DataFrame) -> DataFrame:
     """Every clock hour of each zone between its first and last cell; added hours have NULL measures."""
-    spans = cells.groupBy("PUZone", "PUBorough").agg(F.min("ts_hour").alias("a"), F.max("ts_hour").alias("b"))
-    step = F.make_dt_interval(F.lit(0), F.lit(1))
-    hours = spans.select("PUZone", "PUBorough", F.explode(F.sequence("a", "b", step)).alias("ts_hour"))
-    return join_back(hours, cells, CELL)
+    spans = cells.groupBy("PUZone", "PUBorough").agg(F.expr("min(ts_hour) AS a"), F.expr("max(ts_hour) AS b"))
+    hours = spans.selectExpr("PUZone", "PUBorough", "explode(sequence(a, b, INTERVAL 1 HOUR)) AS ts_hour")
+    # The struct key lets the NULL zone meet its own cells.
+    keyed = hours.selectExpr(key_sql(CELL)).join(cells.selectExpr(key_sql(CELL), "struct(*) AS c"), "_k", "left")
+    return keyed.selectExpr("_k.*", *[f"c.`{name}`" for name in cells.columns if name not in CELL])
 
 
 def store_features(flow: DataFrame, config: StoreConfig = StoreConfig()) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.config import DEGRADED_PCT, FEATURES, SplitConfig
-from zoneflow.functions.scalar import total
+from zoneflow.functions.calendar import with_sql
 from zoneflow.operators.quantiles import column_medians, exact_quantiles
 
 CATEGORIES = {"PUZone": "PUZone_enc", "PUBorough": "PUBorough_enc"}
@@ -59,7 +59,7 @@ def split_known(df: DataFrame, labels: dict[str, DataFrame]) -> tuple[DataFrame,
 def known_category_filter(df: DataFrame, labels: dict[str, DataFrame]) -> DataFrame:
     """Rows whose categories the labels know, as semi joins: nothing is added to the row."""
     for column, names in labels.items():
-        df = df.join(names.select(column).distinct(), column, "left_semi")
+        df = df.join(names.select(column), column, "left_semi")
     return df
 
 
@@ -91,26 +91,22 @@ def time_split(df: DataFrame, split: SplitConfig = SplitConfig(), order: Sequenc
     into, whose rows are numbered by zone.
     """
     cut = _cutoffs(df, split).select(F.struct("*")).scalar()
-    hour = F.col("ts_hour")
-    train_hour, valid_hour = cut["train_hour"], cut["valid_hour"]
-
-    def label(train: Column, valid: Column) -> Column:
-        return F.when(train, "train").when(valid, "valid").otherwise("test")
+    placed = df.withColumn("_cut", cut)
 
     # A cutoff at 0 rows has no hour: comparing with it is unknown, and nothing lies before it.
-    at_train, at_valid = (F.coalesce(hour == h, F.lit(False)) for h in (train_hour, valid_hour))
-    edge = at_train | at_valid
-    inside = df.filter(~edge).withColumn("split", label(hour < train_hour, hour < valid_hour))
-    numbered = df.filter(edge).withColumn(
-        "_row", F.row_number().over(
-            Window.partitionBy("ts_hour").orderBy(*[F.col(c).asc_nulls_last() for c in order])))
+    def before(cutoff: str, numbered: bool) -> str:
+        return f"ts_hour < _cut.{cutoff}_hour" + (
+            f" OR (ts_hour = _cut.{cutoff}_hour AND _row <= _cut.{cutoff}_take)" if numbered else "")
 
-    def taken(cut_hour: Column, take: Column) -> Column:
-        return (hour < cut_hour) | ((hour == cut_hour) & (F.col("_row") <= take))
+    def label(numbered: bool) -> str:
+        return (f"CASE WHEN {before('train', numbered)} THEN 'train' WHEN {before('valid', numbered)} THEN 'valid' "
+                "ELSE 'test' END AS split")
 
-    on_edge = numbered.withColumn(
-        "split", label(taken(train_hour, cut["train_take"]), taken(valid_hour, cut["valid_take"]))).drop("_row")
-    return inside.unionByName(on_edge)
+    edge = "coalesce(ts_hour = _cut.train_hour, false) OR coalesce(ts_hour = _cut.valid_hour, false)"
+    inside = placed.filter(f"NOT ({edge})").selectExpr("*", label(numbered=False))
+    by_name = Window.partitionBy("ts_hour").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    on_edge = placed.filter(edge).withColumn("_row", F.row_number().over(by_name)).selectExpr("*", label(numbered=True))
+    return inside.unionByName(on_edge.drop("_row")).drop("_cut")
 
 
 def tip_label(parts: DataFrame) -> DataFrame:
@@ -123,7 +119,7 @@ def tip_label(parts: DataFrame) -> DataFrame:
 
 def competition_target() -> Column:
     parts = ("lag_1h_trip_count", "rolling_24h_rph_std", "congestion_score")
-    return total(F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in parts)
+    return F.expr(" + ".join(f"coalesce(double({c}), 0D)" for c in parts))
 
 
 def existing(df: DataFrame, names: Sequence[str] = FEATURES) -> list[str]:
@@ -134,8 +130,8 @@ def existing(df: DataFrame, names: Sequence[str] = FEATURES) -> list[str]:
 def median_impute(parts: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs of ``columns`` become the exact median of the train part, in every part."""
     medians = column_medians(parts.filter(F.col("split") == "train"), columns)
-    value = medians.select(F.struct(*columns)).scalar()
-    return parts.withColumns({c: F.coalesce(F.col(c).cast("double"), value[c]) for c in columns})
+    known = parts.withColumn("_train", medians.select(F.struct(*columns)).scalar())
+    return with_sql(known, {c: f"coalesce(double({c}), _train.{c})" for c in columns}).drop("_train")
 
 
 # Layer -> (metric, target, prediction).

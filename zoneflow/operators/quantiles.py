@@ -10,108 +10,93 @@ range is cut into equal bins and the work is split by (group, bin):
 
 No row is dropped or sampled: a value outside the chosen bins cannot be the answer. The largest piece of
 work in one task is the distinct values of one bin of one group.
+
+A group travels as one struct column, ``_k``. A struct treats its NULL fields as equal, so groups with a
+NULL key join by plain equality, and grouping, windows and joins agree on one partitioning.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 2048
 
 
-def value_bin(value: Column, low: Column | float, high: Column | float, bins: int = BINS) -> Column:
-    """Bin number of a value, in value order. Every step is monotone in ``value``, so bins never
-    overlap; values outside the limits fall into the edge bins."""
-    low = F.lit(low) if isinstance(low, (int, float)) else low
-    high = F.lit(high) if isinstance(high, (int, float)) else high
-    share = F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
-    number = F.least(F.greatest(F.floor(share * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
-    return F.when(value.isNotNull(), number)
+def key_sql(keys: Sequence[str]) -> str:
+    return f"struct({', '.join(keys)}) AS _k" if keys else "named_struct('all', 1) AS _k"
+
+
+def bin_sql(value: str, low: float | str, high: float | str, bins: int = BINS) -> str:
+    """Bin number of a value, in value order; NULL for NULL. Every step is monotone in ``value``, so bins
+    never overlap; values outside the limits fall into the edge bins."""
+    low, high = (f"{x}D" if isinstance(x, (int, float)) else x for x in (low, high))
+    share = f"CASE WHEN {high} > {low} THEN ({value} - {low}) / ({high} - {low}) ELSE 0D END"
+    return f"CASE WHEN {value} IS NOT NULL THEN int(least(greatest(floor({share} * {bins}), 0), {bins - 1})) END"
 
 
-def value_counts(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Keys, ``_bin``, ``_v`` and how often the value occurs, ``_c``."""
-    return rows.groupBy(*keys, "_bin", F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+def value_counts(rows: DataFrame) -> DataFrame:
+    """How often each value of a group occurs, from ``_k``, ``_bin`` and ``_v``."""
+    return rows.groupBy("_k", "_bin", "_v").agg(F.expr("count(*) AS _c"))
 
 
-def _position(n: Column, p: float) -> tuple[Column, Column, Column]:
-    """Zero-based ranks below and above quantile ``p`` of ``n`` values, and the weight of the upper."""
-    at = (n - 1) * F.lit(float(p))
-    return F.floor(at), F.ceil(at), at - F.floor(at)
+def _ranks(p: float) -> tuple[str, str, str]:
+    """Zero-based ranks below and above quantile ``p`` of ``_n`` values, and the weight of the upper."""
+    at = f"((_n - 1) * {float(p)}D)"
+    return f"floor({at})", f"ceil({at})", f"({at} - floor({at}))"
 
 
-def locate(
-    bin_counts: DataFrame, keys: Sequence[str], probs: Mapping[str, float],
-    extras: Mapping[str, Column] | None = None,
-) -> DataFrame:
-    """One row per group: ``_n``, the ``extras`` (aggregates over the group's bins) and, for both ranks
-    of every quantile, the bin that holds it and the number of values in lower bins.
+def locate(bin_counts: DataFrame, probs: Mapping[str, float], extras: Mapping[str, str] | None = None) -> DataFrame:
+    """One row per group: ``_n`` values, the ``extras`` (SQL aggregates over the group's bins) and
+    ``_targets``, the bins that hold a wanted rank with the number of values in lower bins.
 
-    ``bin_counts`` has the keys, ``_bin`` (NULL for NULL values) and ``_c``.
+    ``bin_counts`` has ``_k``, ``_bin`` (NULL for NULL values) and ``_c``.
     """
-    per_group = Window.partitionBy(*keys)
-    # NULL values sit in a bin of their own, count nothing, and stay for the extras.
-    seen = F.when(F.col("_bin").isNotNull(), F.col("_c")).otherwise(0)
-    running = bin_counts.withColumns({
-        "_upto": F.sum(seen).over(per_group.orderBy(F.col("_bin").asc_nulls_first())),
-        "_n": F.sum(seen).over(per_group),
-        "_seen": seen,
+    per_group = Window.partitionBy("_k")
+    # NULL values have a bin of their own, count nothing, and stay for the extras.
+    seen = F.expr("CASE WHEN _bin IS NOT NULL THEN _c ELSE 0 END")
+    running = bin_counts.withColumn("_seen", seen).withColumns({
+        "_upto": F.sum("_seen").over(per_group.orderBy(F.col("_bin").asc_nulls_first())),
+        "_n": F.sum("_seen").over(per_group),
     })
-    aggregates = [F.max("_n").alias("_n")]
+    wanted = sorted({rank for p in probs.values() for rank in _ranks(p)[:2]})
+    holds = " OR ".join(f"(_upto - _seen <= {rank} AND {rank} < _upto)" for rank in wanted)
+    target = f"CASE WHEN {holds} THEN struct(_bin AS bin, _upto - _seen AS before) END"
+    # At most two bins per quantile are collected.
+    aggregates = ["max(_n) AS _n", f"collect_list({target}) AS _targets"]
+    aggregates += [f"{sql} AS {name}" for name, sql in (extras or {}).items()]
+    return running.groupBy("_k").agg(*[F.expr(a) for a in aggregates])
+
+
+def resolve(counts: DataFrame, located: DataFrame, probs: Mapping[str, float], carry: Sequence[str] = ()
+            ) -> DataFrame:
+    """``_k``, the quantiles and the carried columns of ``located``; a group without values has NULLs."""
+    wanted = located.selectExpr("_k", "_n", *carry, "inline_outer(_targets) AS (_bin, _before)")
+    in_bin = Window.partitionBy("_k", "_bin").orderBy("_v")
+    ordered = wanted.join(counts, ["_k", "_bin"], "left").withColumn("_upto", F.sum("_c").over(in_bin))
+    columns = []
     for name, p in probs.items():
-        low, high, _ = _position(F.col("_n"), p)
-        for end, rank in (("lo", low), ("hi", high)):
-            before = F.col("_upto") - F.col("_seen")
-            holds = (before <= rank) & (rank < F.col("_upto"))
-            aggregates += [
-                F.max(F.when(holds, F.col("_bin"))).alias(f"_{name}_{end}_bin"),
-                F.max(F.when(holds, before)).alias(f"_{name}_{end}_before"),
-            ]
-    aggregates += [column.alias(name) for name, column in (extras or {}).items()]
-    return running.groupBy(*keys).agg(*aggregates)
-
-
-def resolve(
-    counts: DataFrame, keys: Sequence[str], located: DataFrame, probs: Mapping[str, float]
-) -> DataFrame:
-    """The keys and one column per quantile, from the value counts and the located bins."""
-    ends = [(name, end) for name in probs for end in ("lo", "hi")]
-    bins = [F.struct(F.col(f"_{n}_{e}_bin").alias("bin"), F.col(f"_{n}_{e}_before").alias("before")) for n, e in ends]
-    # The two ranks of a quantile, and neighbouring quantiles, often share a bin.
-    wanted = located.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n",
-                            F.inline(F.array_distinct(F.array(*bins))).alias("_w", "_before"))
-    wanted = wanted.filter("_w IS NOT NULL")
-
-    match = F.col("_bin") == F.col("_w")
-    for k in keys:
-        match &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    in_bin = Window.partitionBy(*keys, "_bin").orderBy("_v")
-    ordered = counts.join(wanted, match).withColumn("_end", F.col("_before") + F.sum("_c").over(in_bin))
-    start, end = F.col("_end") - F.col("_c"), F.col("_end")
-
-    aggregates = []
-    for name, p in probs.items():
-        low, high, weight = _position(F.col("_n"), p)
+        low, high, weight = _ranks(p)
         at_low, at_high = (
-            F.max(F.when((start <= rank) & (rank < end), F.col("_v"))) for rank in (low, high)
-        )
-        aggregates.append((at_low + (at_high - at_low) * F.max(weight)).alias(name))
-    return ordered.groupBy(*keys).agg(*aggregates)
+            f"max(CASE WHEN _before + _upto - _c <= {rank} AND {rank} < _before + _upto THEN _v END)"
+            for rank in (low, high))
+        columns.append(f"{at_low} * (1 - max({weight})) + {at_high} * max({weight}) AS {name}")
+    columns += [f"max({c}) AS {c}" for c in carry]
+    return ordered.groupBy("_k").agg(*[F.expr(c) for c in columns])
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float],
-    low: Column | float, high: Column | float, bins: int = BINS,
-) -> DataFrame:
-    """Exact, interpolated quantiles of ``value`` per group. Groups without any value are absent."""
-    rows = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-    rows = rows.withColumn("_bin", value_bin(F.col(value), low, high, bins))
-    counts = value_counts(rows, keys, value)
-    bin_counts = counts.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_c"))
-    return resolve(counts, keys, locate(bin_counts, keys, probs), probs)
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float],
+                    low: float | str, high: float | str, bins: int = BINS) -> DataFrame:
+    """The keys and one column per quantile of ``value``, exact and interpolated. ``low`` and ``high``,
+    numbers or column names, are the expected limits of the values; they steer the load, not the result.
+    Groups without any value are absent."""
+    rows = df.selectExpr(key_sql(keys), f"{value} AS _v", f"{bin_sql(value, low, high, bins)} AS _bin")
+    counts = value_counts(rows.filter("_v IS NOT NULL AND NOT isnan(_v)"))
+    bin_counts = counts.groupBy("_k", "_bin").agg(F.expr("sum(_c) AS _c"))
+    found = resolve(counts, locate(bin_counts, probs), probs)
+    return found.selectExpr(*[f"_k.{k}" for k in keys], *probs)
 
 
 def column_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -120,21 +105,12 @@ def column_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
     Columns become rows first, so that every (group, column, bin) is its own unit of work and no task
     holds the values of a whole column.
     """
-    long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = long.unpivot(list(keys), list(columns), "_column", "_value")
-    long = long.filter(F.col("_value").isNotNull() & ~F.isnan("_value"))
-    limits = long.groupBy("_column").agg(F.min("_value").alias("_low"), F.max("_value").alias("_high"))
+    pairs = ", ".join(f"'{c}', double({c})" for c in columns)
+    long = df.selectExpr(*keys, f"stack({len(columns)}, {pairs}) AS (_column, _value)")
+    long = long.filter("_value IS NOT NULL AND NOT isnan(_value)")
+    limits = long.groupBy("_column").agg(F.expr("min(_value) AS _low"), F.expr("max(_value) AS _high"))
     # One row per column name: bounded by the argument list.
     long = long.join(F.broadcast(limits), "_column")
-    medians = exact_quantiles(long, [*keys, "_column"], "_value", {"median": 0.5}, F.col("_low"), F.col("_high"))
-    pick = [F.max(F.when(F.col("_column") == c, F.col("median"))).alias(c) for c in columns]
+    medians = exact_quantiles(long, [*keys, "_column"], "_value", {"_median": 0.5}, "_low", "_high")
+    pick = [F.expr(f"max(CASE WHEN _column = '{c}' THEN _median END) AS {c}") for c in columns]
     return medians.groupBy(*keys).agg(*pick)
-
-
-def join_back(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of a result to its own groups: NULL keys match, one copy of the keys stays."""
-    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    match = F.lit(True)
-    for k in keys:
-        match &= F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(right, match, "left").drop(*[f"_r_{k}" for k in keys])

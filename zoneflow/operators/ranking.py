@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.config import FORECAST_COLUMNS, RANK_SIGNALS, SCORE_WEIGHTS
-from zoneflow.functions.calendar import plus_hours
-from zoneflow.functions.scalar import finite_or_zero, scaled, total
+from zoneflow.functions.calendar import plus_hours, with_sql
+from zoneflow.functions.scalar import finite_or_zero, scaled_sql
 
 # Score -> (prediction it scales, whether a small prediction is good).
 SCORES = {
@@ -25,16 +25,17 @@ def opportunity_score(predicted: DataFrame) -> DataFrame:
     no join.
     """
     limits = predicted.agg(F.struct(*[
-        agg(pred).alias(f"{name}_{end}")
-        for name, (pred, _) in SCORES.items() for end, agg in (("low", F.min), ("high", F.max))
+        F.expr(f"{end}({pred}) AS {name}_{end}") for name, (pred, _) in SCORES.items() for end in ("min", "max")
     ])).scalar()
-    scores = {}
-    for name, (pred, small_is_good) in SCORES.items():
-        share = scaled(F.col(pred), limits[f"{name}_low"], limits[f"{name}_high"])
-        scores[f"score_{name}"] = 1.0 - share if small_is_good else share
-    scored = predicted.withColumns(scores)
-    weighted = total(F.lit(w) * F.col(f"score_{name}") for name, w in SCORE_WEIGHTS.items())
-    return scored.withColumn("opportunity_score", weighted)
+
+    def score(name: str, pred: str, small_is_good: bool) -> str:
+        share = scaled_sql(pred, f"_limits.{name}_min", f"_limits.{name}_max")
+        return f"1 - {share}" if small_is_good else share
+
+    scored = with_sql(predicted.withColumn("_limits", limits), {
+        f"score_{name}": score(name, *spec) for name, spec in SCORES.items()})
+    weighted = " + ".join(f"{w}D * score_{name}" for name, w in SCORE_WEIGHTS.items())
+    return with_sql(scored.drop("_limits"), {"opportunity_score": weighted})
 
 
 def rank_order(rank_by: str) -> list[Column]:

@@ -2,51 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from zoneflow.config import StoreConfig
-from zoneflow.functions.calendar import calendar_of, flag, hour_floor, hour_flags
-from zoneflow.functions.scalar import all_of, total
+from zoneflow.functions.calendar import calendar_of, flag_sql, hour_floor_sql, rush_flags, with_sql
 
+PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 REVENUE_PARTS = ("fare_amount", "extra", "tip_amount", "tolls_amount", "Airport_fee")
 
 
-def duration_minutes(start: str, end: str) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)) / F.lit(6e7)
-
-
-def revenue() -> Column:
-    """Sum of the paid parts, never negative. One unknown part makes it 0, which the quality filter
-    then drops."""
-    return F.greatest(total(F.col(c) for c in REVENUE_PARTS), F.lit(0.0))
-
-
 def trip_features(trips: DataFrame, config: StoreConfig = StoreConfig()) -> DataFrame:
-    """Enriched trips with 26 more columns: money and time, calendar, weather and airport flags."""
-    pickup = F.col("tpep_pickup_datetime")
-    base = trips.withColumns({
-        "trip_duration_min": duration_minutes("tpep_pickup_datetime", "tpep_dropoff_datetime"),
-        "revenue": revenue(),
+    """Enriched trips with 29 more columns: money and time, calendar, weather and airport flags."""
+    airports = ", ".join("'" + name.replace("'", "\\'") + "'" for name in config.airport_zones)
+    money = with_sql(trips, {
+        "trip_duration_min": f"timestampdiff(MICROSECOND, {PICKUP}, {DROPOFF}) / 6e7D",
+        # Never negative. One unknown part makes it 0, which the quality filter then drops.
+        "revenue": f"greatest({' + '.join(REVENUE_PARTS)}, 0D)",
     })
-    minutes = F.col("trip_duration_min")
-    return base.withColumns({
-        "revenue_per_hour": F.when(minutes > 1, F.col("revenue") / (minutes / 60.0)),
-        "ts_hour": hour_floor(pickup),
-        "service_date": F.to_date(pickup),
-        **calendar_of(pickup),
-        **hour_flags(pickup),
-        "is_raining": flag(F.col("precipitation") > 0),
-        "is_cold": flag(F.col("apparent_temperature") < 5),
-        "is_hot": flag(F.col("apparent_temperature") > 30),
-        "is_airport_pickup": flag(F.col("PUZone").isin(*config.airport_zones)),
-        "is_airport_dropoff": flag(F.col("DOZone").isin(*config.airport_zones)),
+    return with_sql(money, {
+        "revenue_per_hour": "CASE WHEN trip_duration_min > 1 THEN revenue / (trip_duration_min / 60D) END",
+        "ts_hour": hour_floor_sql(PICKUP),
+        "service_date": f"to_date({PICKUP})",
+        **calendar_of(PICKUP),
+        **rush_flags(PICKUP),
+        "is_raining": flag_sql("precipitation > 0"),
+        "is_cold": flag_sql("apparent_temperature < 5"),
+        "is_hot": flag_sql("apparent_temperature > 30"),
+        "is_airport_pickup": flag_sql(f"PUZone IN ({airports})"),
+        "is_airport_dropoff": flag_sql(f"DOZone IN ({airports})"),
     })
 
 
-def usable(config: StoreConfig = StoreConfig()) -> Column:
-    """Inclusive limits on every quality column; an unknown value fails."""
-    return all_of(F.col(name).between(low, high) for name, (low, high) in config.limits.items())
+def usable(config: StoreConfig = StoreConfig()) -> str:
+    """Inclusive limits on every quality column, as SQL; an unknown value fails."""
+    return " AND ".join(f"{name} BETWEEN {low}D AND {high}D" for name, (low, high) in config.limits.items())
 
 
 def trip_quality_filter(features: DataFrame, config: StoreConfig = StoreConfig()) -> DataFrame:

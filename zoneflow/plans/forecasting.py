@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.operators.enrich import bounded
 from zoneflow.operators.forecast import (
     CORRECTED_LAG_PLAN, HISTORY_ROLLING, LAG_PLAN, ONLINE_LAG_PLAN, assert_forecast_window, check_online_request,
     check_request, fill_missing, future_grid, history_rolling, lag_derived, start_column, time_lag_join,
@@ -15,6 +16,7 @@ from zoneflow.operators.forecast import (
 from zoneflow.operators.prep import encode_categoricals, encoder_labels, known_category_filter
 from zoneflow.operators.ranking import forecast_output, opportunity_score, rank_zones
 from zoneflow.plans.training import ModelBundle, predict, with_model_input
+from zoneflow.session import materialize
 
 MODES = ("batch", "online")
 
@@ -46,19 +48,20 @@ def generate_forecast(history: DataFrame, bundle: ModelBundle, hours: int = 24,
     """Ranked forecast rows.
 
     The online mode limits the horizon, drops zones that training did not know and cleans unknown values;
-    the batch mode takes unknown zones as an error. ``check`` verifies the hours of the result, which runs
-    the forecast once more.
+    the batch mode takes unknown zones as an error. ``check`` verifies the hours of the result.
     """
     (check_online_request if mode == "online" else check_request)(hours, top, rank_by)
     if mode == "online":
         spark = history.sparkSession
-        labels = {c: spark.createDataFrame([(n,) for n in names], f"{c} string")
+        labels = {c: bounded(spark.createDataFrame([(n,) for n in names], f"{c} string"), len(names))
                   for c, names in encoder_labels(bundle.encoders).items()}
         history = known_category_filter(history, labels)
     coded = encode_categoricals(history.dropna(subset=["PUZone", "PUBorough"]), bundle.encoders)
     first = start_column(coded, start)
     frame = fill_missing(forecast_frame(coded, first, hours, mode, compat), coded, bundle.features)
     predicted = predict(with_model_input(frame, bundle.features, bundle.medians), bundle.models)
+    # Zones x hours rows, read twice: for the limits of the scores and for the scores.
+    predicted = materialize(predicted.drop("features", "imputed"))
     ranked = rank_zones(opportunity_score(predicted), rank_by)
     if check:
         assert_forecast_window(ranked, first, hours)

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from zoneflow.config import SplitConfig
 from zoneflow.operators.prep import (
@@ -56,22 +58,21 @@ class ModelBundle:
     encoders: StringIndexerModel
     features: list[str]
     medians: dict[str, float]
-    models: dict[str, PipelineModel]
+    models: dict[str, Model]
     train_rows: int = 0
 
 
-def feature_columns(features: list[str]) -> list[str]:
-    return [f"f_{c}" for c in features] + [f"m_{c}" for c in features]
-
-
 def with_model_input(df: DataFrame, features: list[str], medians: dict[str, float]) -> DataFrame:
-    """Feature vector: every feature with the train median for NULL, plus a flag that it was NULL. Spark
-    trees have no branch for missing values; the flag keeps that information for them."""
-    values = {f"f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in features}
-    flags = {f"m_{c}": F.col(c).isNull().cast("double") for c in features}
-    wide = df.withColumns({**values, **flags})
-    assembler = VectorAssembler(inputCols=feature_columns(features), outputCol="features")
-    return assembler.transform(wide).drop(*values, *flags)
+    """Vectors of a row: ``imputed`` has every feature with the train median for NULL, for the tip layer;
+    ``features`` adds a flag per feature that it was NULL, for the trees. Spark trees have no branch for
+    missing values, and the flag keeps that information for them."""
+    imputed = [f"coalesce(double({c}), {medians[c]!r}D) AS f_{c}" for c in features]
+    missing = [f"double({c} IS NULL) AS m_{c}" for c in features]
+    wide = df.selectExpr("*", *imputed, *missing)
+    values, flags = [f"f_{c}" for c in features], [f"m_{c}" for c in features]
+    wide = VectorAssembler(inputCols=values, outputCol="imputed").transform(wide)
+    wide = VectorAssembler(inputCols=["imputed", *flags], outputCol="features").transform(wide)
+    return wide.drop(*values, *flags)
 
 
 def training_frame(store: DataFrame, split: SplitConfig = SplitConfig()
@@ -88,13 +89,13 @@ def _regressor(target: str, params: TreeParams, seed: int) -> GBTRegressor:
     return GBTRegressor(
         labelCol=target, featuresCol="features", maxIter=params.trees, stepSize=params.learning_rate,
         maxDepth=params.depth, subsamplingRate=params.subsample, lossType="squared",
-        featureSubsetStrategy=str(params.feature_share), seed=seed, checkpointInterval=10,
+        featureSubsetStrategy=str(params.feature_share), seed=seed,
     )
 
 
 def _classifier(params: TipParams, rows: int) -> LogisticRegression:
     return LogisticRegression(
-        labelCol="high_tip_zone", featuresCol="features", maxIter=params.max_iter,
+        labelCol="high_tip_zone", featuresCol="imputed", maxIter=params.max_iter,
         regParam=1.0 / (params.c * max(rows, 1)),
     )
 
@@ -115,22 +116,25 @@ def prepare(store: DataFrame, split: SplitConfig = SplitConfig()
 
 
 def fit_models(frame: DataFrame, trees: dict[str, TreeParams] | None = None, tip: TipParams = TipParams(),
-               seed: int = 42) -> tuple[dict[str, PipelineModel], int]:
+               seed: int = 42) -> tuple[dict[str, Model], int]:
+    """The four fits run side by side: each is a long chain of short jobs that leaves executors idle."""
     trees = trees or {}
     train = frame.filter(F.col("split") == "train").persist()
-    rows = train.count()
     try:
-        models = {
-            layer: _regressor(TARGETS[layer], trees.get(layer, TreeParams()), seed).fit(train)
-            for layer in PREDICTIONS
+        rows = train.count()
+        estimators = {
+            layer: _regressor(TARGETS[layer], trees.get(layer, TreeParams()), seed) for layer in PREDICTIONS
         }
-        models["tip"] = _classifier(tip, rows).fit(train)
+        estimators["tip"] = _classifier(tip, rows)
+        with ThreadPoolExecutor(len(estimators)) as pool:
+            fit = inheritable_thread_target(frame.sparkSession)(lambda e: e.fit(train))
+            models = dict(zip(estimators, pool.map(fit, estimators.values())))
     finally:
         train.unpersist()
     return models, rows
 
 
-def predict(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
+def predict(df: DataFrame, models: dict[str, Model]) -> DataFrame:
     """Four predictions per row of a frame that has the feature vector."""
     for layer, column in PREDICTIONS.items():
         df = models[layer].transform(df).withColumnRenamed("prediction", column)

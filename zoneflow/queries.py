@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,17 +36,15 @@ TOP = 3
 
 
 def present(df: DataFrame) -> DataFrame:
-    def shown(f: T.StructField) -> Column:
-        c = F.col(f"`{f.name}`")
+    def shown(f: T.StructField) -> str:
+        name = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 6) + F.lit(0.0)  # no negative zero
-        elif isinstance(f.dataType, T.IntegralType):
-            c = c.cast("bigint")
-        elif isinstance(f.dataType, T.DateType):
-            c = c.cast("string")
-        return c.alias(f.name)
+            return f"round(double({name}), 6) + 0D AS {name}"  # no negative zero
+        if isinstance(f.dataType, T.IntegralType):
+            return f"bigint({name}) AS {name}"
+        return f"string({name}) AS {name}" if isinstance(f.dataType, T.DateType) else name
 
-    return df.select(*[shown(f) for f in df.schema])
+    return df.selectExpr(*[shown(f) for f in df.schema])
 
 
 # --- stages shared by several queries -----------------------------------------------------------
@@ -96,7 +94,7 @@ def _stand_in(frame: DataFrame) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    return ranking.opportunity_score(_stand_in(_lagged(materialize(_history(spark, sf)))))
+    return ranking.opportunity_score(materialize(_stand_in(_lagged(materialize(_history(spark, sf))))))
 
 
 def _ranked(spark: SparkSession, sf: str, rank_by: str = "opportunity") -> DataFrame:
@@ -423,16 +421,22 @@ def _view(spark, sf):
     return report.zone_hour_view(_ranked(spark, sf), dt.datetime(2024, 1, 31, 8), shapes)
 
 
+# Small models for the registered queries; the rows are all of them.
+SMALL_TREES = training.TreeParams(trees=5, depth=4)
+SMALL_TIP = training.TipParams(max_iter=30)
+
+
 def train_forecast(spark, sf):
     history = materialize(_history(spark, sf))
-    bundle, _ = training.train_models(history)
+    trees = {layer: SMALL_TREES for layer in training.PREDICTIONS}
+    bundle, _ = training.train_models(history, trees, SMALL_TIP)
     return forecasting.generate_forecast(history, bundle, hours=HOURS, top=TOP)
 
 
 def tune_demand(spark, sf):
-    """Search over the demand layer; the points are few and small, the rows are all of them."""
+    """Search over the demand layer, with a small budget."""
     frame, *_ = training.prepare(_history(spark, sf))
-    tried = training.tune_trees(frame, "demand", training.draw_trees(3, seed=42, max_trees=10))
+    tried = training.tune_trees(frame, "demand", training.draw_trees(2, seed=42, max_trees=4))
     rows = [(i, p.trees, p.learning_rate, p.depth, p.subsample, p.feature_share, mae)
             for i, (p, mae) in enumerate(tried, 1)]
     return spark.createDataFrame(
