@@ -16,9 +16,10 @@ def month_of(ts: Column) -> Column:
 
 def month_list(bounds: DataFrame, first: str = "first", last: str = "last") -> DataFrame:
     """Every month between two dates, both included; one input row gives one range."""
-    steps = F.sequence(F.trunc(first, "MM"), F.trunc(last, "MM"), F.expr("INTERVAL 1 MONTH"))
-    ranges = bounds.filter(F.col(first) <= F.col(last))
-    return ranges.select(F.explode(steps).alias("day")).select(month_of(F.col("day")).alias("month"))
+    # A range that ends before it begins has no months; sequence would refuse it.
+    steps = (f"explode(CASE WHEN {first} <= {last} THEN "
+             f"sequence(trunc({first}, 'MM'), trunc({last}, 'MM'), INTERVAL 1 MONTH) END) AS day")
+    return bounds.selectExpr(steps).select(month_of(F.col("day")).alias("month"))
 
 
 def months_between(spark: SparkSession, first: str, last: str) -> DataFrame:
