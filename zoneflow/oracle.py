@@ -12,9 +12,14 @@ HOURLY = ["temperature_2m", "precipitation", "apparent_temperature", "wind_speed
 DAILY = ["temperature_2m_max", "temperature_2m_min", "apparent_temperature_mean", "precipitation_hours"]
 
 
+def d6(value: str) -> str:
+    """A double at six decimals, as the registered queries present it: exact halves are moved off the
+    rounding edge, and zero has no sign."""
+    return f"round(CAST({value} AS DOUBLE) + CAST(1.7e-9 AS DOUBLE), 6) + 0"
+
+
 def r6(*columns: str) -> str:
-    """Doubles at six decimals, without negative zero."""
-    return ", ".join(f"round(CAST({c} AS DOUBLE), 6) + 0 AS {c}" for c in columns)
+    return ", ".join(f"{d6(c)} AS {c}" for c in columns)
 
 
 def whole(*columns: str) -> str:
@@ -376,8 +381,7 @@ def _filled_select() -> str:
     for c in _FILLED:
         options = [f"CAST(f.{c} AS DOUBLE)"] if c in future else []
         options += [f"z.{c}", f"o.{c}"] if c in known else []
-        columns.append(f"round(coalesce({', '.join([*options, '0'])}), 6) AS {c}" if options
-                       else f"CAST(0 AS DOUBLE) AS {c}")
+        columns.append(f"{d6('coalesce(' + ', '.join([*options, '0']) + ')')} AS {c}")
     medians = ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in known)
     return f"""
     SELECT f.PUZone, f.PUBorough, f.ts_hour, {', '.join(columns)} FROM ahead_derived f
@@ -474,19 +478,19 @@ def _finals() -> dict[str, str]:
     SELECT {plain(*_TRIP_KEY)}, {r6('fare_amount')}, CAST(NULL AS BIGINT) AS corrected FROM trips2
     WHERE NOT (tpep_pickup_datetime >= TIMESTAMP '2023-12-01' AND tpep_pickup_datetime < TIMESTAMP '2024-01-01')
     UNION ALL
-    SELECT {plain(*_TRIP_KEY)}, round(fare_amount + 1, 6) AS fare_amount, CAST(1 AS BIGINT) AS corrected FROM trips2
+    SELECT {plain(*_TRIP_KEY)}, {d6('fare_amount + 1')} AS fare_amount, CAST(1 AS BIGINT) AS corrected FROM trips2
     WHERE tpep_pickup_datetime >= TIMESTAMP '2023-12-01' AND tpep_pickup_datetime < TIMESTAMP '2024-01-01'
         AND fare_amount + 1 > 5""",
         "upsert_month_stored": f"""
     SELECT {plain(*_TRIP_KEY)}, {r6('fare_amount')}, strftime(tpep_pickup_datetime, '%Y-%m') AS trip_month FROM trips2
     WHERE NOT (tpep_pickup_datetime >= TIMESTAMP '2023-12-01' AND tpep_pickup_datetime < TIMESTAMP '2024-01-01')
     UNION ALL
-    SELECT {plain(*_TRIP_KEY)}, round(fare_amount + 1, 6) AS fare_amount, '2023-12' AS trip_month FROM trips2
+    SELECT {plain(*_TRIP_KEY)}, {d6('fare_amount + 1')} AS fare_amount, '2023-12' AS trip_month FROM trips2
     WHERE tpep_pickup_datetime >= TIMESTAMP '2023-12-01' AND tpep_pickup_datetime < TIMESTAMP '2024-01-01'
         AND fare_amount + 1 > 5""",
-        "store_summary": """
+        "store_summary": f"""
     SELECT count(*) AS rows, count(DISTINCT PUZone) AS zones, min(ts_hour) AS min_ts, max(ts_hour) AS max_ts,
-        round(avg(target_rph), 6) AS avg_rph, round(avg(trip_count), 6) AS avg_trip_count FROM store""",
+        {d6('avg(target_rph)')} AS avg_rph, {d6('avg(trip_count)')} AS avg_trip_count FROM store""",
         "store_preview": f"""
     SELECT PUZone, ts_hour, {whole('trip_count', 'dropoff_count', 'net_pickup_flow')},
         {r6('target_rph', 'lag_1h_rph', 'rolling_24h_rph_mean', 'pickup_dropoff_ratio', 'avg_speed_mph', 'congestion_score',
@@ -516,10 +520,10 @@ def _finals() -> dict[str, str]:
         "competition_target": f"SELECT {cell}, {r6('competition')} FROM parts",
         "median_impute": f"""
     SELECT {cell}, split, {', '.join(
-        f"round(coalesce({c}, (SELECT median({c}) FROM parts WHERE split = 'train')), 6) AS {c}" for c in _IMPUTED)}
+        d6(f"coalesce({c}, (SELECT median({c}) FROM parts WHERE split = 'train'))") + f" AS {c}" for c in _IMPUTED)}
     FROM parts""",
         "regression_metrics": " UNION ALL ".join(
-            f"SELECT split, replace('{name}', '{{}}', split) AS metric, round({e}, 6) AS value FROM labelled GROUP BY split"
+            f"SELECT split, replace('{name}', '{{}}', split) AS metric, {d6(e)} AS value FROM labelled GROUP BY split"
             for name, e in errors.items()),
         "metric_drift": f"""
     SELECT strftime(run_ts, '%Y%m%d') AS run_id, run_ts, metric, {r6('value', 'previous', 'change_pct')},
@@ -536,7 +540,7 @@ def _finals() -> dict[str, str]:
         "hist_rolling": f"SELECT {cell}, {whole('trip_count')}, {r6('target_rph', *_FUTURE_ROLLING)} FROM rolled",
         "time_lag_join": f"""
     SELECT g.PUZone, g.PUBorough, g.ts_hour, {', '.join(
-        f"CAST(b{k}.{c} AS BIGINT) AS {name}" if name in _AHEAD_WHOLE else f"round(b{k}.{c}, 6) AS {name}"
+        f"CAST(b{k}.{c} AS BIGINT) AS {name}" if name in _AHEAD_WHOLE else f"{d6(f'b{k}.{c}')} AS {name}"
         for name, (k, c) in _AHEAD.items())}
     FROM (SELECT z.PUZone, z.PUBorough, first_hour + to_hours(k) AS ts_hour
           FROM (SELECT DISTINCT PUZone, PUBorough FROM history) z, beginning, range(48) AS steps(k)) g {_lag_joins('g')}""",
@@ -545,7 +549,7 @@ def _finals() -> dict[str, str]:
     FROM ahead_derived""",
         "zone_hour_stats": f"""
     SELECT g.PUZone, g.PUBorough, g.ts_hour, CAST(g.hour AS BIGINT) AS hour,
-        {', '.join(f'round(z.{c}, 6) AS {c}' for c in _CLIMATE_ZONE)}, {', '.join(f'round(h.{c}, 6) AS {c}' for c in _CLIMATE_HOUR)}
+        {', '.join(f"{d6('z.' + c)} AS {c}" for c in _CLIMATE_ZONE)}, {', '.join(f"{d6('h.' + c)} AS {c}" for c in _CLIMATE_HOUR)}
     FROM grid g
     LEFT JOIN (SELECT PUZone, hour, {', '.join(f'avg({c}) AS {c}' for c in _CLIMATE_ZONE)} FROM history GROUP BY 1, 2) z
         ON z.PUZone = g.PUZone AND z.hour = g.hour
@@ -577,9 +581,9 @@ def _finals() -> dict[str, str]:
         count(*) AS row_count FROM ranked WHERE rank_profit <= 3""",
         "zone_hour_view": f"""
     SELECT PUZone, {r6('pred_rph', 'pred_demand', 'pred_competition', 'opportunity_score')}, {whole('shape_id')} FROM view""",
-        "zone_kpis": """
-    SELECT round(avg(pred_rph), 6) AS avg_rph, round(avg(pred_demand), 6) AS avg_demand,
-        round(avg(pred_competition), 6) AS avg_competition, round(avg(opportunity_score), 6) AS avg_opportunity FROM view""",
+        "zone_kpis": f"""
+    SELECT {d6('avg(pred_rph)')} AS avg_rph, {d6('avg(pred_demand)')} AS avg_demand,
+        {d6('avg(pred_competition)')} AS avg_competition, {d6('avg(opportunity_score)')} AS avg_opportunity FROM view""",
         "zone_ranking_table": f"""
     SELECT PUZone, {r6('pred_rph', 'pred_demand', 'pred_competition', 'opportunity_score')}, {whole('shape_id')},
         row_number() OVER (ORDER BY round(opportunity_score, 9) DESC, PUZone) AS position FROM view""",

@@ -39,7 +39,9 @@ def present(df: DataFrame) -> DataFrame:
     def shown(f: T.StructField) -> str:
         name = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            return f"round(double({name}), 6) + 0D AS {name}"  # no negative zero
+            # Engines add in different orders. Values with seven decimals are common here, and their last
+            # bit would decide how they round; the small term moves them off that edge. No negative zero.
+            return f"round(double({name}) + 1.7e-9D, 6) + 0D AS {name}"
         if isinstance(f.dataType, T.IntegralType):
             return f"bigint({name}) AS {name}"
         return f"string({name}) AS {name}" if isinstance(f.dataType, T.DateType) else name
