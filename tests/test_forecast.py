@@ -10,6 +10,7 @@ from zoneflow.operators import forecast as fc
 from zoneflow.operators import ranking, report
 from zoneflow.operators.hourly import store_features
 from zoneflow.plans import forecasting, training
+from zoneflow.schemas import METRIC_SCHEMA
 
 FIRST = dt.datetime(2024, 1, 1)
 
@@ -48,6 +49,25 @@ def test_one_lag_join_equals_one_join_per_offset(history, plan, start_hour):
     assert rows(one) == rows(many)
 
 
+@pytest.mark.parametrize("start_hour", [216, 120, 400])
+def test_recent_rows_give_the_same_lags_as_all_rows(make_cells, start_hour):
+    # A sparse zone, whose windows reach far back in time, and a dense one.
+    rows = [("A", h, 10 + h % 24, 50.0 + h % 7) for h in range(216)] + [("S", h, 5, 30.0 + h % 11) for h in range(0, 216, 50)]
+    history = store_features(make_cells(rows))
+    first, hours = ntz(FIRST + dt.timedelta(hours=start_hour)), 12
+    grid = fc.future_grid(history, first, hours).select("PUZone", "PUBorough", "ts_hour")
+    recent = fc.recent_history(history, first, hours, rows_back=168)
+    whole = fc.time_lag_join(grid, fc.history_rolling(history), first, hours)
+    found = fc.time_lag_join(grid, fc.history_rolling(recent), first, hours)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_old_rows_are_dropped_before_the_shuffle(history):
+    recent = fc.recent_history(history, fc.start_column(history), 12, rows_back=24, hours_back=24)
+    assert recent.groupBy("PUZone").count().agg(F.max("count")).first()[0] == 60
+    assert "WindowGroupLimit" in recent._jdf.queryExecution().executedPlan().toString()
+
+
 def test_grid_is_zones_times_hours(history):
     grid = fc.future_grid(history, fc.start_column(history), 5)
     rows = grid.collect()
@@ -59,6 +79,19 @@ def test_grid_is_zones_times_hours(history):
     assert {r.day_of_week for r in fc.future_grid(history, fc.start_column(history), 1, compat=False).collect()} == {3}
 
 
+def test_grid_and_clock_lags_ignore_daylight_saving(spark, make_cells):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        march = make_cells([("A", 24 * 69 + h, 10 + h, 50.0 + h) for h in (1, 2, 4)])  # March 10, 2024
+        first = ntz(dt.datetime(2024, 3, 10, 0))
+        assert [r.ts_hour.hour for r in fc.future_grid(march, first, 5).orderBy("ts_hour").collect()] == [0, 1, 2, 3, 4]
+        found = store_features(march, StoreConfig(lag_mode="time")).orderBy("ts_hour").collect()
+        assert [(r.ts_hour.hour, r.lag_1h_trip_count, r.lag_2h_trip_count) for r in found] == [
+            (1, None, None), (2, 11, None), (4, None, 12)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_start_is_the_hour_after_the_last_or_the_given_one(history):
     row = fc.forecast_start(history).first()
     assert (row.data_min_ts_hour, row.data_max_ts_hour) == (FIRST, FIRST + dt.timedelta(hours=215))
@@ -223,6 +256,13 @@ def test_models_beat_the_mean_and_forecasts_are_whole(spark, history, bundle):
     with pytest.raises(Exception, match="(?i)unseen"):
         forecasting.generate_forecast(history.unionByName(stranger), models, hours=3).collect()
 
+    header, answer = forecasting.answer_request(history, models, hours=2, top=1, rank_by="tip")
+    assert (header.hours, header.rank_by, header.row_count) == (2, "tip", 2) and answer.count() == 2
+    with pytest.raises(LookupError):
+        forecasting.answer_request(stranger, models, hours=2, start=dt.datetime(2024, 1, 10))
+    stored = training.metric_history(metrics, "r1", dt.datetime(2024, 2, 1))
+    assert stored.columns == METRIC_SCHEMA.names and stored.filter("run_id = 'r1'").count() == 12
+
 
 def test_corrected_frame_attaches_the_last_window(history):
     first = fc.start_column(history)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zoneflow.config import MonthWindow, StoreConfig
-from zoneflow.functions.calendar import hour_floor, with_calendar
+from zoneflow.functions.calendar import hour_floor, microseconds_sql, with_calendar
 from zoneflow.operators import hourly
 from zoneflow.operators.enrich import enrich_trips
 from zoneflow.operators.trips import trip_features, trip_quality_filter
@@ -74,8 +74,9 @@ def test_hours_do_not_move_with_the_session_zone(spark):
     spring = dt.datetime(2024, 3, 10, 2, 30)  # does not exist in New York wall-clock time
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        frame = spark.createDataFrame([(spring,)], "t timestamp_ntz")
-        assert frame.select(hour_floor("t")).first()[0] == dt.datetime(2024, 3, 10, 2)
+        frame = spark.createDataFrame([(spring, dt.datetime(2024, 3, 10, 4, 30, 0, 250000))], "t timestamp_ntz, u timestamp_ntz")
+        row = frame.select(hour_floor("t"), F.expr(microseconds_sql("t", "u")), F.expr(microseconds_sql("u", "t"))).first()
+        assert tuple(row) == (dt.datetime(2024, 3, 10, 2), 7_200_250_000, -7_200_250_000)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

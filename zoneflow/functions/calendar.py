@@ -36,6 +36,14 @@ def hour_floor_sql(ts: str) -> str:
     return f"CAST(to_date({ts}) AS TIMESTAMP_NTZ) + make_dt_interval(0, hour({ts}))"
 
 
+def microseconds_sql(start: str, end: str) -> str:
+    """Wall-clock microseconds between two zone-less time stamps. ``timestampdiff`` would count them in
+    the session zone, an hour off across a daylight saving change."""
+    part = {unit: f"extract({unit} FROM ({end} - {start}))" for unit in ("DAY", "HOUR", "MINUTE", "SECOND")}
+    minutes = f"(({part['DAY']} * 24L + {part['HOUR']}) * 60L + {part['MINUTE']})"
+    return f"({minutes} * 60000000L + bigint({part['SECOND']} * 1000000))"
+
+
 def hour_floor(ts: str) -> Column:
     return F.expr(hour_floor_sql(ts))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.config import (
@@ -120,6 +120,21 @@ def history_rolling(history: DataFrame, names: Sequence[str] = HISTORY_ROLLING,
     return history.drop(*names).withColumns(rolling_columns(tuple(names), include_current))
 
 
+def recent_history(history: DataFrame, first: Column, hours: int, rows_back: int = 168, hours_back: int = 168
+                   ) -> DataFrame:
+    """The rows of each zone that lags and rolling values of the grid can depend on.
+
+    Lags reach rows of the last ``hours_back`` hours and of the horizon; a window on such a row reaches
+    ``rows_back`` rows further, however old. So the newest ``rows_back + hours_back + hours`` rows per zone,
+    at one row per hour, are enough, and Spark drops the others before the shuffle. Nothing changes in the
+    result; years of history just stay where they are.
+    """
+    newest = Window.partitionBy("PUZone").orderBy(F.col("ts_hour").desc(), F.col("PUBorough").desc())
+    reached = history.filter(F.col("ts_hour") < plus_hours(first, hours))
+    numbered = reached.withColumn("_newest", F.row_number().over(newest))
+    return numbered.filter(F.col("_newest") <= rows_back + hours_back + hours).drop("_newest")
+
+
 def time_lag_join(grid: DataFrame, history: DataFrame, first: Column, hours: int, plan: dict = LAG_PLAN) -> DataFrame:
     """Attach history by clock time: a feature k hours back is the history row of exactly k hours before.
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from zoneflow.config import StoreConfig
-from zoneflow.functions.calendar import calendar_of, flag_sql, hour_floor_sql, rush_flags, with_sql
+from zoneflow.functions.calendar import (
+    calendar_of, flag_sql, hour_floor_sql, microseconds_sql, rush_flags, with_sql,
+)
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 REVENUE_PARTS = ("fare_amount", "extra", "tip_amount", "tolls_amount", "Airport_fee")
@@ -15,7 +17,7 @@ def trip_features(trips: DataFrame, config: StoreConfig = StoreConfig()) -> Data
     """Enriched trips with 29 more columns: money and time, calendar, weather and airport flags."""
     airports = ", ".join("'" + name.replace("'", "\\'") + "'" for name in config.airport_zones)
     money = with_sql(trips, {
-        "trip_duration_min": f"timestampdiff(MICROSECOND, {PICKUP}, {DROPOFF}) / 6e7D",
+        "trip_duration_min": f"{microseconds_sql(PICKUP, DROPOFF)} / 6e7D",
         # Never negative. One unknown part makes it 0, which the quality filter then drops.
         "revenue": f"greatest({' + '.join(REVENUE_PARTS)}, 0D)",
     })

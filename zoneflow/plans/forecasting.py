@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from zoneflow.operators.enrich import bounded
 from zoneflow.operators.forecast import (
     CORRECTED_LAG_PLAN, HISTORY_ROLLING, LAG_PLAN, ONLINE_LAG_PLAN, assert_forecast_window, check_online_request,
-    check_request, fill_missing, future_grid, history_rolling, lag_derived, start_column, time_lag_join,
-    zone_hour_stats,
+    check_request, fill_missing, future_grid, history_rolling, lag_derived, recent_history,
+    start_column, time_lag_join,    zone_hour_stats,
 )
 from zoneflow.operators.prep import encode_categoricals, encoder_labels, known_category_filter
-from zoneflow.operators.ranking import forecast_output, opportunity_score, rank_zones
+from zoneflow.operators.ranking import forecast_output, forecast_summary, opportunity_score, rank_zones
 from zoneflow.plans.training import ModelBundle, predict, with_model_input
 from zoneflow.session import materialize
 
@@ -32,13 +32,14 @@ def forecast_frame(history: DataFrame, first: Column, hours: int, mode: str = "b
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     grid = future_grid(history, first, hours, compat)
+    recent = recent_history(history, first, hours)
     if mode == "online":
-        rolled = history_rolling(history)
+        rolled = history_rolling(recent)
         lagged = lag_derived(time_lag_join(grid, rolled, first, hours, ONLINE_LAG_PLAN), weekly_activity=False)
         return zone_hour_stats(lagged, history)
     if compat:
-        return lag_derived(time_lag_join(grid, history_rolling(history), first, hours, LAG_PLAN))
-    rolled = history_rolling(history, (*HISTORY_ROLLING, "rolling_airport_activity"), include_current=True)
+        return lag_derived(time_lag_join(grid, history_rolling(recent), first, hours, LAG_PLAN))
+    rolled = history_rolling(recent, (*HISTORY_ROLLING, "rolling_airport_activity"), include_current=True)
     return lag_derived(time_lag_join(grid, rolled, first, hours, CORRECTED_LAG_PLAN))
 
 
@@ -66,3 +67,14 @@ def generate_forecast(history: DataFrame, bundle: ModelBundle, hours: int = 24,
     if check:
         assert_forecast_window(ranked, first, hours)
     return forecast_output(ranked, top, clean=mode == "online")
+
+
+def answer_request(history: DataFrame, bundle: ModelBundle, hours: int = 24, start: dt.datetime | None = None,
+                   top: int | None = None, rank_by: str = "opportunity") -> tuple[Row, DataFrame]:
+    """An online answer: its header row and its rows. ``ValueError`` for a request outside the limits,
+    ``LookupError`` when no zone is left to rank."""
+    rows = generate_forecast(history, bundle, hours, start, top, rank_by, mode="online")
+    header = forecast_summary(rows, hours, rank_by).first()
+    if header.row_count == 0:
+        raise LookupError("no forecast rows for the requested window")
+    return header, rows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 import random
 from concurrent.futures import ThreadPoolExecutor
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from zoneflow.config import SplitConfig
+from zoneflow.functions.calendar import ntz
 from zoneflow.operators.prep import (
     competition_target, encode_categoricals, existing, fit_encoders, known_categories, regression_metrics,
     time_split, tip_label,
 )
 from zoneflow.operators.quantiles import column_medians
+from zoneflow.schemas import METRIC_SCHEMA
 from zoneflow.session import materialize
 
 # Target column of every layer.
@@ -151,6 +154,12 @@ def train_models(store: DataFrame, trees: dict[str, TreeParams] | None = None, t
     return ModelBundle(encoders, features, medians, models, rows), metrics
 
 
+def metric_history(metrics: DataFrame, run_id: str, run_ts: dt.datetime) -> DataFrame:
+    """Metrics of a run as rows of the metric table that drift is computed on."""
+    stamped = {"run_id": F.lit(run_id), "run_ts": ntz(run_ts)}
+    return metrics.withColumns(stamped).select(*METRIC_SCHEMA.names)
+
+
 def draw_trees(n: int, seed: int, max_trees: int | None = None) -> list[TreeParams]:
     """Random points of the search space; the learning rate is drawn on a log scale."""
     rng = random.Random(seed)

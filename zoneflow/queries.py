@@ -81,7 +81,8 @@ def _coded(spark: SparkSession, sf: str) -> DataFrame:
 def _lagged(history: DataFrame) -> DataFrame:
     first = fc.start_column(history)
     grid = fc.future_grid(history, first, HOURS)
-    return fc.lag_derived(fc.time_lag_join(grid, fc.history_rolling(history), first, HOURS))
+    recent = fc.recent_history(history, first, HOURS)
+    return fc.lag_derived(fc.time_lag_join(grid, fc.history_rolling(recent), first, HOURS))
 
 
 def _stand_in(frame: DataFrame) -> DataFrame:
@@ -146,7 +147,7 @@ def weather_payload_rows(spark, sf):
     source = views.weather(spark, sf, two_months=True)
 
     def arrays(kind, names):
-        entry = F.struct(F.date_format("date", "yyyy-MM-dd'T'HH:mm").alias("time"), *names)
+        entry = F.struct(F.expr("replace(left(string(date), 16), ' ', 'T') AS time"), *names)
         return F.array_sort(F.collect_list(F.when(F.col("type") == kind, entry))).alias(kind)
 
     def block(kind, names):
@@ -350,7 +351,7 @@ def time_lag_join(spark, sf):
     first = fc.start_column(history)
     zones = history.select("PUZone", "PUBorough").distinct()
     grid = fc.future_grid(zones, first, 48).select("PUZone", "PUBorough", "ts_hour")
-    return fc.time_lag_join(grid, fc.history_rolling(history), first, 48)
+    return fc.time_lag_join(grid, fc.history_rolling(fc.recent_history(history, first, 48)), first, 48)
 
 
 DERIVED_AHEAD = ("trip_count_delta_1h", "rph_delta_1h", "rph_zscore", "rph_cv", "relative_zone_activity")

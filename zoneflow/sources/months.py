@@ -11,7 +11,8 @@ from zoneflow.config import KEEP_MONTHS, parse_month
 
 
 def month_of(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    # By way of the date: formatting a time stamp would go through the session zone.
+    return F.date_format(F.to_date(ts), "yyyy-MM")
 
 
 def month_list(bounds: DataFrame, first: str = "first", last: str = "last") -> DataFrame:

@@ -66,9 +66,9 @@ def weather(spark: SparkSession, sf_dir: str, two_months: bool = False) -> DataF
     """Hourly weather for every hour with trips and daily weather for every such day; the measures follow
     from the hour's number."""
     hours = trips(spark, sf_dir, two_months).select(hour_floor("tpep_pickup_datetime").alias("date")).distinct()
-    n = F.expr("timestampdiff(HOUR, TIMESTAMP_NTZ '2020-01-01 00:00:00', date)")
+    n = F.expr("datediff(to_date(date), DATE '2020-01-01') * 24 + hour(date)")
     hourly = hours.withColumn("n", n).selectExpr(
-        "date", "'hourly' AS type", "date_format(date, 'yyyy-MM') AS trip_month",
+        "date", "'hourly' AS type", "date_format(to_date(date), 'yyyy-MM') AS trip_month",
         "CAST(n % 40 - 5 AS DOUBLE) AS temperature_2m",
         "CASE WHEN n % 7 = 0 THEN (n % 5) / 10.0D ELSE 0.0D END AS precipitation",
         "CAST(n % 45 - 8 AS DOUBLE) AS apparent_temperature",
