@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from zoneflow.config import SAME_HOUR_MEASURES, TRIP_LIMITS, MonthWindow, StoreConfig
 from zoneflow.functions.calendar import with_calendar, with_sql
 from zoneflow.functions.scalar import ratio_sql
-from zoneflow.operators.quantiles import bin_sql, key_sql, locate, resolve, value_counts
+from zoneflow.operators.quantiles import group_quantiles, key_sql, keyed
 from zoneflow.sources.sinks import in_month
 
 CELL = ("PUZone", "PUBorough", "ts_hour")
@@ -38,21 +38,16 @@ CELL_QUANTILES = {"median_rph": 0.5, "p75_rph": 0.75}
 def hourly_pickups(trips: DataFrame, limits: dict = TRIP_LIMITS) -> DataFrame:
     """Pickups per cell: trip count, 12 means, median and 75th percentile of revenue per hour.
 
-    One pass groups by (cell, bin of revenue per hour) and yields both the sums behind the means and the
-    bin counts behind the quantiles; a second, four-column pass counts the values for the quantiles. The
-    calendar depends on the hour alone and is added after grouping instead of widening the key.
+    Counts and means combine map-side, so a hot cell costs a row per task. The quantiles are a branch of
+    their own over four columns, partitioned by cell at its end as the means are: joining them moves
+    nothing, and a plan that uses no quantile drops the branch. The calendar depends on the hour alone and
+    is added after grouping instead of widening the key.
     """
-    key, bin_number = key_sql(CELL), bin_sql("revenue_per_hour", *limits["revenue_per_hour"])
-    parts = ["count(*) AS _c"]
-    for name, source in CELL_MEANS.items():
-        parts += [f"sum({source}) AS _s_{name}", f"count({source}) AS _n_{name}"]
-    by_bin = with_sql(trips, {"_bin": bin_number}).groupBy(F.expr(key), "_bin").agg(*[F.expr(p) for p in parts])
-
-    totals = {"trip_count": "sum(_c)"}
-    totals |= {name: f"try_divide(sum(_s_{name}), sum(_n_{name}))" for name in CELL_MEANS}
-    values = trips.selectExpr(key, f"{bin_number} AS _bin", "revenue_per_hour AS _v").filter("_v IS NOT NULL")
-    cells = resolve(value_counts(values), locate(by_bin, CELL_QUANTILES, totals), CELL_QUANTILES, carry=list(totals))
-    cells = cells.selectExpr("_k.*", *totals, *CELL_QUANTILES)
+    means = [f"avg({source}) AS {name}" for name, source in CELL_MEANS.items()]
+    cells = trips.groupBy(F.expr(key_sql(CELL))).agg(*[F.expr(a) for a in ("count(*) AS trip_count", *means)])
+    rows = keyed(trips, CELL, "revenue_per_hour", *limits["revenue_per_hour"])
+    cells = cells.join(group_quantiles(rows, CELL_QUANTILES), "_k", "left")
+    cells = cells.selectExpr("_k.*", "trip_count", *CELL_MEANS, *CELL_QUANTILES)
     return with_calendar(cells).selectExpr("*", "to_date(ts_hour) AS service_date")
 
 

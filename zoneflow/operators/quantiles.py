@@ -37,9 +37,11 @@ def bin_sql(value: str, low: float | str, high: float | str, bins: int = BINS) -
     return f"CASE WHEN {value} IS NOT NULL THEN int(least(greatest(floor({share} * {bins}), 0), {bins - 1})) END"
 
 
-def value_counts(rows: DataFrame) -> DataFrame:
-    """How often each value of a group occurs, from ``_k``, ``_bin`` and ``_v``."""
-    return rows.groupBy("_k", "_bin", "_v").agg(F.expr("count(*) AS _c"))
+def keyed(df: DataFrame, keys: Sequence[str], value: str, low: float | str, high: float | str, bins: int = BINS
+          ) -> DataFrame:
+    """The rows with a value, as group, bin and value."""
+    rows = df.selectExpr(key_sql(keys), f"{value} AS _v", f"{bin_sql(value, low, high, bins)} AS _bin")
+    return rows.filter("_v IS NOT NULL AND NOT isnan(_v)")
 
 
 def _ranks(p: float) -> tuple[str, str, str]:
@@ -48,42 +50,35 @@ def _ranks(p: float) -> tuple[str, str, str]:
     return f"floor({at})", f"ceil({at})", f"({at} - floor({at}))"
 
 
-def locate(bin_counts: DataFrame, probs: Mapping[str, float], extras: Mapping[str, str] | None = None) -> DataFrame:
-    """One row per group: ``_n`` values, the ``extras`` (SQL aggregates over the group's bins) and
-    ``_targets``, the bins that hold a wanted rank with the number of values in lower bins.
+def locate(bin_counts: DataFrame, probs: Mapping[str, float]) -> DataFrame:
+    """One row per group and wanted bin: ``_n`` values in the group and ``_before`` of them in lower bins.
+    A wanted bin holds a rank next to one of the quantiles; there are at most two per quantile.
 
-    ``bin_counts`` has ``_k``, ``_bin`` (NULL for NULL values) and ``_c``.
+    ``bin_counts`` has ``_k``, ``_bin`` and ``_c``.
     """
     per_group = Window.partitionBy("_k")
-    # NULL values have a bin of their own, count nothing, and stay for the extras.
-    seen = F.expr("CASE WHEN _bin IS NOT NULL THEN _c ELSE 0 END")
-    running = bin_counts.withColumn("_seen", seen).withColumns({
-        "_upto": F.sum("_seen").over(per_group.orderBy(F.col("_bin").asc_nulls_first())),
-        "_n": F.sum("_seen").over(per_group),
+    running = bin_counts.withColumns({
+        "_before": F.sum("_c").over(per_group.orderBy("_bin")) - F.col("_c"),
+        "_n": F.sum("_c").over(per_group),
     })
     wanted = sorted({rank for p in probs.values() for rank in _ranks(p)[:2]})
-    holds = " OR ".join(f"(_upto - _seen <= {rank} AND {rank} < _upto)" for rank in wanted)
-    target = f"CASE WHEN {holds} THEN struct(_bin AS bin, _upto - _seen AS before) END"
-    # At most two bins per quantile are collected.
-    aggregates = ["max(_n) AS _n", f"collect_list({target}) AS _targets"]
-    aggregates += [f"{sql} AS {name}" for name, sql in (extras or {}).items()]
-    return running.groupBy("_k").agg(*[F.expr(a) for a in aggregates])
-
-
-def resolve(counts: DataFrame, located: DataFrame, probs: Mapping[str, float], carry: Sequence[str] = ()
-            ) -> DataFrame:
-    """``_k``, the quantiles and the carried columns of ``located``; a group without values has NULLs."""
-    wanted = located.selectExpr("_k", "_n", *carry, "inline_outer(_targets) AS (_bin, _before)")
+    holds = " OR ".join(f"(_before <= {rank} AND {rank} < _before + _c)" for rank in wanted)
+    return running.filter(holds).drop("_c")
+
+
+def group_quantiles(rows: DataFrame, probs: Mapping[str, float]) -> DataFrame:
+    """``_k`` and one column per quantile, from rows of ``_k``, ``_bin`` and ``_v`` (not NULL). The value
+    counts are shuffled once and serve both the bin counts and the ordering."""
+    counts = rows.groupBy("_k", "_bin", "_v").agg(F.expr("count(*) AS _c"))
+    located = locate(counts.groupBy("_k", "_bin").agg(F.expr("sum(_c) AS _c")), probs)
     in_bin = Window.partitionBy("_k", "_bin").orderBy("_v")
-    ordered = wanted.join(counts, ["_k", "_bin"], "left").withColumn("_upto", F.sum("_c").over(in_bin))
+    ordered = counts.join(located, ["_k", "_bin"]).withColumn("_upto", F.col("_before") + F.sum("_c").over(in_bin))
     columns = []
     for name, p in probs.items():
         low, high, weight = _ranks(p)
         at_low, at_high = (
-            f"max(CASE WHEN _before + _upto - _c <= {rank} AND {rank} < _before + _upto THEN _v END)"
-            for rank in (low, high))
+            f"max(CASE WHEN _upto - _c <= {rank} AND {rank} < _upto THEN _v END)" for rank in (low, high))
         columns.append(f"{at_low} * (1 - max({weight})) + {at_high} * max({weight}) AS {name}")
-    columns += [f"max({c}) AS {c}" for c in carry]
     return ordered.groupBy("_k").agg(*[F.expr(c) for c in columns])
 
 
@@ -92,10 +87,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     """The keys and one column per quantile of ``value``, exact and interpolated. ``low`` and ``high``,
     numbers or column names, are the expected limits of the values; they steer the load, not the result.
     Groups without any value are absent."""
-    rows = df.selectExpr(key_sql(keys), f"{value} AS _v", f"{bin_sql(value, low, high, bins)} AS _bin")
-    counts = value_counts(rows.filter("_v IS NOT NULL AND NOT isnan(_v)"))
-    bin_counts = counts.groupBy("_k", "_bin").agg(F.expr("sum(_c) AS _c"))
-    found = resolve(counts, locate(bin_counts, probs), probs)
+    found = group_quantiles(keyed(df, keys, value, low, high, bins), probs)
     return found.selectExpr(*[f"_k.{k}" for k in keys], *probs)
 
 
