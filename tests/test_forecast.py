@@ -11,6 +11,7 @@ from zoneflow.operators import ranking, report
 from zoneflow.operators.hourly import store_features
 from zoneflow.plans import forecasting, training
 from zoneflow.schemas import METRIC_SCHEMA
+from zoneflow.session import work_dir
 
 FIRST = dt.datetime(2024, 1, 1)
 
@@ -256,6 +257,13 @@ def test_models_beat_the_mean_and_forecasts_are_whole(spark, history, bundle):
     with pytest.raises(Exception, match="(?i)unseen"):
         forecasting.generate_forecast(history.unionByName(stranger), models, hours=3).collect()
 
+    path = work_dir(spark)
+    training.save_bundle(models, path)
+    loaded = training.load_bundle(spark, path)
+    assert (loaded.features, loaded.medians, loaded.train_rows) == (models.features, models.medians, models.train_rows)
+    again = forecasting.generate_forecast(history, loaded, hours=6).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, rows))
+
     header, answer = forecasting.answer_request(history, models, hours=2, top=1, rank_by="tip")
     assert (header.hours, header.rank_by, header.row_count) == (2, "tip", 2) and answer.count() == 2
     with pytest.raises(LookupError):

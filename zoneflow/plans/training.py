@@ -9,11 +9,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Model
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -160,6 +160,26 @@ def metric_history(metrics: DataFrame, run_id: str, run_ts: dt.datetime) -> Data
     return metrics.withColumns(stamped).select(*METRIC_SCHEMA.names)
 
 
+def save_bundle(bundle: ModelBundle, path: str) -> None:
+    """Encoders and models with their Spark ML writers, the rest as a one-row JSON table."""
+    spark = SparkSession.active()
+    bundle.encoders.write().overwrite().save(f"{path}/encoders")
+    for layer, model in bundle.models.items():
+        model.write().overwrite().save(f"{path}/models/{layer}")
+    row = (bundle.features, [bundle.medians[c] for c in bundle.features], bundle.train_rows)
+    metadata = spark.createDataFrame([row], "features array<string>, medians array<double>, train_rows bigint")
+    metadata.write.mode("overwrite").json(f"{path}/metadata")
+
+
+def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
+    schema = "features array<string>, medians array<double>, train_rows bigint"
+    row = spark.read.schema(schema).json(f"{path}/metadata").first()
+    models = {layer: GBTRegressionModel.load(f"{path}/models/{layer}") for layer in PREDICTIONS}
+    models["tip"] = LogisticRegressionModel.load(f"{path}/models/tip")
+    encoders = StringIndexerModel.load(f"{path}/encoders")
+    return ModelBundle(encoders, list(row.features), dict(zip(row.features, row.medians)), models, row.train_rows)
+
+
 def draw_trees(n: int, seed: int, max_trees: int | None = None) -> list[TreeParams]:
     """Random points of the search space; the learning rate is drawn on a log scale."""
     rng = random.Random(seed)
