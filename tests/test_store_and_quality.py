@@ -48,6 +48,14 @@ def test_stored_upsert_rewrites_one_partition(spark, table):
     assert dict(found.dtypes)["trip_month"] == "string" and dict(found.dtypes)["t"] == "timestamp_ntz"
 
 
+@pytest.mark.parametrize("nothing", [lambda df: df.filter("v > 100"), lambda df: df.limit(0), lambda df: df.filter("false")])
+def test_a_month_without_rows_empties_its_partition(spark, table, nothing):
+    path = work_dir(spark)
+    sinks.write_month(table, path, "t")
+    sinks.write_month(nothing(table), path, "t", JANUARY)
+    assert sorted(r.v for r in sinks.read_months(spark, path).collect()) == [1, 4]
+
+
 def test_reading_a_window_prunes_partitions(spark, table):
     path = work_dir(spark)
     sinks.write_month(table, path, "t")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from zoneflow.config import MonthWindow
@@ -42,8 +42,14 @@ def write_month(df: DataFrame, path: str, ts: str, window: MonthWindow | None =
     rows = rows.withColumn("trip_month", month_of(F.col(ts)))
     if order:
         rows = rows.sortWithinPartitions("trip_month", *order)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    written = Observation()
+    counted = rows.observe(written, F.count("*").alias("rows"))
+    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("trip_month").parquet(path)
+    if window and not written.get.get("rows"):
+        # No row, no partition written: the month's old rows go with an empty one.
+        empty = rows.limit(0).drop("trip_month").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        empty.parquet(f"{path}/trip_month={window.month}")
 
 
 def read_months(spark, path: str, window: MonthWindow | None = None, schema=None) -> DataFrame:
