@@ -303,6 +303,9 @@ def test_search_points_lie_in_their_ranges_and_the_best_comes_first(history):
     assert tried[0][1] <= tried[1][1]
     tips = training.tune_tip(frame, training.draw_tips(2, seed=1))
     assert tips[0][1] <= tips[1][1] <= 1.0
+    models, metrics, best = training.train_tuned(history, trials=1, max_trees=2)
+    assert set(best) == set(models.models) == {"demand", "profit", "competition", "tip"}
+    assert metrics.count() == 12 and best["demand"].trees == 2
 
 
 def test_metadata(history):

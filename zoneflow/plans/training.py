@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import random
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -118,9 +119,15 @@ def prepare(store: DataFrame, split: SplitConfig = SplitConfig()
     return with_model_input(parts, features, medians), encoders, features, medians
 
 
+def _side_by_side(spark: SparkSession, task: Callable, items: Iterable, at_once: int) -> list:
+    """Run driver-side chains of Spark jobs at the same time; one chain alone leaves executors idle."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(task), items))
+
+
 def fit_models(frame: DataFrame, trees: dict[str, TreeParams] | None = None, tip: TipParams = TipParams(),
                seed: int = 42) -> tuple[dict[str, Model], int]:
-    """The four fits run side by side: each is a long chain of short jobs that leaves executors idle."""
+    """The four fits, side by side on one cached train part."""
     trees = trees or {}
     train = frame.filter(F.col("split") == "train").persist()
     try:
@@ -129,12 +136,10 @@ def fit_models(frame: DataFrame, trees: dict[str, TreeParams] | None = None, tip
             layer: _regressor(TARGETS[layer], trees.get(layer, TreeParams()), seed) for layer in PREDICTIONS
         }
         estimators["tip"] = _classifier(tip, rows)
-        with ThreadPoolExecutor(len(estimators)) as pool:
-            fit = inheritable_thread_target(frame.sparkSession)(lambda e: e.fit(train))
-            models = dict(zip(estimators, pool.map(fit, estimators.values())))
+        fitted = _side_by_side(frame.sparkSession, lambda e: e.fit(train), estimators.values(), len(estimators))
     finally:
         train.unpersist()
-    return models, rows
+    return dict(zip(estimators, fitted)), rows
 
 
 def predict(df: DataFrame, models: dict[str, Model]) -> DataFrame:
@@ -154,6 +159,18 @@ def train_models(store: DataFrame, trees: dict[str, TreeParams] | None = None, t
     return ModelBundle(encoders, features, medians, models, rows), metrics
 
 
+def train_tuned(store: DataFrame, trials: int = 20, split: SplitConfig = SplitConfig(), seed: int = 42,
+                max_trees: int | None = None) -> tuple[ModelBundle, DataFrame, dict[str, TreeParams | TipParams]]:
+    """Search each layer's parameters, then fit the four layers with the best. The frame is prepared once."""
+    frame, encoders, features, medians = prepare(store, split)
+    points = draw_trees(trials, seed, max_trees)
+    best = {layer: tune_trees(frame, layer, points, seed)[0][0] for layer in PREDICTIONS}
+    best["tip"] = tune_tip(frame, draw_tips(trials, seed))[0][0]
+    models, rows = fit_models(frame, {layer: best[layer] for layer in PREDICTIONS}, best["tip"], seed)
+    metrics = regression_metrics(predict(frame, models))
+    return ModelBundle(encoders, features, medians, models, rows), metrics, best
+
+
 def metric_history(metrics: DataFrame, run_id: str, run_ts: dt.datetime) -> DataFrame:
     """Metrics of a run as rows of the metric table that drift is computed on."""
     stamped = {"run_id": F.lit(run_id), "run_ts": ntz(run_ts)}
@@ -203,31 +220,40 @@ def draw_tips(n: int, seed: int) -> list[TipParams]:
     return [TipParams(c=math.exp(rng.uniform(*map(math.log, TipParams.RANGES["c"])))) for _ in range(n)]
 
 
-def tune_trees(frame: DataFrame, layer: str, points: list[TreeParams], seed: int = 42
+def _best_first(tried: Iterable[tuple]) -> list[tuple]:
+    return sorted(tried, key=lambda point: math.inf if point[1] is None else point[1])
+
+
+def tune_trees(frame: DataFrame, layer: str, points: list[TreeParams], seed: int = 42, at_once: int = 4
                ) -> list[tuple[TreeParams, float]]:
     """Valid mean absolute error of every point, best first. The chronological valid part is used as it
-    is; each fit runs distributed, so points are tried one after another."""
+    is, never a random one."""
     target = TARGETS[layer]
     train = frame.filter(F.col("split") == "train").persist()
     valid = frame.filter(F.col("split") == "valid")
+    error = F.avg(F.abs(F.col(target) - F.col("prediction")))
+
+    def attempt(params: TreeParams) -> tuple[TreeParams, float]:
+        return params, _regressor(target, params, seed).fit(train).transform(valid).agg(error).first()[0]
+
     try:
-        tried = []
-        for params in points:
-            scored = _regressor(target, params, seed).fit(train).transform(valid)
-            tried.append((params, scored.agg(F.avg(F.abs(F.col(target) - F.col("prediction")))).first()[0]))
+        train.count()
+        return _best_first(_side_by_side(frame.sparkSession, attempt, points, at_once))
     finally:
         train.unpersist()
-    return sorted(tried, key=lambda point: math.inf if point[1] is None else point[1])
 
 
-def tune_tip(frame: DataFrame, points: list[TipParams]) -> list[tuple[TipParams, float]]:
+def tune_tip(frame: DataFrame, points: list[TipParams], at_once: int = 4) -> list[tuple[TipParams, float]]:
     """1 - valid accuracy of every point, best first."""
     train = frame.filter(F.col("split") == "train").persist()
-    rows = train.count()
     valid = frame.filter(F.col("split") == "valid")
     wrong = F.avg((F.col("prediction") != F.col("high_tip_zone")).cast("double"))
     try:
-        tried = [(p, _classifier(p, rows).fit(train).transform(valid).agg(wrong).first()[0]) for p in points]
+        rows = train.count()
+
+        def attempt(params: TipParams) -> tuple[TipParams, float]:
+            return params, _classifier(params, rows).fit(train).transform(valid).agg(wrong).first()[0]
+
+        return _best_first(_side_by_side(frame.sparkSession, attempt, points, at_once))
     finally:
         train.unpersist()
-    return sorted(tried, key=lambda point: math.inf if point[1] is None else point[1])
