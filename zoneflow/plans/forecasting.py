@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Row
-from pyspark.sql import functions as F
 
 from zoneflow.operators.enrich import bounded
 from zoneflow.operators.forecast import (
