@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as contract
+from zoneflow import oracle, queries as registered
 
 duckdb = pytest.importorskip("duckdb")
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-SQL = contract.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +34,7 @@ def test_query_equals_its_sql(spark, sf_dir, duck, name):
 
 
 def test_every_query_without_sql_is_a_model_query():
-    assert set(contract.queries()) - set(SQL) == {"train_forecast", "tune_demand"}
+    assert set(registered.queries()) - set(SQL) == {"train_forecast", "tune_demand"}
     assert set(SQL) <= set(contract.queries())
 
 
