@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zoneflow.llm.common import table
+from zoneflow.llm import language_id
+from zoneflow.llm.common import id_hash_mod, table
 from zoneflow.llm.exact_dedup import mark_copies
 from zoneflow.llm.url_filter import Rule, judge_urls
 
@@ -23,5 +25,13 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", id_hash_mod("doc_id", 4) == 2)
+    model = language_id.learn(docs.filter(~F.col("held_out")))
+    judged = language_id.identify(docs.select("doc_id", "held_out", "text"), model)
+    return judged.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), "language.score",
+                         "language.rejected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_url_filter, op6_exact_dedup)}
+    return {f.__name__: f for f in (op3_url_filter, op6_exact_dedup, op9_language_id)}
