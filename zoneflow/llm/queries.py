@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.llm import language_id
+from zoneflow.llm.best_fit_packing import pack_documents
 from zoneflow.llm.common import id_hash_mod, table
 from zoneflow.llm.exact_dedup import mark_copies
 from zoneflow.llm.url_filter import Rule, judge_urls
@@ -17,6 +18,13 @@ URL_RULES = (
     Rule("com", "/fr/", "allow"), Rule("com", "/de/", "block"))
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file lies, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -25,6 +33,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", id_hash_mod("doc_id", 4) == 2)
     model = language_id.learn(docs.filter(~F.col("held_out")))
@@ -34,4 +46,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_url_filter, op6_exact_dedup, op9_language_id)}
+    return {f.__name__: f for f in (op3_url_filter, op6_exact_dedup, op8_best_fit_packing, op9_language_id)}
