@@ -22,7 +22,7 @@ def lower_ascii(c: Column) -> Column:
 
 def word_array(text: Column, separators: str) -> Column:
     """The words of a text: what stands between runs of ``separators``. NULL counts as empty."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), separators), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
 
 
 def word_count(text: Column) -> Column:

@@ -11,6 +11,7 @@ from zoneflow.llm import language_id
 from zoneflow.llm.best_fit_packing import pack_documents
 from zoneflow.llm.common import id_hash_mod, table
 from zoneflow.llm.exact_dedup import mark_copies
+from zoneflow.llm.license_scan import labelled, spans
 from zoneflow.llm.url_filter import Rule, judge_urls
 
 URL_RULES = (
@@ -25,6 +26,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled(spans(table(spark, sf_dir, "documents")))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -46,4 +51,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_url_filter, op6_exact_dedup, op8_best_fit_packing, op9_language_id)}
+    return {f.__name__: f for f in (op1_license_scan, op3_url_filter, op6_exact_dedup, op8_best_fit_packing, op9_language_id)}
