@@ -32,6 +32,23 @@ SELECT page_id, host, path, rule,
 FROM ruled"""
 
 
+OP5 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+     AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.r AS a, b.r AS b, a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+   AND list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e)) / sqrt(list_dot_product(b.e, b.e)) >= 0.98),
+reach(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v LEFT JOIN counts ON a = r JOIN least ON x = vec_id"""
+
+
 OP6 = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
 g AS (SELECT doc_id, body, max(doc_id) OVER (PARTITION BY body) AS keep_id,
@@ -40,4 +57,4 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": op3(), "op6_exact_dedup": OP6}
+    return {"op3_url_filter": op3(), "op5_embedding_dedup": OP5, "op6_exact_dedup": OP6}

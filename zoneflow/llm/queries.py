@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from zoneflow.llm import language_id
 from zoneflow.llm.best_fit_packing import pack_documents
 from zoneflow.llm.common import id_hash_mod, table
+from zoneflow.llm.embedding_dedup import near_copies
 from zoneflow.llm.exact_dedup import mark_copies
 from zoneflow.llm.license_scan import labelled, spans
 from zoneflow.llm.url_filter import Rule, judge_urls
@@ -34,6 +35,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"), keep="max")
 
@@ -51,4 +56,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op3_url_filter, op6_exact_dedup, op8_best_fit_packing, op9_language_id)}
+    return {f.__name__: f for f in (op1_license_scan, op3_url_filter, op5_embedding_dedup, op6_exact_dedup, op8_best_fit_packing, op9_language_id)}
