@@ -13,6 +13,7 @@ from zoneflow.llm.common import id_hash_mod, table
 from zoneflow.llm.embedding_dedup import near_copies
 from zoneflow.llm.exact_dedup import mark_copies
 from zoneflow.llm.license_scan import labelled, spans
+from zoneflow.llm.source_mix import mix_sources
 from zoneflow.llm.url_filter import Rule, judge_urls
 
 URL_RULES = (
@@ -20,6 +21,13 @@ URL_RULES = (
     Rule("com", "/fr/", "allow"), Rule("com", "/de/", "block"))
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mix_sources(table(spark, sf_dir, "documents"))
+    return mix.places.join(mix.taken(), "row", "left").select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target",
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
 def vocabulary(name: str) -> str:
     """Where a public tokenizer's file lies, the same on every machine."""
     import public_tokenizers
@@ -56,4 +64,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op3_url_filter, op5_embedding_dedup, op6_exact_dedup, op8_best_fit_packing, op9_language_id)}
+    return {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_url_filter, op5_embedding_dedup, op6_exact_dedup, op8_best_fit_packing, op9_language_id)}
