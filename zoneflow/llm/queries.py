@@ -13,6 +13,7 @@ from zoneflow.llm.common import id_hash_mod, table
 from zoneflow.llm.embedding_dedup import near_copies
 from zoneflow.llm.exact_dedup import mark_copies
 from zoneflow.llm.license_scan import labelled, spans
+from zoneflow.llm.ngram_join import similar_components
 from zoneflow.llm.source_mix import mix_sources
 from zoneflow.llm.url_filter import Rule, judge_urls
 
@@ -63,5 +64,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "language.rejected")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_url_filter, op5_embedding_dedup, op6_exact_dedup, op8_best_fit_packing, op9_language_id)}
+    return {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_url_filter, op5_embedding_dedup, op6_exact_dedup, op8_best_fit_packing, op9_language_id, op10_ngram_join)}
