@@ -30,59 +30,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.llm.components import connected_components
+from zoneflow.llm.word_hash import RADIX, WordHasher, chunks, mixed
 from zoneflow.session import materialize
 
 WORDS, PERCENT = 5, 80
-LIGHT, BLOCK, BUCKET_SHINGLES, CHUNK_BYTES, MOST_MATCHES = 64, 512, 2_000_000, 2_000_000, 8
-FOLD = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
-IS_SPACE = np.zeros(256, dtype=bool)
-IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-RADIX = 0x9E3779B97F4A7C15
+LIGHT, BLOCK, BUCKET_SHINGLES, MOST_MATCHES = 64, 512, 2_000_000, 8
 #: Factors of a shingle's words, by their place.
 PLACES = np.array([pow(0xD1B54A32D192ED03, k + 1, 2 ** 64) for k in range(64)], dtype=np.uint64)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Shingler:
+class Shingler(WordHasher):
     """Shingle sets of many texts at once."""
 
     def __init__(self, words: int = WORDS):
+        super().__init__()
         self.words = words
-        self.grow(1 << 16)
-
-    def grow(self, size: int) -> None:
-        """Powers of the radix and of its inverse, for buffers of ``size`` bytes."""
-        def powers(base: int) -> np.ndarray:
-            with np.errstate(over="ignore"):
-                return np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, base, dtype=np.uint64)]), dtype=np.uint64)
-        self.up, self.down = powers(RADIX), powers(pow(RADIX, -1, 2 ** 64))
-
-    def word_hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(text number, hash) of every word in order."""
-        data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
-        if len(data) >= len(self.up):
-            self.grow(max(len(data), 2 * len(self.up)))
-        space = IS_SPACE[data]
-        word = ~space
-        starts = np.flatnonzero(word & np.concatenate([[True], space[:-1]]))
-        ends = np.flatnonzero(space & np.concatenate([[False], word[:-1]]))
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:len(data)], out=sums[1:])
-        hashes = mixed((sums[ends] - sums[starts]) * self.down[starts] ^ (ends - starts).astype(np.uint64))
-        lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-        return np.searchsorted(np.cumsum(lengths), starts, "right"), hashes
 
     def sets(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text number, shingle) of each text's distinct shingles, the sets' sizes, and their classes (0 if empty)."""
-        own, word = self.word_hashes([(t or "").encode("utf-8", "surrogatepass").translate(FOLD) for t in texts])
+        own, word, _ = self.word_hashes(texts)
         count, k = np.bincount(own, minlength=len(texts)), self.words
         first = np.flatnonzero(own[:-k + 1] == own[k - 1:]) if len(own) >= k else np.empty(0, np.int64)
         shingle = np.zeros(len(first), dtype=np.uint64)
@@ -108,18 +74,6 @@ class Shingler:
         return own, shingle, sizes, classes
 
 
-def chunks(texts: list[str | None]) -> Iterator[slice]:
-    """Runs of texts of some megabytes; a longer text is a run of its own."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text or "") > CHUNK_BYTES:
-            yield slice(begin, i)
-            begin, size = i, 0
-        size += len(text or "") + 1
-    if begin < len(texts):
-        yield slice(begin, len(texts))
-
-
 def class_rows(words: int):
     """id, n (shingles), cls of every text; NULL for a text without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
