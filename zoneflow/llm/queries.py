@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import language_id
+from zoneflow.llm import language_id, lm_scoring
 from zoneflow.llm.best_fit_packing import pack_documents
 from zoneflow.llm.common import id_hash_mod, table
 from zoneflow.llm.embedding_dedup import near_copies
@@ -52,6 +52,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_hash_mod("doc_id", 7) == 2
+    docs = table(spark, sf_dir, "documents")
+    model = lm_scoring.train(docs.filter(~held_out))
+    return lm_scoring.score(docs, model, keep=(held_out.alias("held_out"),)).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -69,4 +77,4 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_url_filter, op5_embedding_dedup, op6_exact_dedup, op8_best_fit_packing, op9_language_id, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_url_filter, op5_embedding_dedup, op6_exact_dedup, op7_lm_scoring, op8_best_fit_packing, op9_language_id, op10_ngram_join)}
