@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zoneflow.llm import language_id, lm_scoring
 from zoneflow.llm.best_fit_packing import pack_documents
-from zoneflow.llm.common import id_hash_mod, table
+from zoneflow.llm.common import id_hash_mod, table, vocabulary
 from zoneflow.llm.embedding_dedup import near_copies
 from zoneflow.llm.exact_dedup import mark_copies
 from zoneflow.llm.license_scan import labelled, spans
@@ -29,13 +29,6 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def vocabulary(name: str) -> str:
-    """Where a public tokenizer's file lies, the same on every machine."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(spans(table(spark, sf_dir, "documents")))
 
