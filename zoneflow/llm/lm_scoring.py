@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from zoneflow.llm.word_hash import WordHasher, chunks, mixed
 from zoneflow.session import materialize
 
-FREQUENT, TOP, ENDINGS, DIM, NOISE, BATCH, EPOCHS, RATE, SEED = 20_000, 255, 64, 16, 64, 4096, 2, 0.15, 17
+FREQUENT, TOP, ENDINGS, DIM, NOISE, BATCH, EPOCHS, RATE, SEED = 20_000, 255, 192, 16, 64, 1024, 2, 0.3, 17
 #: The end of a text as a token, told apart from all words' hashes by its class.
 END_HASH = 0
 
