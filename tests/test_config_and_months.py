@@ -132,7 +132,7 @@ def test_latest_snapshot_is_the_newest_run(spark):
     assert values(months.latest_snapshot(runs), "id") == [2, 3]
 
 
-def test_latest_forecast_file_by_modification_time(spark):
+def test_latest_forecast_is_read_whole_and_alone(spark):
     import os
 
     from zoneflow.operators.ranking import forecast_output
@@ -141,10 +141,18 @@ def test_latest_forecast_file_by_modification_time(spark):
 
     base = work_dir(spark)
     for name, zone, age in (("old", "A", 100), ("new", "B", 0)):
-        rows = spark.createDataFrame([(dt.datetime(2024, 1, 1), zone, "X", 1, *[0.5] * 9)], FORECAST_SCHEMA)
-        write_forecast(forecast_output(rows).coalesce(1), spark.range(1), base, name)
-        for entry in os.scandir(f"{base}/{name}.csv"):
-            stamp = entry.stat().st_mtime - age
+        rows = spark.createDataFrame(
+            [(dt.datetime(2024, 1, 1, h), zone, "X", 1, *[0.5] * 9) for h in range(24)], FORECAST_SCHEMA)
+        write_forecast(forecast_output(rows).repartition(8), spark.range(1), base, name)
+        for i, entry in enumerate(os.scandir(f"{base}/{name}.csv")):
+            stamp = entry.stat().st_mtime - age - i  # parts of one run end at different times
             os.utime(entry.path, (stamp, stamp))
-    assert values(months.read_latest_forecast(spark, f"{base}/*.csv", FORECAST_SCHEMA), "PUZone") == ["B"]
+    assert values(months.read_latest_forecast(spark, base, FORECAST_SCHEMA), "PUZone") == ["B"] * 24
+    assert values(months.read_latest_forecast(spark, f"{base}/*.csv", FORECAST_SCHEMA), "PUZone") == ["B"] * 24
     assert {r.file_name.split(".")[-1] for r in months.file_listing(spark, base).collect()} <= {"parquet"}
+
+
+def test_no_forecast_written_reads_as_no_rows(spark, tmp_path):
+    from zoneflow.schemas import FORECAST_SCHEMA
+
+    assert months.read_latest_forecast(spark, str(tmp_path), FORECAST_SCHEMA).count() == 0

@@ -143,9 +143,9 @@ def test_window_check_fails_fast(history):
     first = fc.start_column(history)
     future = fc.future_grid(history, first, 4)
     fc.assert_forecast_window(future, first, 4)
-    with pytest.raises(ValueError, match="mismatch"):
+    with pytest.raises(ValueError, match="asked for"):
         fc.assert_forecast_window(future, first, 5)
-    with pytest.raises(ValueError, match="mismatch"):
+    with pytest.raises(ValueError, match="asked for"):
         fc.assert_forecast_window(future.limit(0), first, 4)
 
 
@@ -305,7 +305,9 @@ def test_search_points_lie_in_their_ranges_and_the_best_comes_first(history):
     assert tips[0][1] <= tips[1][1] <= 1.0
     models, metrics, best = training.train_tuned(history, trials=1, max_trees=2)
     assert set(best) == set(models.models) == {"demand", "profit", "competition", "tip"}
-    assert metrics.count() == 12 and best["demand"].trees == 2
+    assert metrics.count() == 12 and best["demand"].trees <= 2
+    bounded = [p.trees for p in training.draw_trees(50, seed=1, max_trees=20)]
+    assert len(set(bounded)) > 3 and max(bounded) <= 20
 
 
 def test_metadata(history):
@@ -318,3 +320,30 @@ def test_lag_mode_of_the_store_is_independent_of_the_forecast(make_cells):
     cells = make_cells([("A", h, h + 1, 40.0) for h in (0, 2)])
     found = [r.lag_1h_trip_count for r in store_features(cells, StoreConfig(lag_mode="time")).orderBy("ts_hour").collect()]
     assert found == [None, None]
+
+
+def test_history_of_a_name_in_three_boroughs_reaches_all_lags(spark, make_cells):
+    cells = make_cells([("A", h, h + 1, float(h)) for h in range(504)], "X")
+    for borough in ("Y", "Z"):
+        cells = cells.unionByName(make_cells([("A", h, h + 1, float(h)) for h in range(504)], borough))
+    first = fc.start_column(cells)
+    recent = fc.recent_history(cells, first, 1)
+    assert recent.agg({"ts_hour": "min"}).first()[0] == dt.datetime(2024, 1, 1) + dt.timedelta(hours=504 - 337)
+    assert recent.count() == 3 * 337
+
+
+def test_month_writes_training_and_forecast_in_one_session(spark, history):
+    from zoneflow.config import MonthWindow
+    from zoneflow.session import work_dir
+    from zoneflow.sources.sinks import read_months, write_month
+
+    path = work_dir(spark)
+    write_month(history, path, "ts_hour", MonthWindow("2024-01"))
+    stored = read_months(spark, path).drop("trip_month")
+    quick = {layer: training.TreeParams(trees=1, depth=2) for layer in training.PREDICTIONS}
+    bundle, _ = training.train_models(stored, quick, training.TipParams(max_iter=5))
+    rows = forecasting.generate_forecast(stored, bundle, hours=2)
+    write_month(history, path, "ts_hour", MonthWindow("2024-01"))
+    assert rows.count() == 2 * history.select("PUZone").distinct().count()
+    with pytest.raises(ValueError, match="several rows"):
+        forecasting.generate_forecast(history.unionByName(history.limit(1)), bundle, hours=2)

@@ -67,3 +67,17 @@ def test_medians_of_columns_per_group_and_overall(spark):
     overall = column_medians(df, ["x", "n", "nothing"]).collect()
     assert len(overall) == 1
     assert (overall[0].x, overall[0].n, overall[0].nothing) == (median(r[1] for r in rows), median(r[2] for r in rows), None)
+
+
+def test_one_far_value_takes_no_bins_from_the_others(spark):
+    """999,999 usual values and one of 1e12: no bin holds more than a few hundredths of them."""
+    from zoneflow.operators.quantiles import BINS, TAIL_SCALE, bin_sql, tail_limits
+
+    long = spark.range(100_000).selectExpr(
+        "'c' AS _column", "CASE WHEN id = 7 THEN 1e12 WHEN id = 8 THEN -1e12 ELSE (id * 7919) % 100003 / 1e5 END AS _value")
+    fullest = long.join(tail_limits(long), "_column").selectExpr(
+        f"{bin_sql(TAIL_SCALE, '_low', '_high', BINS)} AS bin").groupBy("bin").count().agg({"count": "max"}).first()[0]
+    assert fullest < 6_000
+    wide = long.selectExpr("_value AS c", "_value * 2 AS d")
+    assert column_medians(wide, ["c", "d"]).first().asDict() == wide.selectExpr(
+        "percentile(c, 0.5) AS c", "percentile(d, 0.5) AS d").first().asDict()

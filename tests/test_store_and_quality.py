@@ -97,6 +97,8 @@ def test_month_by_month_equals_the_full_run(spark, two_months, zones, weather):
     assert rows(built.select(*columns).select(*rounded)) == rows(wanted.select(*rounded))
     trips = sinks.read_months(spark, tables.trips)
     assert trips.groupBy("trip_month").count().count() == 2
+    joined = sinks.read_months(spark, tables.enriched)
+    assert joined.count() == two_months.count() and {"PUZone", "temperature_2m"} <= set(joined.columns)
     assert trips.select(*TRIP_SCHEMA.names).count() <= two_months.count()
 
 
@@ -106,6 +108,33 @@ def test_build_refuses_trips_without_required_columns(spark, make_trips, zones,
         build_month(spark, trips, zones, no_weather, "2024-01", Tables(work_dir(spark)))
 
 
+@pytest.mark.parametrize("change, group, rule", [
+    ({"passenger_count": 11.0}, "ranges", "passenger_count"),
+    ({"payment_type": 9}, "value_sets", "payment_type"),
+])
+def test_build_refuses_bad_trips_unless_the_group_is_left_out(spark, make_trips, zones, no_weather, change, group, rule):
+    from zoneflow.plans.month import CHECKS, check_month
+
+    trips = make_trips({"at": dt.datetime(2024, 1, 1, 3), **change})
+    others = set(CHECKS) - {"schema", group}
+    with pytest.raises(quality.QualityError, match=rule):
+        check_month(trips, no_weather, JANUARY, {group})
+    check_month(trips, no_weather, JANUARY, others)
+    with pytest.raises(ValueError):
+        check_month(trips, no_weather, JANUARY, {"colour"})
+
+
+def test_build_refuses_many_copies_and_impossible_weather(spark, make_trips, zones):
+    from zoneflow.plans.month import check_month
+
+    trips = make_trips(*[{"at": dt.datetime(2024, 1, 1, 3)}] * 20)
+    cold = spark.createDataFrame([{"date": dt.datetime(2024, 1, 1), "type": "hourly", "temperature_2m": -400.0}], WEATHER_SCHEMA)
+    with pytest.raises(quality.QualityError, match="duplicates"):
+        check_month(trips, cold, JANUARY, {"duplicates"})
+    with pytest.raises(quality.QualityError, match="temperature_2m"):
+        check_month(trips, cold, JANUARY, {"weather"})
+
+
 def test_summary_and_preview(make_cells):
     from zoneflow.operators.hourly import store_features
 

@@ -16,19 +16,6 @@ TRIP_WEATHER_HOURLY = (
 )
 TRIP_WEATHER_DAILY = ("apparent_temperature_mean", "precipitation_hours", "sunrise", "sunset")
 
-# A build side below this many rows (some MB) is broadcast. Above it Spark's own size estimate decides.
-BROADCAST_ROWS = 200_000
-
-
-def bounded(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast hint for a side whose row count provably stays below ``max_rows``; without a small
-    enough proof the side is left to Spark's size check, which falls back to a sort-merge join whose
-    hot keys AQE splits."""
-    if max_rows is not None and max_rows <= BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
-
-
 def with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Pickup and dropoff zone names. Unknown ids keep their trip, with NULL names.
 
@@ -48,7 +35,8 @@ def with_weather(trips: DataFrame, weather: DataFrame, window: MonthWindow | Non
     """Weather of the pickup's hour and day.
 
     With a month window the weather side holds at most one row per hour of it, which proves that it
-    can be broadcast. Each side is one row per time step, so no trip is multiplied.
+    can be broadcast; without one the choice is left to Spark's size check. Each side is one row per time
+    step, so no trip is multiplied.
     """
     pickup = "tpep_pickup_datetime"
     if window:
@@ -57,8 +45,10 @@ def with_weather(trips: DataFrame, weather: DataFrame, window: MonthWindow | Non
     daily = unique_weather(weather, "daily", F.to_date("date"), TRIP_WEATHER_DAILY).withColumnRenamed("at", "_day")
     # Sub-hour time stamps never match a pickup hour; without them the bound on the hourly side holds.
     hourly = hourly.filter(F.col("_hour") == hour_floor("_hour"))
-    joined = trips.join(bounded(hourly, window and window.hours), hour_floor(pickup) == F.col("_hour"), "left")
-    joined = joined.join(bounded(daily, window and window.hours), F.to_date(pickup) == F.col("_day"), "left")
+    if window:
+        hourly, daily = F.broadcast(hourly), F.broadcast(daily)
+    joined = trips.join(hourly, hour_floor(pickup) == F.col("_hour"), "left")
+    joined = joined.join(daily, F.to_date(pickup) == F.col("_day"), "left")
     return joined.drop("_hour", "_day")
 
 

@@ -78,7 +78,7 @@ def check_request(hours: int, top: int | None = None, rank_by: str = "opportunit
     if top is not None and top < 1:
         raise ValueError(f"top must be at least 1, got {top}")
     if rank_by not in RANK_SIGNALS:
-        raise ValueError(f"rank_by must be one of {list(RANK_SIGNALS)}, got {rank_by!r}")
+        raise ValueError(f"no signal {rank_by!r} to rank by; known: {', '.join(RANK_SIGNALS)}")
 
 
 def check_online_request(hours: int, top: int | None, rank_by: str) -> None:
@@ -125,13 +125,13 @@ def recent_history(history: DataFrame, first: Column, hours: int, rows_back: int
     """The rows of each zone that lags and rolling values of the grid can depend on.
 
     Lags reach rows of the last ``hours_back`` hours and of the horizon; a window on such a row reaches
-    ``rows_back`` rows further, however old. So the newest ``rows_back + hours_back + hours`` rows per zone,
-    at one row per hour, are enough, and Spark drops the others before the shuffle. Nothing changes in the
-    result; years of history just stay where they are.
+    ``rows_back`` rows further, however old. So the newest ``rows_back + hours_back + hours`` hours that a zone
+    has rows in are enough, with all rows of each, and Spark drops the others before the shuffle. Nothing
+    changes in the result; years of history just stay where they are.
     """
-    newest = Window.partitionBy("PUZone").orderBy(F.col("ts_hour").desc(), F.col("PUBorough").desc())
+    newest = Window.partitionBy("PUZone").orderBy(F.col("ts_hour").desc())
     reached = history.filter(F.col("ts_hour") < plus_hours(first, hours))
-    numbered = reached.withColumn("_newest", F.row_number().over(newest))
+    numbered = reached.withColumn("_newest", F.dense_rank().over(newest))
     return numbered.filter(F.col("_newest") <= rows_back + hours_back + hours).drop("_newest")
 
 
@@ -222,5 +222,5 @@ def forecast_window_check(future: DataFrame, first: Column, hours: int) -> DataF
 def assert_forecast_window(future: DataFrame, first: Column, hours: int) -> None:
     row = forecast_window_check(future, first, hours).first()
     if not row.ok:
-        raise ValueError(f"forecast window mismatch: expected {row.expected_first} to {row.expected_last}, "
-                         f"got {row.actual_first} to {row.actual_last}")
+        raise ValueError(f"the rows span {row.actual_first} to {row.actual_last}, asked for were {row.expected_first} "
+                         f"to {row.expected_last}")

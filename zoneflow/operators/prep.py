@@ -45,15 +45,21 @@ def split_known(df: DataFrame, labels: dict[str, DataFrame]) -> tuple[DataFrame,
     ``labels`` gives, per column, a one-column frame of known names; the sides are dimensions, so Spark's
     size check broadcasts them. One flag per row decides, so the two parts are a partition of ``df``.
     """
-    flagged = df
+    flagged = flag_known(df, labels)
+    return flagged.filter("_known").drop("_known"), flagged.filter("NOT _known").drop("_known")
+
+
+def flag_known(df: DataFrame, labels: dict[str, DataFrame]) -> DataFrame:
+    """``df`` with ``_known``: whether all its categories are among the labels."""
+    flagged, flags = df, []
     for column, names in labels.items():
-        side = names.select(F.col(column).alias("_label"), F.lit(True).alias(f"_known_{column}")).distinct()
+        flags.append(f"_known_{column}")
+        side = names.select(F.col(column).alias("_label"), F.lit(True).alias(flags[-1])).distinct()
         flagged = flagged.join(side, F.col(column) == F.col("_label"), "left").drop("_label")
     known = F.lit(True)
-    for column in labels:
-        known &= F.coalesce(F.col(f"_known_{column}"), F.lit(False))
-    flags = [f"_known_{column}" for column in labels]
-    return flagged.filter(known).drop(*flags), flagged.filter(~known).drop(*flags)
+    for flag in flags:
+        known &= F.coalesce(F.col(flag), F.lit(False))
+    return flagged.withColumn("_known", known).drop(*flags)
 
 
 def known_category_filter(df: DataFrame, labels: dict[str, DataFrame]) -> DataFrame:

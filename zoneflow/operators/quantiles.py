@@ -37,10 +37,11 @@ def bin_sql(value: str, low: float | str, high: float | str, bins: int = BINS) -
     return f"CASE WHEN {value} IS NOT NULL THEN int(least(greatest(floor({share} * {bins}), 0), {bins - 1})) END"
 
 
-def keyed(df: DataFrame, keys: Sequence[str], value: str, low: float | str, high: float | str, bins: int = BINS
-          ) -> DataFrame:
-    """The rows with a value, as group, bin and value."""
-    rows = df.selectExpr(key_sql(keys), f"{value} AS _v", f"{bin_sql(value, low, high, bins)} AS _bin")
+def keyed(df: DataFrame, keys: Sequence[str], value: str, low: float | str, high: float | str, bins: int = BINS,
+          scale: str | None = None) -> DataFrame:
+    """The rows with a value, as group, bin and value. ``scale`` is what is cut into bins instead of the value;
+    it must grow with the value."""
+    rows = df.selectExpr(key_sql(keys), f"{value} AS _v", f"{bin_sql(scale or value, low, high, bins)} AS _bin")
     return rows.filter("_v IS NOT NULL AND NOT isnan(_v)")
 
 
@@ -83,14 +84,29 @@ def group_quantiles(rows: DataFrame, probs: Mapping[str, float]) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float],
-                    low: float | str, high: float | str, bins: int = BINS) -> DataFrame:
+                    low: float | str, high: float | str, bins: int = BINS, scale: str | None = None) -> DataFrame:
     """The keys and one column per quantile of ``value``, exact and interpolated. ``low`` and ``high``,
     numbers or column names, are the expected limits of the values; they steer the load, not the result.
     Groups without any value are absent."""
-    found = group_quantiles(keyed(df, keys, value, low, high, bins), probs)
+    found = group_quantiles(keyed(df, keys, value, low, high, bins, scale), probs)
     return found.selectExpr(*[f"_k.{k}" for k in keys], *probs)
 
 
+#: Grows with the value: straight around the middle, logarithmic far from it.
+TAIL_SCALE = "signum(_value - _middle) * log1p(abs(_value - _middle) / _width)"
+
+
+def tail_limits(long: DataFrame) -> DataFrame:
+    """Per column: where its values are dense (approximate quantiles, which steer the load and not the result), and the
+    limits of :data:`TAIL_SCALE`. One far value so takes no bins away from the usual ones."""
+    spread = long.groupBy("_column").agg(F.expr(
+        "approx_percentile(_value, array(0.05D, 0.25D, 0.5D, 0.75D, 0.95D)) AS q"), F.expr("min(_value) AS a"), F.expr("max(_value) AS b"))
+    width = "coalesce(nullif(q[3] - q[1], 0D), nullif(q[4] - q[0], 0D), nullif(b - a, 0D), 1D)"
+    at = spread.selectExpr("_column", "a", "b", "q[2] AS _middle", f"{width} AS _width")
+    return at.selectExpr("_column", "_middle", "_width", f"{TAIL_SCALE.replace('_value', 'a')} AS _low",
+                         f"{TAIL_SCALE.replace('_value', 'b')} AS _high")
+
+
 def column_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Exact median of many columns, wide: one row per group (one row in all without keys).
 
@@ -100,9 +116,8 @@ def column_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] =
     pairs = ", ".join(f"'{c}', double({c})" for c in columns)
     long = df.selectExpr(*keys, f"stack({len(columns)}, {pairs}) AS (_column, _value)")
     long = long.filter("_value IS NOT NULL AND NOT isnan(_value)")
-    limits = long.groupBy("_column").agg(F.expr("min(_value) AS _low"), F.expr("max(_value) AS _high"))
     # One row per column name: bounded by the argument list.
-    long = long.join(F.broadcast(limits), "_column")
-    medians = exact_quantiles(long, [*keys, "_column"], "_value", {"_median": 0.5}, "_low", "_high")
+    long = long.join(F.broadcast(tail_limits(long)), "_column")
+    medians = exact_quantiles(long, [*keys, "_column"], "_value", {"_median": 0.5}, "_low", "_high", scale=TAIL_SCALE)
     pick = [F.expr(f"max(CASE WHEN _column = '{c}' THEN _median END) AS {c}") for c in columns]
     return medians.groupBy(*keys).agg(*pick)

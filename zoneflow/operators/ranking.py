@@ -49,7 +49,7 @@ def rank_order(rank_by: str) -> list[Column]:
 def rank_zones(scored: DataFrame, rank_by: str = "opportunity") -> DataFrame:
     """Rank 1..n within every hour. A partition holds the zones of one hour."""
     if rank_by not in RANK_SIGNALS:
-        raise ValueError(f"rank_by must be one of {list(RANK_SIGNALS)}, got {rank_by!r}")
+        raise ValueError(f"no signal to rank by among {list(RANK_SIGNALS)}, got {rank_by!r}")
     hour = Window.partitionBy("ts_hour").orderBy(*rank_order(rank_by))
     return scored.withColumn("rank", F.row_number().over(hour))
 

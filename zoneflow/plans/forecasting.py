@@ -6,14 +6,14 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Row
 
-from zoneflow.operators.enrich import bounded
 from zoneflow.operators.forecast import (
     CORRECTED_LAG_PLAN, HISTORY_ROLLING, LAG_PLAN, ONLINE_LAG_PLAN, assert_forecast_window, check_online_request,
     check_request, fill_missing, future_grid, history_rolling, lag_derived, recent_history,
-    start_column, time_lag_join,    zone_hour_stats,
+    start_column, time_lag_join, zone_hour_stats,
 )
 from zoneflow.operators.prep import encode_categoricals, encoder_labels, known_category_filter
 from zoneflow.operators.ranking import forecast_output, forecast_summary, opportunity_score, rank_zones
+from zoneflow.operators.store import repeated_cells
 from zoneflow.plans.training import ModelBundle, predict, with_model_input
 from zoneflow.session import materialize
 
@@ -45,7 +45,7 @@ def forecast_frame(history: DataFrame, first: Column, hours: int, mode: str = "b
 def generate_forecast(history: DataFrame, bundle: ModelBundle, hours: int = 24, start: dt.datetime | None = None,
                       top: int | None = None, rank_by: str = "opportunity", mode: str = "batch",
                       compat: bool = True, check: bool = False) -> DataFrame:
-    """Ranked forecast rows.
+    """Ranked forecast rows, in no order; ``(zone, hour)`` must be unique in the history.
 
     The online mode limits the horizon, drops zones that training did not know and cleans unknown values;
     the batch mode takes unknown zones as an error. ``check`` verifies the hours of the result.
@@ -53,10 +53,13 @@ def generate_forecast(history: DataFrame, bundle: ModelBundle, hours: int = 24,
     (check_online_request if mode == "online" else check_request)(hours, top, rank_by)
     if mode == "online":
         spark = history.sparkSession
-        labels = {c: bounded(spark.createDataFrame([(n,) for n in names], f"{c} string"), len(names))
+        # Names of the zone lookup's size, as the encoders hold them on the driver.
+        labels = {c: spark.createDataFrame([(n,) for n in names], f"{c} string")
                   for c, names in encoder_labels(bundle.encoders).items()}
         history = known_category_filter(history, labels)
     coded = encode_categoricals(history.dropna(subset=["PUZone", "PUBorough"]), bundle.encoders)
+    if not repeated_cells(coded).isEmpty():
+        raise ValueError("a zone has several rows for one hour; its lags would be ambiguous")
     first = start_column(coded, start)
     frame = fill_missing(forecast_frame(coded, first, hours, mode, compat), coded, bundle.features)
     predicted = predict(with_model_input(frame, bundle.features, bundle.medians), bundle.models)

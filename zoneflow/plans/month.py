@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from zoneflow.config import MonthWindow, StoreConfig
 from zoneflow.operators.enrich import enrich_trips
 from zoneflow.operators.hourly import feature_store_month
-from zoneflow.operators.quality import quality_gate, trip_schema_rules, weather_schema_rules
+from zoneflow.operators.quality import (
+    duplicate_check, quality_gate, trip_rules, trip_schema_rules, value_set_rules, weather_rules, weather_schema_rules,
+)
 from zoneflow.operators.trips import trip_features, trip_quality_filter
 from zoneflow.session import work_dir
-from zoneflow.sources.sinks import read_months, write_month
+from zoneflow.sources.sinks import in_window, read_months, write_month
 
 
 @dataclass(frozen=True)
@@ -21,6 +24,10 @@ class Tables:
 
     base: str
 
+    @property
+    def enriched(self) -> str:
+        return f"{self.base}/enriched_trips"
+
     @property
     def trips(self) -> str:
         return f"{self.base}/trip_features"
@@ -37,18 +44,42 @@ def feature_store(trips: DataFrame, zones: DataFrame, weather: DataFrame, window
     return feature_store_month(trip_quality_filter(trip_features(enriched, config), config), window, config)
 
 
+# Rule groups of the quality gate; each may be left out.
+CHECKS = ("schema", "ranges", "value_sets", "duplicates", "weather")
+
+
+def check_month(trips: DataFrame, weather: DataFrame, window: MonthWindow, checks: Collection[str] = CHECKS) -> None:
+    """Raise ``QualityError`` naming every rule that the month's inputs break.
+
+    Schemas are checked first, as the other rules name columns. Those read the trips and weather of the window.
+    """
+    if unknown := set(checks) - set(CHECKS):
+        raise ValueError(f"no rule group {sorted(unknown)}; known: {', '.join(CHECKS)}")
+    if "schema" in checks:
+        quality_gate(trip_schema_rules(trips), weather_schema_rules(weather))
+    own = trips.filter(in_window("tpep_pickup_datetime", window))
+    reports = {"ranges": lambda: trip_rules(own), "value_sets": lambda: value_set_rules(own),
+               "duplicates": lambda: duplicate_check(own),
+               "weather": lambda: weather_rules(weather.filter(in_window("date", window)))}
+    quality_gate(*[report() for name, report in reports.items() if name in checks])
+
+
 def build_month(spark: SparkSession, trips: DataFrame, zones: DataFrame, weather: DataFrame, month: str,
-                tables: Tables, config: StoreConfig = StoreConfig(), check: bool = True) -> DataFrame:
-    """Build one month and replace it in both tables; running it again changes nothing.
+                tables: Tables, config: StoreConfig = StoreConfig(), check: bool | Collection[str] = True,
+                enriched: bool = True) -> DataFrame:
+    """Build one month and replace it in all tables; running it again changes nothing.
 
-    Trip features of the month and its lookback are written once to the shared work folder, because the
-    store reads them in three narrow passes; the month's part of them goes to the trip table.
+    ``check`` is True for all rule groups of the gate, or the groups wanted, or False. ``enriched`` also keeps the
+    month's joined trips, before features and filters. Trip features of the month and its lookback are written once to
+    the shared work folder, because the store reads them in narrow passes; the month's part goes to the trip table.
     """
     window = MonthWindow(month, config.lookback_months)
     if check:
-        quality_gate(trip_schema_rules(trips), weather_schema_rules(weather))
-    enriched = enrich_trips(trips, zones, weather, window)
-    kept = trip_quality_filter(trip_features(enriched, config), config)
+        check_month(trips, weather, window, CHECKS if check is True else check)
+    joined = enrich_trips(trips, zones, weather, window)
+    if enriched:
+        write_month(joined, tables.enriched, "tpep_pickup_datetime", window)
+    kept = trip_quality_filter(trip_features(joined, config), config)
     staged_path = work_dir(spark)
     write_month(kept, staged_path, "tpep_pickup_datetime")
     staged = read_months(spark, staged_path)

@@ -26,7 +26,7 @@ from zoneflow.operators.prep import (
 )
 from zoneflow.operators.quantiles import column_medians
 from zoneflow.schemas import METRIC_SCHEMA
-from zoneflow.session import materialize
+from zoneflow.session import materialize, work_dir
 
 # Target column of every layer.
 TARGETS = {"demand": "trip_count", "profit": "target_rph", "competition": "competition", "tip": "high_tip_zone"}
@@ -139,7 +139,12 @@ def fit_models(frame: DataFrame, trees: dict[str, TreeParams] | None = None, tip
         fitted = _side_by_side(frame.sparkSession, lambda e: e.fit(train), estimators.values(), len(estimators))
     finally:
         train.unpersist()
-    return dict(zip(estimators, fitted)), rows
+    models = dict(zip(estimators, fitted))
+    # A fitted model holds a summary, which holds the session, and a prediction would ship both; a saved one does not.
+    path = f"{work_dir(frame.sparkSession)}/tip"
+    models["tip"].write().save(path)
+    models["tip"] = LogisticRegressionModel.load(path)
+    return models, rows
 
 
 def predict(df: DataFrame, models: dict[str, Model]) -> DataFrame:
@@ -198,15 +203,17 @@ def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
 
 
 def draw_trees(n: int, seed: int, max_trees: int | None = None) -> list[TreeParams]:
-    """Random points of the search space; the learning rate is drawn on a log scale."""
+    """Random points of the search space; the learning rate is drawn on a log scale. ``max_trees`` ends the
+    range of trees earlier; points stay spread below it."""
     rng = random.Random(seed)
     ranges = TreeParams.RANGES
+    low, high = ranges["trees"]
+    if max_trees and max_trees < high:
+        low, high = min(low, max(1, max_trees // 2)), max_trees
     points = []
     for _ in range(n):
-        low, high = ranges["trees"]
-        trees = rng.randint(low, high)
         points.append(TreeParams(
-            trees=min(trees, max_trees) if max_trees else trees,
+            trees=rng.randint(min(low, high), high),
             learning_rate=math.exp(rng.uniform(*map(math.log, ranges["learning_rate"]))),
             depth=rng.randint(*ranges["depth"]),
             subsample=rng.uniform(*ranges["subsample"]),

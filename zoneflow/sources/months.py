@@ -68,8 +68,19 @@ def latest_snapshot(snapshots: DataFrame, stamp: str = "run_ts") -> DataFrame:
     return snapshots.filter(F.col(stamp) == newest)
 
 
+def forecast_runs(spark: SparkSession, base: str) -> DataFrame:
+    """(run, written): every forecast below ``base`` and when its last part was written. A run is the folder
+    of its parts, ``<name>.csv``, or a single CSV file elsewhere. Lists files and reads none."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(base)
+    folder = F.regexp_extract("path", r"^(.*\.csv)/[^/]+$", 1)
+    run = F.when(folder != "", folder).otherwise(F.col("path")).alias("run")
+    return files.groupBy(run).agg(F.max("modificationTime").alias("written"))
+
+
 def read_latest_forecast(spark: SparkSession, base: str, schema) -> DataFrame:
-    """Rows of the newest forecast CSV below ``base``, by file modification time over all files."""
-    rows = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(base)
-    stamped = rows.withColumn("run_ts", F.col("_metadata.file_modification_time"))
-    return latest_snapshot(stamped).drop("run_ts")
+    """All rows of the newest forecast below ``base``, however many parts it has; older runs are not read.
+    Of runs written at the same instant the one whose path sorts last. No run, no rows."""
+    newest = forecast_runs(spark, base).orderBy(F.desc("written"), F.desc("run")).first()
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("header", True).csv(newest["run"])

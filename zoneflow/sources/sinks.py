@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.config import MonthWindow
@@ -35,21 +35,21 @@ def write_month(df: DataFrame, path: str, ts: str, window: MonthWindow | None =
                 order: tuple[str, ...] = ()) -> None:
     """Write into the month partitions of ``path``, replacing only the months written.
 
-    Cost is one month, whatever the table holds. Files keep the row order given, per task: a total
-    order would need a range shuffle of the month for no reader's benefit.
+    With a window its month is replaced whatever the rows are: without any the month is empty afterwards. Cost is
+    one month, whatever the table holds. Files keep the row order given, per task: a total order would need a
+    range shuffle of the month for no reader's benefit.
     """
-    rows = df.filter(in_month(ts, window)) if window else df
-    rows = rows.withColumn("trip_month", month_of(F.col(ts)))
+    if window:
+        rows = df.filter(in_month(ts, window)).drop("trip_month")
+        if order:
+            rows = rows.sortWithinPartitions(*order)
+        # The month's own folder: a plain overwrite replaces it with or without rows.
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/trip_month={window.month}")
+        return
+    rows = df.withColumn("trip_month", month_of(F.col(ts)))
     if order:
         rows = rows.sortWithinPartitions("trip_month", *order)
-    written = Observation()
-    counted = rows.observe(written, F.count("*").alias("rows"))
-    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("trip_month").parquet(path)
-    if window and not written.get.get("rows"):
-        # No row, no partition written: the month's old rows go with an empty one.
-        empty = rows.limit(0).drop("trip_month").write.mode("overwrite").option("partitionOverwriteMode", "static")
-        empty.parquet(f"{path}/trip_month={window.month}")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trip_month").parquet(path)
 
 
 def read_months(spark, path: str, window: MonthWindow | None = None, schema=None) -> DataFrame:
@@ -63,6 +63,7 @@ def read_months(spark, path: str, window: MonthWindow | None = None, schema=None
 
 def write_forecast(output: DataFrame, metadata: DataFrame, path: str, name: str) -> None:
     """Forecast rows as CSV and the run's facts as JSON beside it. The ranked output is bounded by
-    zones x horizon hours, and the CSV parts stay as Spark partitions them."""
+    zones x horizon hours, and the CSV parts stay as Spark partitions them; ``months.read_latest_forecast``
+    reads all parts of the newest run."""
     output.write.mode("errorifexists").option("header", True).csv(f"{path}/{name}.csv")
     metadata.write.mode("errorifexists").json(f"{path}/{name}.meta.json")
