@@ -193,6 +193,7 @@ def _steps() -> dict[str, str]:
         **_window_steps("flow", ""),
         "month_rows": "SELECT * FROM shifted WHERE ts_hour >= TIMESTAMP '2024-01-01' AND ts_hour < TIMESTAMP '2024-02-01'",
         "store": "SELECT * FROM month_rows WHERE trip_count >= 5",
+        "delivered": "SELECT * FROM trips UNION ALL SELECT * FROM trips WHERE PULocationID % 3 = 0",
         "history": "SELECT * FROM month_rows WHERE trip_count >= 1 AND PUZone IS NOT NULL AND PUBorough IS NOT NULL",
         "clock": """
     SELECT g.PUZone, g.PUBorough, g.ts_hour, f.* EXCLUDE (PUZone, PUBorough, ts_hour)
@@ -404,6 +405,8 @@ def _finals() -> dict[str, str]:
                                "* (competition - coalesce(rolling_24h_rph_mean, 0))))",
         "tip_{}_accuracy": "avg(CAST(high_tip_zone = CASE WHEN lag1h_tip_rate > 0.75 THEN 1 ELSE 0 END AS DOUBLE))",
     }
+    hidden = {"pred_rph": "CASE WHEN rank_opportunity = 1 THEN 0 ELSE pred_rph END",
+              "pred_demand": "CASE WHEN rank_opportunity = 2 THEN 0 ELSE pred_demand END"}
     output = (f"SELECT ts_hour, PUZone, PUBorough, CAST(rank_opportunity AS BIGINT) AS rank, "
               f"{', '.join(f'round_even({c}, 4) AS {c}' for c in _OUTPUT_DOUBLE)} FROM ranked WHERE rank_opportunity <= 3")
     presence = [f"SELECT 'trips' AS dataset, 'has {c}' AS rule, count(*) AS checked_rows, "
@@ -508,6 +511,15 @@ def _finals() -> dict[str, str]:
         violations <= greatest(floor(checked_rows * CAST(0.01 AS DOUBLE)), 10) AS passed
     FROM (SELECT (SELECT count(*) FROM trips) AS checked_rows, (SELECT count(*) FROM trips) - (SELECT count(*) FROM
         (SELECT DISTINCT PULocationID, DOLocationID, payment_type, fare_amount, extra FROM trips)) AS violations)""",
+        "full_duplicate_check": """
+    SELECT 'full-row duplicates' AS rule, checked_rows, violations,
+        violations <= greatest(floor(checked_rows * CAST(0.01 AS DOUBLE)), 10) AS passed
+    FROM (SELECT (SELECT count(*) FROM delivered) AS checked_rows,
+        (SELECT count(*) FROM delivered) - (SELECT count(*) FROM (SELECT DISTINCT * FROM delivered)) AS violations)""",
+        "enriched_month_stored": f"""
+    SELECT {whole(*_TRIP_WHOLE)}, {plain(*_TRIP_TIMES, 'store_and_fwd_flag', *_ZONE_NAMES, 'sunrise', 'sunset')},
+        {r6(*_TRIP_DOUBLE, *_WEATHER_ON_TRIP)} FROM enriched
+    WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-01' AND tpep_pickup_datetime < TIMESTAMP '2024-02-01'""",
         "dq_weather_rules": _rules(f"({_weather_union()})", _range_rules(_WEATHER_RANGES)),
         "encode_categoricals": f"SELECT {cell}, {whole('PUZone_enc', 'PUBorough_enc', 'trip_count')} FROM coded",
         "known_category_filter": """
@@ -515,6 +527,10 @@ def _finals() -> dict[str, str]:
         CASE WHEN PUZone IN (SELECT Zone FROM zones WHERE Borough = 'East') AND PUBorough = 'East' THEN 'kept'
             ELSE 'dropped' END AS status
     FROM month_rows WHERE trip_count >= 1 GROUP BY PUZone, PUBorough""",
+        "known_category_rows": """
+    SELECT PUZone, count(*) AS rows, CAST(sum(trip_count) AS BIGINT) AS trips FROM month_rows
+    WHERE trip_count >= 1 AND PUBorough = 'East' AND PUZone IN (SELECT Zone FROM zones WHERE Borough = 'East')
+    GROUP BY PUZone""",
         "time_split": f"SELECT {cell}, {whole('trip_count')}, split FROM parts",
         "tip_label": f"SELECT {cell}, split, {r6('tip_rate')}, high_tip_zone FROM labelled",
         "competition_target": f"SELECT {cell}, {r6('competition')} FROM parts",
@@ -569,6 +585,14 @@ def _finals() -> dict[str, str]:
         {r6('opportunity_score', 'pred_demand', 'pred_rph', 'pred_tip_prob')}
     FROM ranked WHERE ts_hour = (SELECT min(ts_hour) FROM ranked) AND rank_opportunity <= 15""",
         "forecast_output": output,
+        "forecast_written_and_read": output,
+        "clean_output": f"""
+    SELECT ts_hour, PUZone, PUBorough, CAST(rank_opportunity AS BIGINT) AS rank, {', '.join(
+        f"round_even({hidden.get(c, c)}, 4) AS {c}" for c in _OUTPUT_DOUBLE)} FROM ranked WHERE rank_opportunity <= 3""",
+        "train_forecast_checks": """
+    SELECT 'rows' AS check, 24 * count(DISTINCT PUZone) AS found FROM history
+    UNION ALL SELECT 'zone hours', 24 * count(DISTINCT PUZone) FROM history UNION ALL SELECT 'hours', 24 UNION ALL SELECT 'ranks outside 1..n', 0 UNION ALL SELECT 'ranks twice in an hour', 0
+    UNION ALL SELECT 'scores outside 0..1', 0 UNION ALL SELECT 'better scores ranked lower', 0""",
         "forecast_run_metadata": """
     SELECT 'hourly_zone_store' AS data_table, strftime(min(ts_hour), '%Y-%m-%d %H:%M:%S') AS data_min_ts_hour,
         strftime(max(ts_hour), '%Y-%m-%d %H:%M:%S') AS data_max_ts_hour,

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -261,6 +261,20 @@ def duplicate_check(spark, sf):
     return quality.duplicate_check(trips)
 
 
+def full_duplicate_check(spark, sf):
+    """All columns of the trips, each third trip delivered twice."""
+    trips = views.trips(spark, sf)
+    return quality.duplicate_check(trips.unionAll(trips.filter("PULocationID % 3 = 0")))
+
+
+def enriched_month_stored(spark, sf):
+    """The enriched trips as the month job keeps them, twice the same month."""
+    path = work_dir(spark)
+    for _ in range(2):
+        sinks.write_month(_enriched(spark, sf), path, "tpep_pickup_datetime", TARGET)
+    return sinks.read_months(spark, path, TARGET).drop("trip_month")
+
+
 # --- training preparation -------------------------------------------------------------------------
 
 
@@ -276,13 +290,18 @@ def known_category_filter(spark, sf):
     east = views.zones(spark, sf).filter("Borough = 'East'")
     labels = {"PUZone": east.select(F.col("Zone").alias("PUZone")),
               "PUBorough": east.select(F.col("Borough").alias("PUBorough"))}
-    kept, dropped = prep.split_known(_store(spark, sf, HISTORY), labels)
+    status = F.when(F.col("_known"), "kept").otherwise("dropped").alias("status")
+    return prep.flag_known(_store(spark, sf, HISTORY), labels).groupBy("PUZone", status).agg(
+        F.count("*").alias("rows"), F.sum("trip_count").alias("trips"))
 
-    def counted(df, status):
-        return df.groupBy("PUZone").agg(F.count("*").alias("rows"), F.sum("trip_count").alias("trips")).withColumn(
-            "status", F.lit(status))
 
-    return counted(kept, "kept").unionByName(counted(dropped, "dropped"))
+def known_category_rows(spark, sf):
+    """The same encoders as a filter: what is left of each zone."""
+    east = views.zones(spark, sf).filter("Borough = 'East'")
+    labels = {"PUZone": east.select(F.col("Zone").alias("PUZone")),
+              "PUBorough": east.select(F.col("Borough").alias("PUBorough"))}
+    return prep.known_category_filter(_store(spark, sf, HISTORY), labels).groupBy("PUZone").agg(
+        F.count("*").alias("rows"), F.sum("trip_count").alias("trips"))
 
 
 def time_split(spark, sf):
@@ -424,18 +443,48 @@ def _view(spark, sf):
     return report.zone_hour_view(_ranked(spark, sf), dt.datetime(2024, 1, 31, 8), shapes)
 
 
-# Small models for the registered queries; the rows are all of them.
-SMALL_TREES = training.TreeParams(trees=5, depth=4)
-SMALL_TIP = training.TipParams(max_iter=30)
+def forecast_written_and_read(spark, sf):
+    """An older forecast ranked by profit and a newer one, each of several parts; the newer one is read whole."""
+    base = work_dir(spark)
+    scored = materialize(_scored(spark, sf))
+    for name, rank_by in (("older", "profit"), ("newer", "opportunity")):
+        rows = ranking.forecast_output(ranking.rank_zones(scored, rank_by), TOP).repartition(6, "PUZone", "ts_hour")
+        sinks.write_forecast(rows, spark.range(1), base, name)
+    return months.read_latest_forecast(spark, base, rows.schema)
+
+
+def clean_output(spark, sf):
+    """The measures of a forecast with unknown and infinite values, as an online answer shows them."""
+    odd = {"pred_rph": F.when(F.col("rank") == 1, F.lit(None)).otherwise(F.col("pred_rph")),
+           "pred_demand": F.when(F.col("rank") == 2, F.lit(float("inf"))).otherwise(F.col("pred_demand"))}
+    return ranking.forecast_output(_ranked(spark, sf).withColumns(odd), TOP, clean=True)
 
 
 def train_forecast(spark, sf):
+    """Default parameters of all four layers, on all rows."""
     history = materialize(_history(spark, sf))
-    trees = {layer: SMALL_TREES for layer in training.PREDICTIONS}
-    bundle, _ = training.train_models(history, trees, SMALL_TIP)
+    bundle, _ = training.train_models(history)
     return forecasting.generate_forecast(history, bundle, hours=HOURS, top=TOP)
 
 
+def train_forecast_checks(spark, sf):
+    """What must hold for a forecast of trained models, counted on the forecast itself."""
+    history = materialize(_history(spark, sf))
+    bundle, _ = training.train_models(history)
+    rows = materialize(forecasting.generate_forecast(history, bundle, hours=HOURS))
+    hour = Window.partitionBy("ts_hour")
+    ranked = rows.withColumns({"_n": F.count("*").over(hour), "_next": F.lead("opportunity_score").over(hour.orderBy("rank"))})
+    scores = [c for c in rows.columns if c.startswith("score_") or c in ("opportunity_score", "pred_tip_prob")]
+    found = ranked.agg(
+        F.count("*").alias("rows"), F.count_distinct("PUZone", "ts_hour").alias("zone hours"), F.count_distinct("ts_hour").alias("hours"),
+        F.count_if((F.col("rank") < 1) | (F.col("rank") > F.col("_n"))).alias("ranks outside 1..n"),
+        (F.count("*") - F.count_distinct("ts_hour", "rank")).alias("ranks twice in an hour"),
+        F.count_if(F.greatest(*[F.abs(F.col(c) - 0.5) for c in scores]) > 0.5).alias("scores outside 0..1"),
+        F.count_if(F.col("_next") > F.col("opportunity_score")).alias("better scores ranked lower"))
+    pairs = [F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").alias("found")) for c in found.columns]
+    return found.select(F.inline(F.array(*pairs)))
+
+
 def tune_demand(spark, sf):
     """Search over the demand layer, with a small budget."""
     frame, *_ = training.prepare(_history(spark, sf))
@@ -483,9 +532,12 @@ QUERIES: dict[str, Query] = {
     "dq_trip_rules": lambda s, sf: quality.trip_rules(views.trips(s, sf)),
     "dq_value_sets": lambda s, sf: quality.value_set_rules(views.trips(s, sf)),
     "duplicate_check": duplicate_check,
+    "full_duplicate_check": full_duplicate_check,
+    "enriched_month_stored": enriched_month_stored,
     "dq_weather_rules": lambda s, sf: quality.weather_rules(views.weather(s, sf)),
     "encode_categoricals": encode_categoricals,
     "known_category_filter": known_category_filter,
+    "known_category_rows": known_category_rows,
     "time_split": time_split,
     "tip_label": tip_label,
     "competition_target": competition_target,
@@ -505,12 +557,15 @@ QUERIES: dict[str, Query] = {
     "topn_per_hour": topn_per_hour,
     "first_hour_top": first_hour_top,
     "forecast_output": forecast_output,
+    "forecast_written_and_read": forecast_written_and_read,
+    "clean_output": clean_output,
     "forecast_run_metadata": forecast_run_metadata,
     "forecast_summary": forecast_summary,
     "zone_hour_view": _view,
     "zone_kpis": lambda s, sf: report.zone_kpis(_view(s, sf)),
     "zone_ranking_table": lambda s, sf: report.zone_ranking_table(_view(s, sf)),
     "train_forecast": train_forecast,
+    "train_forecast_checks": train_forecast_checks,
     "tune_demand": tune_demand,
 }
 
