@@ -548,6 +548,12 @@ def _finals() -> dict[str, str]:
           FROM (SELECT *, lag(value) OVER (PARTITION BY metric ORDER BY run_ts) AS previous
                 FROM (SELECT run_ts, 'demand_valid_mae' AS metric, mae AS value FROM ({drift_runs})
                       UNION ALL SELECT run_ts, 'profit_valid_rmse', rmse FROM ({drift_runs}))))""",
+        "drift_after_training": f"""
+    SELECT 'second' AS run_id, TIMESTAMP '2024-01-02' AS run_ts, metric, {d6('value * 1.2')} AS value, {d6('value')} AS previous,
+        {d6('(value * 1.2 - value) / (value + 1e-9) * 100')} AS change_pct,
+        CASE WHEN metric = 'demand_valid_mae' AND value > 0 THEN 'DEGRADED' ELSE 'OK' END AS status
+    FROM ({' UNION ALL '.join(f"SELECT replace('{name}', '{{}}', split) AS metric, CAST({e} AS DOUBLE) AS value FROM labelled GROUP BY split"
+                              for name, e in errors.items())})""",
         "forecast_start": """
     SELECT min(ts_hour) AS data_min_ts_hour, max(ts_hour) AS data_max_ts_hour, count(*) AS history_rows,
         max(ts_hour) + INTERVAL 1 HOUR AS forecast_start FROM history""",
@@ -567,6 +573,15 @@ def _finals() -> dict[str, str]:
     SELECT g.PUZone, g.PUBorough, g.ts_hour, CAST(g.hour AS BIGINT) AS hour,
         {', '.join(f"{d6('z.' + c)} AS {c}" for c in _CLIMATE_ZONE)}, {', '.join(f"{d6('h.' + c)} AS {c}" for c in _CLIMATE_HOUR)}
     FROM grid g
+    LEFT JOIN (SELECT PUZone, hour, {', '.join(f'avg({c}) AS {c}' for c in _CLIMATE_ZONE)} FROM history GROUP BY 1, 2) z
+        ON z.PUZone = g.PUZone AND z.hour = g.hour
+    LEFT JOIN (SELECT hour, {', '.join(f'avg({c}) AS {c}' for c in _CLIMATE_HOUR)} FROM history GROUP BY 1) h ON h.hour = g.hour""",
+        "forecast_frame_online": f"""
+    SELECT g.PUZone, g.PUBorough, g.ts_hour, {', '.join(
+        f"CAST(b{k}.{c} AS BIGINT) AS {name}" if name in _AHEAD_WHOLE else f"{d6(f'b{k}.{c}')} AS {name}"
+        for name, (k, c) in _AHEAD.items() if not name.startswith('lag1h_') and name != 'rolling_168h_trip_mean')},
+        {', '.join(f"{d6('z.' + c)} AS {c}" for c in _CLIMATE_ZONE)}, {', '.join(f"{d6('h.' + c)} AS {c}" for c in _CLIMATE_HOUR)}
+    FROM grid g {_lag_joins('g')}
     LEFT JOIN (SELECT PUZone, hour, {', '.join(f'avg({c}) AS {c}' for c in _CLIMATE_ZONE)} FROM history GROUP BY 1, 2) z
         ON z.PUZone = g.PUZone AND z.hour = g.hour
     LEFT JOIN (SELECT hour, {', '.join(f'avg({c}) AS {c}' for c in _CLIMATE_HOUR)} FROM history GROUP BY 1) h ON h.hour = g.hour""",

@@ -21,7 +21,7 @@ from pyspark.util import inheritable_thread_target
 from zoneflow.config import SplitConfig
 from zoneflow.functions.calendar import ntz
 from zoneflow.operators.prep import (
-    competition_target, encode_categoricals, existing, fit_encoders, known_categories, regression_metrics,
+    competition_target, encode_categoricals, existing, fit_encoders, known_categories, metric_drift, regression_metrics,
     time_split, tip_label,
 )
 from zoneflow.operators.quantiles import column_medians
@@ -182,6 +182,20 @@ def metric_history(metrics: DataFrame, run_id: str, run_ts: dt.datetime) -> Data
     return metrics.withColumns(stamped).select(*METRIC_SCHEMA.names)
 
 
+def record_metrics(metrics: DataFrame, path: str, run_id: str, run_ts: dt.datetime) -> DataFrame:
+    """Append a run's metrics to the metric table at ``path`` and compare them with the run before: the drift rows of this
+    run. A degraded run is reported, not refused."""
+    metric_history(metrics, run_id, run_ts).write.mode("append").parquet(path)
+    history = metrics.sparkSession.read.schema(METRIC_SCHEMA).parquet(path)
+    return metric_drift(history).filter(F.col("run_id") == run_id)
+
+
+def train_and_record(store: DataFrame, path: str, run_id: str, run_ts: dt.datetime, **options) -> tuple[ModelBundle, DataFrame]:
+    """:func:`train_models`, with its metrics recorded: the bundle and the run's drift rows."""
+    bundle, metrics = train_models(store, **options)
+    return bundle, record_metrics(metrics, path, run_id, run_ts)
+
+
 def save_bundle(bundle: ModelBundle, path: str) -> None:
     """Encoders and models with their Spark ML writers, the rest as a one-row JSON table."""
     spark = SparkSession.active()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zoneflow import views
-from zoneflow.config import MonthWindow, StoreConfig
+from zoneflow.config import HOUR_WEATHER_MEANS, ZONE_HOUR_MEANS, MonthWindow, StoreConfig
 from zoneflow.operators import forecast as fc
 from zoneflow.operators import hourly, prep, quality, ranking, report, store
 from zoneflow.operators.enrich import enrich_trips
@@ -353,6 +353,15 @@ def metric_drift(spark, sf):
     return prep.metric_drift(history)
 
 
+def drift_after_training(spark, sf):
+    """The metrics of two runs recorded in turn, the second a fifth larger."""
+    path = work_dir(spark)
+    metrics = materialize(regression_metrics(spark, sf))
+    training.record_metrics(metrics, path, "first", dt.datetime(2024, 1, 1))
+    larger = metrics.withColumn("value", F.col("value") * 1.2)
+    return training.record_metrics(larger, path, "second", dt.datetime(2024, 1, 2))
+
+
 # --- forecast --------------------------------------------------------------------------------------
 
 
@@ -396,6 +405,15 @@ def fill_missing(spark, sf):
     return fc.fill_missing(_lagged(history), history, FILLED).select(*CELL, *FILLED)
 
 
+def forecast_frame_online(spark, sf):
+    """What an online answer knows of the coming hours: its lags and the climatology."""
+    history = _coded(spark, sf)
+    frame = forecasting.forecast_frame(history, fc.start_column(history), HOURS, mode="online")
+    lags = [name for columns in fc.ONLINE_LAG_PLAN.values() for name in columns.values()]
+    means = [c for c in (*ZONE_HOUR_MEANS, *HOUR_WEATHER_MEANS) if c in history.columns]
+    return frame.select(*CELL, *lags, *means)
+
+
 def forecast_window_check(spark, sf):
     history = materialize(_history(spark, sf))
     first = fc.start_column(history)
@@ -544,6 +562,7 @@ QUERIES: dict[str, Query] = {
     "median_impute": median_impute,
     "regression_metrics": regression_metrics,
     "metric_drift": metric_drift,
+    "drift_after_training": drift_after_training,
     "forecast_start": lambda s, sf: fc.forecast_start(_history(s, sf)),
     "future_grid": future_grid,
     "hist_rolling": hist_rolling,
@@ -551,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "forecast_derived": forecast_derived,
     "zone_hour_stats": zone_hour_stats,
     "fill_missing": fill_missing,
+    "forecast_frame_online": forecast_frame_online,
     "forecast_window_check": forecast_window_check,
     "opportunity_score": lambda s, sf: _scored(s, sf).select(*CELL, *SCORE_COLUMNS),
     "rank_zones": rank_zones,
