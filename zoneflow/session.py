@@ -42,7 +42,18 @@ def work_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, survives executor loss, and gives later
-    scans column pruning and filter pushdown. For inputs that several passes read."""
+    scans column pruning and filter pushdown. For inputs that several passes read.
+
+    Without a path of the caller's the table belongs to the driver, which deletes it when it ends."""
+    owned = path is None
     path = path or work_dir(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
+    if owned:
+        _delete_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete_at_end(spark: SparkSession, path: str) -> None:
+    """Leave the path to the driver's file system, which deletes what it was left when it closes."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
