@@ -34,7 +34,7 @@ from zoneflow.llm.word_hash import RADIX, WordHasher, chunks, mixed
 from zoneflow.session import materialize
 
 WORDS, PERCENT = 5, 80
-LIGHT, BLOCK, BUCKET_SHINGLES, MOST_MATCHES = 64, 512, 2_000_000, 8
+LIGHT, BLOCK, BUCKET_SHINGLES, MOST_MATCHES = 64, 512, 3_000_000, 8
 #: Factors of a shingle's words, by their place.
 PLACES = np.array([pow(0xD1B54A32D192ED03, k + 1, 2 ** 64) for k in range(64)], dtype=np.uint64)
 
@@ -112,47 +112,69 @@ def bucket_rows(words: int, buckets: int):
                 order = np.argsort(bucket, kind="stable")
                 own, shingle, bucket = own[order], shingle[order], bucket[order]
                 edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
-                rows = {"bucket": [], "shingles": [], "owners": []}
+                rows = {name: [] for name in PACKED.names}
                 for i, j in zip(edges, [*edges[1:], len(bucket)], strict=True):
-                    at = np.flatnonzero(np.concatenate([[True], own[i + 1:j] != own[i:j - 1]]))
-                    owners = np.empty((len(at), 3), dtype=np.int64)
+                    at, counts = runs(own[i:j])
                     text = own[i:j][at]
-                    owners[:, 0], owners[:, 1] = cls[text].view(np.int64), n[text]
-                    owners[:, 2] = np.diff(np.concatenate([at, [j - i]]))
-                    rows["bucket"].append(int(bucket[i]))
-                    rows["shingles"].append(shingle[i:j].tobytes())
-                    rows["owners"].append(owners.tobytes())
-                yield pa.RecordBatch.from_pydict(rows, schema=BUCKET_SCHEMA)
+                    rows["deal"].append(int(bucket[i]))
+                    pack(rows, cls[text].view(np.int64), n[text], counts, shingle[i:j])
+                yield pa.RecordBatch.from_pydict(rows, schema=PACKED)
     return run
 
 
-BUCKET_SCHEMA = pa.schema([("bucket", pa.int32()), ("shingles", pa.binary()), ("owners", pa.binary())])
-SHARED_SCHEMA = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64())), ("dfs", pa.list_(pa.int32()))])
-
-
-def shared_shingles(table: pa.Table) -> pa.Table:
-    """Of one bucket: each class's shingles that other classes have too, and how many classes have them."""
-    shingle = np.frombuffer(b"".join(table["shingles"].to_pylist()), dtype=np.int64)
-    owners = np.frombuffer(b"".join(table["owners"].to_pylist()), dtype=np.int64).reshape(-1, 3)
-    which = np.repeat(np.arange(len(owners)), owners[:, 2])
-    order = np.lexsort((owners[which, 0], shingle))
-    shingle, which = shingle[order], which[order]
-    cls = owners[which, 0]
-    if len(shingle):
-        # Tasks may have sent the same class.
-        new = np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])])
-        shingle, which = shingle[new], which[new]
-    _, inverse, counts = np.unique(shingle, return_inverse=True, return_counts=True)
-    df = counts[inverse]
-    shingle, which, df = shingle[df > 1], which[df > 1], df[df > 1]
-    order = np.argsort(owners[which, 0], kind="stable")
-    shingle, which, df = shingle[order], which[order], df[order]
-    cls = owners[which, 0]
-    at = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]])) if len(cls) else np.empty(0, np.int64)
-    offsets = pa.array(np.concatenate([at, [len(cls)]]).astype(np.int32))
-    return pa.Table.from_arrays(
-        [pa.array(cls[at]), pa.array(owners[which[at], 1]), pa.ListArray.from_arrays(offsets, pa.array(shingle)),
-         pa.ListArray.from_arrays(offsets, pa.array(df.astype(np.int32)))], schema=SHARED_SCHEMA)
+#: Runs of shingles by class: of each run its class, the size of the class's set and how many shingles follow.
+PACKED = pa.schema([("deal", pa.int32()), ("cls", pa.binary()), ("n", pa.binary()), ("counts", pa.binary()),
+                    ("shingles", pa.binary()), ("dfs", pa.binary())])
+PACKED_SQL = "deal int, cls binary, n binary, counts binary, shingles binary, dfs binary"
+DEALT_CLASSES = 4096
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and how long they are."""
+    at = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, np.int64)
+    return at, np.diff(np.concatenate([at, [len(values)]]))
+
+
+def pack(rows: dict, cls: np.ndarray, n: np.ndarray, counts: np.ndarray, shingles: np.ndarray, dfs: np.ndarray | None = None):
+    for name, values, kind in (("cls", cls, np.int64), ("n", n, np.int32), ("counts", counts, np.int32),
+                               ("shingles", shingles, np.uint64)):
+        rows[name].append(values.astype(kind, copy=False).tobytes())
+    rows["dfs"].append(None if dfs is None else dfs.astype(np.int32, copy=False).tobytes())
+
+
+def unpack(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(x for x in table[name].to_pylist() if x), dtype=kind)
+
+
+def shared_shingles(deals: int):
+    """Of one bucket the shingles that several classes have, and how many have them, packed for groups of classes."""
+    def run(table: pa.Table) -> pa.Table:
+        counts = unpack(table, "counts", np.int32)
+        cls = np.repeat(unpack(table, "cls", np.int64), counts)
+        n, shingle = np.repeat(unpack(table, "n", np.int32), counts), unpack(table, "shingles", np.uint64)
+        order = np.lexsort((cls, shingle))
+        cls, n, shingle = cls[order], n[order], shingle[order]
+        if len(shingle):
+            # Tasks may have sent the same class.
+            new = np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])])
+            cls, n, shingle = cls[new], n[new], shingle[new]
+        df = np.repeat(lengths := runs(shingle)[1], lengths)
+        cls, n, shingle, df = cls[df > 1], n[df > 1], shingle[df > 1], df[df > 1]
+        deal = dealt(cls, deals)
+        order = np.lexsort((cls, deal))
+        cls, n, shingle, df, deal = cls[order], n[order], shingle[order], df[order], deal[order]
+        rows = {name: [] for name in PACKED.names}
+        for i, length in zip(*runs(deal), strict=True):
+            part = slice(i, i + length)
+            at, lengths = runs(cls[part])
+            rows["deal"].append(int(deal[i]))
+            pack(rows, cls[part][at], n[part][at], lengths, shingle[part], df[part])
+        return pa.Table.from_pydict(rows, schema=PACKED)
+    return run
+
+
+def dealt(cls: np.ndarray, deals: int) -> np.ndarray:
+    return (mixed(cls.view(np.uint64)) % np.uint64(deals)).astype(np.int64)
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -175,31 +197,34 @@ def matches_needed(df: np.ndarray, unique: int, free: int) -> int:
 
 
 def ordered_sets(percent: int):
-    """Of classes that may have a partner: shared shingles, rarest first, ``k``, and how far each lies beyond the shortest
-    prefix's free part (below ``k``: in the prefix)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = {f: [] for f in SET_SCHEMA.names}
-            n_all = batch.column(1).to_numpy()
-            for i in range(batch.num_rows):
-                shingle, df = batch.column(2)[i].values.to_numpy(), batch.column(3)[i].values.to_numpy()
-                n = int(n_all[i])
-                unique, free = n - len(shingle), n - least_overlap(n, percent)
-                order = np.lexsort((shingle, df))
-                shingle, df = shingle[order], df[order]
-                k = matches_needed(df, unique, free)
-                rows["cls"].append(batch.column(0)[i].as_py())
-                rows["n"].append(n)
-                rows["k"].append(k)
-                rows["beyond"].append(unique - free)
-                rows["shingles"].append(shingle)
-                rows["dfs"].append(df[:max(0, free + k - unique)])
-            yield pa.RecordBatch.from_pydict(rows, schema=SET_SCHEMA)
+    """Of a group's classes that may have a partner: shared shingles, rarest first, ``k``, how far the first of them lies
+    beyond the free part of the shortest prefix, and how many classes have those in the prefix."""
+    def run(table: pa.Table) -> pa.Table:
+        counts = unpack(table, "counts", np.int32)
+        cls, n = np.repeat(unpack(table, "cls", np.int64), counts), np.repeat(unpack(table, "n", np.int32), counts)
+        shingle, df = unpack(table, "shingles", np.int64), unpack(table, "dfs", np.int32)
+        order = np.lexsort((shingle, df, cls))
+        cls, n, shingle, df = cls[order], n[order], shingle[order], df[order]
+        rows = {name: [] for name in SET_SCHEMA.names}
+        for i, length in zip(*runs(cls), strict=True):
+            size = int(n[i])
+            unique, free = size - length, size - least_overlap(size, percent)
+            if unique > free:
+                continue  # the shortest prefix has no shared shingle: no partner
+            k = matches_needed(df[i:i + length], unique, free)
+            rows["cls"].append(int(cls[i]))
+            rows["n"].append(size)
+            rows["k"].append(k)
+            rows["beyond"].append(unique - free)
+            rows["shingles"].append(shingle[i:i + length])
+            rows["dfs"].append(df[i:i + min(length, free + k - unique)])
+        return pa.Table.from_pydict(rows, schema=SET_SCHEMA)
     return run
 
 
 SET_SCHEMA = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("k", pa.int32()), ("beyond", pa.int64()),
                         ("shingles", pa.list_(pa.int64())), ("dfs", pa.list_(pa.int32()))])
+SET_SQL = "cls long, n long, k int, beyond long, shingles array<long>, dfs array<int>"
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
@@ -281,16 +306,10 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = materialize(texts.mapInArrow(class_rows(words), "id long, n long, cls long"))
     total = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_SHINGLES))
-    packed = texts.select("body").mapInArrow(bucket_rows(words, buckets), "bucket int, shingles binary, owners binary")
-    shared = packed.groupBy("bucket").applyInArrow(
-        shared_shingles, "cls long, n long, shingles array<long>, dfs array<int>")
-    # Without enough shared shingles the shortest prefix has none, and there is no partner.
-    enough = F.col("n") - F.size("shingles") <= F.col("n") - F.ceil(F.col("n") * percent / 100)
-    sets = materialize(
-        shared.groupBy("cls", "n").agg(F.flatten(F.collect_list("shingles")).alias("shingles"),
-                                       F.flatten(F.collect_list("dfs")).alias("dfs"))
-        .filter(enough).mapInArrow(ordered_sets(percent), "cls long, n long, k int, beyond long, shingles array<long>, "
-                                                          "dfs array<int>"))
+    deals = max(1, math.ceil(members.count() / DEALT_CLASSES))
+    packed = texts.select("body").mapInArrow(bucket_rows(words, buckets), PACKED_SQL)
+    shared = packed.groupBy("deal").applyInArrow(shared_shingles(deals), PACKED_SQL)
+    sets = materialize(shared.groupBy("deal").applyInArrow(ordered_sets(percent), SET_SQL))
 
     clusters = materialize(connected_components(candidates(sets, percent, light)))
     sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
