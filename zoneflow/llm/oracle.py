@@ -56,5 +56,26 @@ g AS (SELECT doc_id, body, max(doc_id) OVER (PARTITION BY body) AS keep_id,
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g"""
 
 
+OP10 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex({LOWER_ASCII.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'),
+                             lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_distinct(list_transform(
+             range(1, len(words) - 3), lambda i: array_to_string(list_slice(words, i, i + 4), ' ')))
+         WHEN len(words) > 0 THEN [array_to_string(words, ' ')] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * common >= 80 * (p.size + q.size - common)),
+reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y)
+SELECT x AS doc_id, coalesce(any_value(size), 0) AS n_shingles, min(y) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = x GROUP BY x"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": op3(), "op5_embedding_dedup": OP5, "op6_exact_dedup": OP6}
+    return {"op3_url_filter": op3(), "op5_embedding_dedup": OP5, "op6_exact_dedup": OP6,
+            "op10_ngram_join": OP10}
