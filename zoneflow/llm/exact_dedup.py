@@ -2,7 +2,9 @@
 
 Rows are range-partitioned by their normalised text at sampled splitters and sorted there (Spark's sort spills), so equal
 texts are neighbours. A window over the text then compares each row with the one before it in full, and the first of
-a run stays. The range partitioning already clusters the window's key, so the texts are shuffled once.
+a run stays. The range partitioning already clusters the window's key, so the texts are shuffled once. The splitters
+are the text's first ``SPLITTER_CHARS`` characters and then its hash, as whole sampled texts would grow on the
+driver; the sort and the comparison within a partition take the whole text.
 
 A text that many rows share would be one key in one task. Texts with more than ``hot_rows`` copies are therefore
 found first by counting hashes (combined before the shuffle) and their groups are aggregated by full text, also
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from zoneflow.session import materialize
 
 LEAST_HOT_ROWS, HOT_TEXTS = 64, 1000
+SPLITTER_CHARS = 32
 
 
 def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min",
@@ -55,9 +58,9 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .join(F.broadcast(hot.withColumnRenamed("h", "hot_h")),
               (F.col("h") == F.col("hot_h")) & (F.col("sha") == F.col("hot_sha")), "left")
         .withColumn("salt", F.coalesce(F.pmod(F.xxhash64("id"), F.col("salts")), F.lit(0))))
-    run = Window.partitionBy("body", "salt")
+    run = Window.partitionBy("head", "h", "salt", "body")
     marked = (
-        salted.repartitionByRange("body", "salt")
+        salted.withColumn("head", F.substring("body", 1, SPLITTER_CHARS)).repartitionByRange("head", "h", "salt")
         .withColumn("place", F.row_number().over(run.orderBy(first)))
         .withColumn("near_keep", F.first("id").over(run.orderBy(first)))
         .withColumn("near_size", F.count("*").over(run))
