@@ -165,10 +165,11 @@ def draw_slots(spark: SparkSession, blocks: Sequence[int], wanted: Sequence[floa
         permutations(blocks, most_times), "source_no int, times int, blocks long, power long, half long, add array<long>, "
                                           "odd array<long>")
     before = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # Slots are made where their shard is, not where their source is.
+    # Slots are made where their shard is, not where their source is; the rows that make them are too few to size by.
+    dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
     numbered = (
         counts.withColumn("from", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .repartition("shard").join(F.broadcast(sizes), "source_no").filter("n > 0 and blocks > 0")
+        .repartition(dealt, "shard").join(F.broadcast(sizes), "source_no").filter("n > 0 and blocks > 0")
         .withColumn("slot", F.explode(F.expr("sequence(`from`, `from` + n - 1)")))
         .withColumn("times", F.floor(F.col("slot") / F.col("blocks")).cast("int"))
         .filter(F.col("times") < most_times).drop("blocks")
