@@ -225,6 +225,8 @@ def mixed_texts(docs: DataFrame, text_col: str = "text", chars_col: str = "n_cha
         ~F.col("whole"), word_array(F.col(f"rest.`{text_col}`"), SPACES)).otherwise(F.array()))
     cut = F.array_join(F.flatten(F.transform("ranges", lambda r: F.slice(
         "words", (r["start"] + 1).cast("int"), r["length"].cast("int")))), " ")
+    # Asking for the words' number too keeps Spark from splitting the text anew for every range.
+    cut = F.when(F.size("words") > 0, cut).otherwise("")
     rows = rows.withColumn("new text", F.when(F.col("whole"), F.col(f"rest.`{text_col}`")).otherwise(cut))
     new = {text_col: F.col("new text"), chars_col: F.length("new text").cast(dict(docs.dtypes).get(chars_col, "long"))}
     return rows.select(*[new.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
