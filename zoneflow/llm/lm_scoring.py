@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zoneflow.llm.word_hash import WordHasher, chunks, mixed
 from zoneflow.session import materialize
@@ -85,7 +86,7 @@ class LogBilinear:
     def start(cls, shares: np.ndarray) -> LogBilinear:
         draw = np.random.default_rng(SEED)
         n = len(shares)
-        return cls(*(draw.normal(0, 0.1, (n, DIM)) for _ in range(3)), np.log(shares))
+        return cls(*(draw.normal(0, 0.1, (n, DIM)).astype(np.float32) for _ in range(3)), np.log(shares).astype(np.float32))
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.near.ravel(), self.far.ravel(), self.out.ravel(), self.bias])
@@ -117,7 +118,7 @@ class NoiseContrast:
     """Training by noise-contrastive estimation with Adagrad; a batch's tokens share their noise."""
 
     def __init__(self, model: LogBilinear, shares: np.ndarray, seed: int):
-        self.model, self.log_shares = model, np.log(shares)
+        self.model, self.log_shares = model, (np.log(shares) + np.log(NOISE)).astype(np.float32)
         self.edges = np.cumsum(shares)
         self.draw = np.random.default_rng([SEED, seed])
         self.squares = LogBilinear(*(np.full_like(p, 1e-2) for p in (model.near, model.far, model.out, model.bias)))
@@ -135,26 +136,31 @@ class NoiseContrast:
         m, n = self.model, len(self.model.bias)
         noise = np.minimum(np.searchsorted(self.edges, self.draw.random(NOISE)), n - 1)
         context = m.near[one] + m.far[two]
-        real = np.einsum("ij,ij->i", context, m.out[word]) + m.bias[word] - self.log_shares[word] - np.log(NOISE)
-        false = context @ m.out[noise].T + m.bias[noise] - self.log_shares[noise] - np.log(NOISE)
+        real = np.einsum("ij,ij->i", context, m.out[word]) + m.bias[word] - self.log_shares[word]
+        false = context @ m.out[noise].T + m.bias[noise] - self.log_shares[noise]
         up = -1 / (1 + np.exp(np.clip(real, -30, 30)))
         down = 1 / (1 + np.exp(np.clip(-false, -30, 30)))
         to_context = up[:, None] * m.out[word] + down @ m.out[noise]
         to_out = scattered(word, up[:, None] * context, n)
         np.add.at(to_out, noise, down.T @ context)
         to_bias = np.bincount(word, up, n) + np.bincount(noise, down.sum(axis=0), n)
-        scale = 1 / len(word)
+        scale = np.float32(1 / len(word))
         for value, square, gradient in ((m.near, self.squares.near, scattered(one, to_context, n)),
                                         (m.far, self.squares.far, scattered(two, to_context, n)),
                                         (m.out, self.squares.out, to_out), (m.bias, self.squares.bias, to_bias)):
-            gradient = gradient * scale
+            gradient = (gradient * scale).astype(np.float32)
             square += gradient * gradient
             value -= RATE * gradient / np.sqrt(square)
 
 
 def scattered(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """The sums of ``rows`` by ``at``."""
-    return np.stack([np.bincount(at, rows[:, d], n) for d in range(rows.shape[1])], axis=1)
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    sums = np.zeros((n, rows.shape[1]), dtype=rows.dtype)
+    sums[at[begin]] = np.add.reduceat(rows[order], begin)
+    return sums
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +190,7 @@ def trainer(classes: Classes, shares: np.ndarray):
         if training.tokens:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(np.full(len(flat), training.tokens)),
-                 pa.array(flat * training.tokens)], names=["at", "tokens", "total"])
+                 pa.array(flat.astype(np.float64) * training.tokens)], names=["at", "tokens", "total"])
     return run
 
 
@@ -239,9 +245,9 @@ def train(texts: DataFrame, text_col: str = "text") -> LanguageModel:
         np.array([r["n"] for r in common], dtype=np.int64)[order])
 
 
-def scorer(model: LanguageModel):
-    """Per text one row with its sums over classes and frequent words, on one of its rarer words if it has any, and a row
-    (row, h, n) for each other distinct word."""
+def scorer(model: LanguageModel, names: list[str]):
+    """Per text a row with its sums over classes and frequent words and what it carries, and a row (row, h, n) for each of
+    its other distinct words."""
     classes, net, ending_totals = model.classes, model.net, model.ending_totals
     frequent, frequent_counts, ends = model.frequent, model.frequent_counts, model.ends
 
@@ -274,13 +280,14 @@ def scorer(model: LanguageModel):
                 # A text's sums stand on a row of their own, whose hash spreads these rows.
                 spread = mixed(ids.astype(np.uint64))
                 zeros = np.zeros(len(rare))
+                first = pa.array(np.concatenate([np.arange(part.start, part.stop), zeros]), pa.int64(), mask=np.arange(count + len(rare)) >= count)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([ids, ids[rare_own]])),
                      pa.array(np.concatenate([spread, rare]).view(np.int64)),
                      pa.array(np.concatenate([np.zeros(count, np.int64), times])),
                      *(pa.array(np.concatenate([x, zeros.astype(x.dtype)])) for x in
-                       (n_tokens.astype(np.int64), n_known.astype(np.int64), base_sum, model_sum))],
-                    names=["row", "h", "n", "n_tokens", "n_known", "base_sum", "model_sum"])
+                       (n_tokens.astype(np.int64), n_known.astype(np.int64), base_sum, model_sum)),
+                     *(column.take(first) for column in batch.columns[2:])], names=names)
     return run
 
 
@@ -291,17 +298,21 @@ def score(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_co
     Both scores are log10 probabilities of the whole text with its end: by counts alone, and by the model. NULL
     texts are empty and consist of their end. Rows that repeat are scored each; empty tables give no rows.
     """
-    rows = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col), *keep, F.col(text_col).alias("body")))
-    found = rows.select("row", "body").mapInArrow(
-        scorer(model), "row long, h long, n long, n_tokens long, n_known long, base_sum double, model_sum double")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("body"), F.col(id_col), *keep)
+    carried = rows.columns[2:]
+    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in ("row", "h", "n", "n_tokens", "n_known")),
+                           *(T.StructField(c, T.DoubleType()) for c in ("base_sum", "model_sum")),
+                           *(T.StructField(c, rows.schema[c].dataType) for c in carried)])
+    found = rows.mapInArrow(scorer(model, schema.names), schema)
     counts = model.counts.select("h", F.col("n").alias("c")).hint("shuffle_hash")
     words = found.join(counts, "h", "left")
     logs = F.coalesce(F.col("n") * F.log10(F.col("c") + 1.0), F.lit(0.0))
     seen = F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)
     sums = words.groupBy("row").agg(
         F.sum("n_tokens").alias("n_tokens"), F.sum(F.col("n_known") + seen).alias("n_known"),
-        F.sum(F.col("base_sum") + logs).alias("base_sum"), F.sum(F.col("model_sum") + logs).alias("model_sum"))
+        F.sum(F.col("base_sum") + logs).alias("base_sum"), F.sum(F.col("model_sum") + logs).alias("model_sum"),
+        *[F.max(c).alias(c) for c in carried])  # one row of a text has them
     every = F.log10(F.lit(float(model.tokens + model.vocabulary + 1)))
-    return rows.drop("body").join(sums, "row").select(
-        *[c for c in rows.columns if c not in ("row", "body")], "n_tokens", "n_known",
+    return sums.select(
+        *carried, "n_tokens", "n_known",
         (F.col("base_sum") - F.col("n_tokens") * every).alias("base_score"), F.col("model_sum").alias("score"))
