@@ -15,6 +15,7 @@ from zoneflow.llm.exact_dedup import mark_copies
 from zoneflow.llm.license_scan import labelled, spans
 from zoneflow.llm.ngram_join import similar_components
 from zoneflow.llm.source_mix import mix_sources
+from zoneflow.llm.substring_dedup import drop_repeated_lines
 from zoneflow.llm.url_filter import Rule, judge_urls
 
 URL_RULES = (
@@ -37,6 +38,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "embeddings"))
 
@@ -70,4 +75,4 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_url_filter, op5_embedding_dedup, op6_exact_dedup, op7_lm_scoring, op8_best_fit_packing, op9_language_id, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_url_filter, op4_substring_dedup, op5_embedding_dedup, op6_exact_dedup, op7_lm_scoring, op8_best_fit_packing, op9_language_id, op10_ngram_join)}
