@@ -347,3 +347,19 @@ def test_month_writes_training_and_forecast_in_one_session(spark, history):
     assert rows.count() == 2 * history.select("PUZone").distinct().count()
     with pytest.raises(ValueError, match="several rows"):
         forecasting.generate_forecast(history.unionByName(history.limit(1)), bundle, hours=2)
+
+
+def test_registered_search_tries_whole_budgets_on_all_layers(spark, sf_dir, monkeypatch):
+    from zoneflow import queries
+
+    monkeypatch.setattr(training, "tune_trees", lambda frame, layer, points, seed=42: [(p, 0.5) for p in points])
+    monkeypatch.setattr(training, "tune_tip", lambda frame, points: [(p, 0.5) for p in points])
+    rows = queries.tune_demand(spark, sf_dir).collect()
+    by_layer = {layer: [r for r in rows if r.layer == layer] for layer in training.TARGETS}
+    assert {layer: len(own) for layer, own in by_layer.items()} == dict.fromkeys(training.TARGETS, 20)
+    low, high = training.TreeParams.RANGES["trees"]
+    for layer in training.PREDICTIONS:
+        trees = [r.trees for r in by_layer[layer]]
+        assert low <= min(trees) < 200 and 700 < max(trees) <= high
+    assert all(r.trees is None and r.c > 0 for r in by_layer["tip"])
+    assert low <= training.TreeParams().trees <= high

@@ -36,7 +36,7 @@ PREDICTIONS = {"demand": "pred_demand", "profit": "pred_rph", "competition": "pr
 
 @dataclass(frozen=True)
 class TreeParams:
-    trees: int = 20
+    trees: int = 100  # the least that a search tries
     learning_rate: float = 0.1
     depth: int = 5
     subsample: float = 0.8
@@ -168,9 +168,7 @@ def train_tuned(store: DataFrame, trials: int = 20, split: SplitConfig = SplitCo
                 max_trees: int | None = None) -> tuple[ModelBundle, DataFrame, dict[str, TreeParams | TipParams]]:
     """Search each layer's parameters, then fit the four layers with the best. The frame is prepared once."""
     frame, encoders, features, medians = prepare(store, split)
-    points = draw_trees(trials, seed, max_trees)
-    best = {layer: tune_trees(frame, layer, points, seed)[0][0] for layer in PREDICTIONS}
-    best["tip"] = tune_tip(frame, draw_tips(trials, seed))[0][0]
+    best = {layer: tried[0][0] for layer, tried in search_layers(frame, trials, seed, max_trees).items()}
     models, rows = fit_models(frame, {layer: best[layer] for layer in PREDICTIONS}, best["tip"], seed)
     metrics = regression_metrics(predict(frame, models))
     return ModelBundle(encoders, features, medians, models, rows), metrics, best
@@ -216,6 +214,14 @@ def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
     return ModelBundle(encoders, list(row.features), dict(zip(row.features, row.medians)), models, row.train_rows)
 
 
+def search_layers(frame: DataFrame, trials: int = 20, seed: int = 42, max_trees: int | None = None
+                  ) -> dict[str, list[tuple[TreeParams | TipParams, float]]]:
+    """Every layer's points with their valid error, best first; the three tree layers try the same points."""
+    points = draw_trees(trials, seed, max_trees)
+    tried = {layer: tune_trees(frame, layer, points, seed) for layer in PREDICTIONS}
+    return {**tried, "tip": tune_tip(frame, draw_tips(trials, seed))}
+
+
 def draw_trees(n: int, seed: int, max_trees: int | None = None) -> list[TreeParams]:
     """Random points of the search space; the learning rate is drawn on a log scale. ``max_trees`` ends the
     range of trees earlier; points stay spread below it."""

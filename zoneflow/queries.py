@@ -503,15 +503,18 @@ def train_forecast_checks(spark, sf):
     return found.select(F.inline(F.array(*pairs)))
 
 
+SEARCHED = ("trees", "learning_rate", "depth", "subsample", "feature_share", "c")
+
+
 def tune_demand(spark, sf):
-    """Search over the demand layer, with a small budget."""
+    """The library's default search, from demand to tip: 20 points a layer over the whole range of trees. A tip point has
+    no trees, the others have no c."""
     frame, *_ = training.prepare(_history(spark, sf))
-    tried = training.tune_trees(frame, "demand", training.draw_trees(2, seed=42, max_trees=4))
-    rows = [(i, p.trees, p.learning_rate, p.depth, p.subsample, p.feature_share, mae)
-            for i, (p, mae) in enumerate(tried, 1)]
+    rows = [(layer, i, *[getattr(p, name, None) for name in SEARCHED], error)
+            for layer, tried in training.search_layers(frame).items() for i, (p, error) in enumerate(tried, 1)]
     return spark.createDataFrame(
-        rows, "place int, trees int, learning_rate double, depth int, subsample double, feature_share double, "
-              "valid_mae double")
+        rows, "layer string, place int, trees int, learning_rate double, depth int, subsample double, "
+              "feature_share double, c double, valid_error double")
 
 
 QUERIES: dict[str, Query] = {
