@@ -6,7 +6,8 @@ and reads it back for the next. All but the last return the columns of ``documen
 - ``language_id``: texts whose language the classifier rejects go (NULL, no letter, or two languages equally likely). It
   learns from the labelled texts of the same documents.
 - ``exact_dedup``: of equal texts the one with the smallest id stays.
-- ``ngram_jaccard``: of texts linked by shingle similarity the one with the smallest id stays.
+- ``ngram_jaccard``: of texts linked by shingle similarity the row with the smallest id stays, the first of several; NULL
+  is the largest id.
 - ``mix_sources``: sources are mixed to their target weights; a text is a row for each turn it is taken, with the words
   taken.
 - ``best_fit_packing``: one row per piece of a text with its place in a sequence.
@@ -38,10 +39,17 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Texts are distinct here, so an id is on one row only unless it was given to several texts; each of those is judged.
-    found = similar_components(docs.select("doc_id", "text"))
-    going = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("going")).distinct()
-    return docs.join(going, docs["doc_id"] == going["going"], "left_anti")
+    # Rows are numbered, as an id may be NULL or stand on several texts. A written table gives the same numbers each time
+    # it is read.
+    numbered = docs.withColumn("near_row", F.monotonically_increasing_id())
+    found = similar_components(numbered.select("near_row", "text"), id_col="near_row")
+    linked = materialize(found.filter("component_id <> near_row").select("near_row", "component_id"))
+    members = linked.unionAll(linked.select(F.col("component_id").alias("near_row"), "component_id").distinct())
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "near_row")
+    kept = members.join(numbered.select("near_row", "doc_id"), "near_row").groupBy("component_id").agg(F.min(rank).alias("kept")).select(
+        F.col("kept.near_row").alias("near_row"))
+    going = members.select("near_row").join(kept, "near_row", "left_anti")
+    return numbered.join(going, "near_row", "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,3 +47,15 @@ def test_pipeline_of_no_documents_and_of_odd_ones(spark, tmp_path):
         some.write.parquet(f"{tmp_path}/{name}/documents.parquet")
         found = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
         assert {r.doc_id for r in found} <= {3, None} and bool(found) == (name == "some")
+
+
+def test_near_copies_go_by_row(spark):
+    words = [f"w{i}" for i in range(100)]
+    near, other = " ".join(words), " ".join(f"x{i}" for i in range(100))
+    rows = [(None, near), (None, near + " a"), (5, near + " b"), (5, other), (7, other + " a"), (7, other + " b"), (None, "alone")]
+    docs = materialize(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = {tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()}
+    assert kept == {(5, near + " b"), (5, other), (None, "alone")}
+    alike = materialize(spark.createDataFrame([(None, near), (None, near + " a"), (3, other), (3, other + " a")], docs.schema))
+    found = corpus_pipeline.drop_near_copies(spark, alike, "").collect()
+    assert len(found) == 2 and {r.doc_id for r in found} == {None, 3}
