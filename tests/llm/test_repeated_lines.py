@@ -1,4 +1,4 @@
-from zoneflow.llm.substring_dedup import drop_repeated_lines
+from zoneflow.llm.substring_dedup import drop_repeated_lines, drop_repeated_passages
 
 
 def test_repeated_lines_equal_brute_force(spark, sf_dir):
@@ -17,3 +17,21 @@ def test_repeated_lines_equal_brute_force(spark, sf_dir):
         assert found[i].text == "\n".join(x for _, x in kept)
         assert [(r.begin, r.end) for r in found[i].removed] == [(a, a + len(x)) for a, x in gone]
     assert drop_repeated_lines(docs.limit(0)).count() == 0
+
+
+def test_a_passage_goes_from_lines_that_differ_elsewhere(spark):
+    passage = " ".join(f"Word{i}." if i % 7 == 0 else f"word{i}" for i in range(120))
+    rows = [(1, f"one begins so. {passage} ends one.\nThe end."), (2, f"two begins unlike it.  {passage}\n\nthe  END."),
+            (3, f"three. {passage.replace('word60', 'of word60')} and it goes on"), (4, passage.replace(".", "")), (None, None), (6, "")]
+    found = {r.doc_id: r for r in drop_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    assert found[1].text == texts[1] and found[1].removed == []
+    assert found[2].text.startswith("two begins unlike it.") and len(found[2].text.split()) < 30
+    assert (found[2].n_units, found[2].n_removed, found[2].n_passages) == (3, 1, 1)
+    assert len(found[3].text.split()) < 45 and "of word60" in found[3].text and found[3].n_passages == 2
+    assert found[6].text == found[None].text == ""
+    for i in (1, 2, 3, 4):
+        cut = [texts[i][r.begin:r.end] for r in found[i].removed]
+        assert len("".join(cut)) + len(found[i].text) + found[i].n_removed == len(texts[i])
+    short = spark.createDataFrame([(1, "a b c, d e f"), (2, "a b c, x y z")], "doc_id long, text string")
+    assert {r.text for r in drop_repeated_passages(short).collect()} == {"a b c, d e f", "a b c, x y z"}

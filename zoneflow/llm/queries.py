@@ -15,7 +15,7 @@ from zoneflow.llm.exact_dedup import mark_copies
 from zoneflow.llm.license_scan import labelled, spans
 from zoneflow.llm.ngram_join import similar_components
 from zoneflow.llm.source_mix import mix_sources
-from zoneflow.llm.substring_dedup import drop_repeated_lines
+from zoneflow.llm.substring_dedup import drop_repeated_passages
 from zoneflow.llm.url_filter import Rule, judge_urls
 
 URL_RULES = (
@@ -39,7 +39,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return drop_repeated_passages(table(spark, sf_dir, "documents"))
 
 
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
