@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zoneflow.session import materialize
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: What separates words; the complement of the words' class ``[^\x20\x09-\x0D]+``.
@@ -41,3 +43,19 @@ def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+#: Totals of at most so many groups are broadcast, some megabytes; more are joined by salted keys.
+BROADCAST_GROUPS, SALTS = 50_000, 32
+
+
+def with_group_total(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``rows``, a written table, with the sum of ``value`` over equal keys; NULL keys are one group."""
+    totals = materialize(rows.groupBy(F.col(key).alias("_key")).agg(F.sum(value).alias(name)))
+    if totals.count() <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(totals), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    # A key that holds a large part of all rows meets its total in as many tasks as there are salts.
+    spread = totals.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_own", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_salt"))
+    return salted.join(spread, same, "left").drop("_key", "_salt", "_own")

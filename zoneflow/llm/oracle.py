@@ -76,6 +76,59 @@ SELECT x AS doc_id, coalesce(any_value(size), 0) AS n_shingles, min(y) AS compon
 FROM reach LEFT JOIN n ON n.doc_id = x GROUP BY x"""
 
 
+COMPLETE = """embedding IS NOT NULL
+     AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"""
+
+
+def op11(rounds: int = 6) -> str:
+    assigned = """a{0} AS MATERIALIZED (
+  SELECT r, part, arg_min(entry, dist * 16 + entry) AS entry, min(dist) AS dist FROM (
+    SELECT r, part, entry, CAST(sum((c.x - b.x) * (c.x - b.x)) AS BIGINT) AS dist FROM c JOIN b{0} AS b USING (part, pos) GROUP BY ALL)
+  GROUP BY r, part)"""
+    moved = """n{0} AS (
+  SELECT part, entry, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM c JOIN a{0} USING (r, part) GROUP BY ALL),
+b{1} AS MATERIALIZED (
+  SELECT part, entry, pos, CASE WHEN n IS NULL THEN x ELSE (s - ((s % n) + n) % n) // n END AS x
+  FROM b{0} LEFT JOIN n{0} USING (part, entry, pos))"""
+    steps = ",\n".join(f"{assigned.format(k)},\n{moved.format(k, k + 1)}" for k in range(rounds))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(4096 * x) AS BIGINT)) AS q
+  FROM embeddings WHERE {COMPLETE}),
+c AS MATERIALIZED (
+  SELECT r, CAST(d // (n // 8) AS INT) AS part, CAST(d % (n // 8) AS INT) AS pos, q[d + 1] AS x
+  FROM (SELECT r, q, len(q) AS n, unnest(range(0, len(q))) AS d FROM v)),
+first AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v ORDER BY vec_id LIMIT 16),
+b0 AS MATERIALIZED (SELECT part, entry, pos, x FROM c JOIN first USING (r)),
+{steps},
+{assigned.format(rounds)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(dist) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+books AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) AS digest FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM v JOIN coded USING (r), books"""
+
+
+OP12 = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND {COMPLETE}),
+s AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r),
+p AS (
+  SELECT a, b, anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, other_id, b) <= 5),
+n AS (
+  SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.other_id) AS rank
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op3_url_filter": op3(), "op5_embedding_dedup": OP5, "op6_exact_dedup": OP6,
-            "op10_ngram_join": OP10}
+            "op10_ngram_join": OP10, "op11_vector_codes": op11(), "op12_hard_negatives": OP12}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import language_id, lm_scoring
+from zoneflow.llm import hard_negatives, language_id, lm_scoring, vector_codes
 from zoneflow.llm.best_fit_packing import pack_documents
 from zoneflow.llm.common import id_hash_mod, table, vocabulary
 from zoneflow.llm.embedding_dedup import near_copies
@@ -74,5 +74,15 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, scale=256, label=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_url_filter, op4_substring_dedup, op5_embedding_dedup, op6_exact_dedup, op7_lm_scoring, op8_best_fit_packing, op9_language_id, op10_ngram_join)}
+    return {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_url_filter, op4_substring_dedup, op5_embedding_dedup, op6_exact_dedup, op7_lm_scoring, op8_best_fit_packing, op9_language_id, op10_ngram_join,
+                                op11_vector_codes, op12_hard_negatives)}
