@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import hard_negatives, language_id, lm_scoring, vector_codes
+from zoneflow.llm import hard_negatives, language_id, lm_scoring, toxicity, vector_codes
 from zoneflow.llm.best_fit_packing import pack_documents
 from zoneflow.llm.common import id_hash_mod, table, vocabulary
 from zoneflow.llm.embedding_dedup import near_copies
@@ -83,6 +83,13 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, scale=256, label=label)
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_hash_mod("doc_id", 5) == 0
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    network = toxicity.learn(docs, labels.filter(~held_out))
+    return toxicity.score(docs, network, keep=("doc_id", held_out.alias("held_out")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_url_filter, op4_substring_dedup, op5_embedding_dedup, op6_exact_dedup, op7_lm_scoring, op8_best_fit_packing, op9_language_id, op10_ngram_join,
-                                op11_vector_codes, op12_hard_negatives)}
+                                op11_vector_codes, op12_hard_negatives, op13_toxicity)}
