@@ -297,17 +297,33 @@ def test_search_points_lie_in_their_ranges_and_the_best_comes_first(history):
     for name, (low, high) in training.TreeParams.RANGES.items():
         assert all(low <= getattr(p, name) <= high for p in points)
     assert points == training.draw_trees(50, seed=1) != training.draw_trees(50, seed=2)
-    frame, *_ = training.prepare(history)
-    tried = training.tune_trees(frame, "demand", [training.TreeParams(trees=1, depth=2, learning_rate=0.01),
-                                                  training.TreeParams(trees=8, depth=4, learning_rate=0.3)])
-    assert tried[0][1] <= tried[1][1]
+    frame, _, features, _ = training.prepare(history)
+    tried = training.tune_trees(frame, features, ["demand", "profit"], [
+        training.TreeParams(trees=2, depth=2, learning_rate=0.01), training.TreeParams(trees=40, depth=4, learning_rate=0.3),
+        training.TreeParams(trees=40, depth=3, learning_rate=0.2)])
+    for own in tried.values():
+        assert [e for _, e in own] == sorted(e for _, e in own) and len(own) == 3
+    assert tried["demand"][0][0].learning_rate > 0.01
     tips = training.tune_tip(frame, training.draw_tips(2, seed=1))
     assert tips[0][1] <= tips[1][1] <= 1.0
     models, metrics, best = training.train_tuned(history, trials=1, max_trees=2)
     assert set(best) == set(models.models) == {"demand", "profit", "competition", "tip"}
     assert metrics.count() == 12 and best["demand"].trees <= 2
-    bounded = [p.trees for p in training.draw_trees(50, seed=1, max_trees=20)]
-    assert len(set(bounded)) > 3 and max(bounded) <= 20
+    assert {p.trees for p in training.draw_trees(50, seed=1, max_trees=20)} == {20}
+
+
+def test_best_number_of_trees_comes_from_the_staged_errors():
+    nan = float("nan")
+    assert training._staged([9.0, 3.0, 5.0, 4.0, 6.0], 2) == (3, 4.0)
+    assert training._staged([9.0, 3.0], 5) == (1, 3.0)
+    assert training._staged([nan, nan], 1) == (1, float("inf"))
+
+
+def test_search_sample_is_whole_or_bounded(history):
+    frame = training.training_frame(history)[0]
+    both = frame.filter("split <> 'test'").count()
+    assert training.search_sample(frame, 10 ** 6).count() == both
+    assert 0 < training.search_sample(frame, both // 8).count() < both
 
 
 def test_metadata(history):
@@ -352,14 +368,18 @@ def test_month_writes_training_and_forecast_in_one_session(spark, history):
 def test_registered_search_tries_whole_budgets_on_all_layers(spark, sf_dir, monkeypatch):
     from zoneflow import queries
 
-    monkeypatch.setattr(training, "tune_trees", lambda frame, layer, points, seed=42: [(p, 0.5) for p in points])
+    seen = []
+
+    def tried(frame, features, layers, points, seed=42):
+        seen.extend(points)
+        return {layer: [(p, 0.5) for p in points] for layer in layers}
+
+    monkeypatch.setattr(training, "tune_trees", tried)
     monkeypatch.setattr(training, "tune_tip", lambda frame, points: [(p, 0.5) for p in points])
     rows = queries.tune_demand(spark, sf_dir).collect()
     by_layer = {layer: [r for r in rows if r.layer == layer] for layer in training.TARGETS}
     assert {layer: len(own) for layer, own in by_layer.items()} == dict.fromkeys(training.TARGETS, 20)
     low, high = training.TreeParams.RANGES["trees"]
-    for layer in training.PREDICTIONS:
-        trees = [r.trees for r in by_layer[layer]]
-        assert low <= min(trees) < 200 and 700 < max(trees) <= high
+    assert len(seen) == 20 and {p.trees for p in seen} == {high}
     assert all(r.trees is None and r.c > 0 for r in by_layer["tip"])
     assert low <= training.TreeParams().trees <= high

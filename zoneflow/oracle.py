@@ -608,6 +608,9 @@ def _finals() -> dict[str, str]:
     SELECT 'rows' AS check, 24 * count(DISTINCT PUZone) AS found FROM history
     UNION ALL SELECT 'zone hours', 24 * count(DISTINCT PUZone) FROM history UNION ALL SELECT 'hours', 24 UNION ALL SELECT 'ranks outside 1..n', 0 UNION ALL SELECT 'ranks twice in an hour', 0
     UNION ALL SELECT 'scores outside 0..1', 0 UNION ALL SELECT 'better scores ranked lower', 0""",
+        "tune_checks": """
+    SELECT unnest(['demand', 'profit', 'competition', 'tip']) AS layer, CAST(20 AS BIGINT) AS points, CAST(20 AS BIGINT) AS last_place,
+        CAST(0 AS BIGINT) AS outside_ranges, CAST(0 AS BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS without_error""",
         "forecast_run_metadata": """
     SELECT 'hourly_zone_store' AS data_table, strftime(min(ts_hour), '%Y-%m-%d %H:%M:%S') AS data_min_ts_hour,
         strftime(max(ts_hour), '%Y-%m-%d %H:%M:%S') AS data_max_ts_hour,

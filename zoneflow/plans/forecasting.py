@@ -64,7 +64,7 @@ def generate_forecast(history: DataFrame, bundle: ModelBundle, hours: int = 24,
     frame = fill_missing(forecast_frame(coded, first, hours, mode, compat), coded, bundle.features)
     predicted = predict(with_model_input(frame, bundle.features, bundle.medians), bundle.models)
     # Zones x hours rows, read twice: for the limits of the scores and for the scores.
-    predicted = materialize(predicted.drop("features", "imputed"))
+    predicted = materialize(predicted.drop("raw", "imputed"))
     ranked = rank_zones(opportunity_score(predicted), rank_by)
     if check:
         assert_forecast_window(ranked, first, hours)

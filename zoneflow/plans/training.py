@@ -1,4 +1,4 @@
-"""Training of the four layers on Spark ML: demand, profit, competition, tip."""
+"""Training of the four layers: boosted trees for demand, profit and competition, logistic regression for tip."""
 
 from __future__ import annotations
 
@@ -7,19 +7,20 @@ import math
 import random
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from zoneflow.config import SplitConfig
 from zoneflow.functions.calendar import ntz
+from zoneflow.operators import boosting
+from zoneflow.operators.boosting import BoostedTrees, BoostParams, fit_boosted
 from zoneflow.operators.prep import (
     competition_target, encode_categoricals, existing, fit_encoders, known_categories, metric_drift, regression_metrics,
     time_split, tip_label,
@@ -41,12 +42,26 @@ class TreeParams:
     depth: int = 5
     subsample: float = 0.8
     feature_share: float = 0.8
+    #: Of the leaf-wise layers.
+    leaves: int = 31
 
-    # Search ranges (fixed values); the number of trees is bounded by the caller's budget.
-    RANGES = {"trees": (100, 800), "learning_rate": (0.01, 0.3), "depth": (3, 10), "subsample": (0.5, 1.0),
+    # Search ranges (fixed values).
+    RANGES = {"trees": (100, 800), "learning_rate": (0.01, 0.3), "depth": (3, 10), "leaves": (20, 150), "subsample": (0.5, 1.0),
               "feature_share": (0.5, 1.0)}
 
 
+@dataclass(frozen=True)
+class Style:
+    """How a layer's trees grow: leaf by leaf to a number of leaves, or as far as their depth allows."""
+
+    leafwise: bool
+    min_rows: int
+    l2: float
+
+
+STYLES = {"demand": Style(True, 20, 0.0), "profit": Style(False, 1, 1.0), "competition": Style(True, 20, 0.0)}
+
+
 @dataclass(frozen=True)
 class TipParams:
     c: float = 1.0
@@ -62,21 +77,17 @@ class ModelBundle:
     encoders: StringIndexerModel
     features: list[str]
     medians: dict[str, float]
-    models: dict[str, Model]
+    models: dict[str, Model | BoostedTrees]
     train_rows: int = 0
 
 
 def with_model_input(df: DataFrame, features: list[str], medians: dict[str, float]) -> DataFrame:
-    """Vectors of a row: ``imputed`` has every feature with the train median for NULL, for the tip layer;
-    ``features`` adds a flag per feature that it was NULL, for the trees. Spark trees have no branch for
-    missing values, and the flag keeps that information for them."""
+    """What models read of a row: ``raw`` has every feature as it is, NULL included, for the trees; ``imputed`` has the train
+    median for NULL, for the tip layer."""
     imputed = [f"coalesce(double({c}), {medians[c]!r}D) AS f_{c}" for c in features]
-    missing = [f"double({c} IS NULL) AS m_{c}" for c in features]
-    wide = df.selectExpr("*", *imputed, *missing)
-    values, flags = [f"f_{c}" for c in features], [f"m_{c}" for c in features]
-    wide = VectorAssembler(inputCols=values, outputCol="imputed").transform(wide)
-    wide = VectorAssembler(inputCols=["imputed", *flags], outputCol="features").transform(wide)
-    return wide.drop(*values, *flags)
+    wide = df.selectExpr("*", f"array({', '.join(f'double({c})' for c in features)}) AS raw", *imputed)
+    values = [f"f_{c}" for c in features]
+    return VectorAssembler(inputCols=values, outputCol="imputed").transform(wide).drop(*values)
 
 
 def training_frame(store: DataFrame, split: SplitConfig = SplitConfig()
@@ -89,12 +100,16 @@ def training_frame(store: DataFrame, split: SplitConfig = SplitConfig()
     return parts, encoders, existing(parts)
 
 
-def _regressor(target: str, params: TreeParams, seed: int) -> GBTRegressor:
-    return GBTRegressor(
-        labelCol=target, featuresCol="features", maxIter=params.trees, stepSize=params.learning_rate,
-        maxDepth=params.depth, subsamplingRate=params.subsample, lossType="squared",
-        featureSubsetStrategy=str(params.feature_share), seed=seed,
-    )
+def boost_params(layer: str, params: TreeParams, seed: int) -> BoostParams:
+    style = STYLES[layer]
+    return BoostParams(
+        trees=params.trees, learning_rate=params.learning_rate, leaves=params.leaves if style.leafwise else 2 ** params.depth, depth=params.depth,
+        subsample=params.subsample, feature_share=params.feature_share, min_rows=style.min_rows, l2=style.l2, seed=seed)
+
+
+def row_key():
+    """Tells rows apart, however they are partitioned."""
+    return F.xxhash64("PUZone", "ts_hour")
 
 
 def _classifier(params: TipParams, rows: int) -> LogisticRegression:
@@ -125,32 +140,35 @@ def _side_by_side(spark: SparkSession, task: Callable, items: Iterable, at_once:
         return list(pool.map(inheritable_thread_target(spark)(task), items))
 
 
-def fit_models(frame: DataFrame, trees: dict[str, TreeParams] | None = None, tip: TipParams = TipParams(),
-               seed: int = 42) -> tuple[dict[str, Model], int]:
-    """The four fits, side by side on one cached train part."""
+def fit_models(frame: DataFrame, features: list[str], trees: dict[str, TreeParams] | None = None, tip: TipParams = TipParams(),
+               seed: int = 42) -> tuple[dict[str, Model | BoostedTrees], int]:
+    """The four fits: the tree layers in shared passes over binned rows, the tip layer beside them."""
     trees = trees or {}
-    train = frame.filter(F.col("split") == "train").persist()
-    try:
-        rows = train.count()
-        estimators = {
-            layer: _regressor(TARGETS[layer], trees.get(layer, TreeParams()), seed) for layer in PREDICTIONS
-        }
-        estimators["tip"] = _classifier(tip, rows)
-        fitted = _side_by_side(frame.sparkSession, lambda e: e.fit(train), estimators.values(), len(estimators))
-    finally:
-        train.unpersist()
-    models = dict(zip(estimators, fitted))
-    # A fitted model holds a summary, which holds the session, and a prediction would ship both; a saved one does not.
-    path = f"{work_dir(frame.sparkSession)}/tip"
-    models["tip"].write().save(path)
-    models["tip"] = LogisticRegressionModel.load(path)
-    return models, rows
-
-
-def predict(df: DataFrame, models: dict[str, Model]) -> DataFrame:
-    """Four predictions per row of a frame that has the feature vector."""
-    for layer, column in PREDICTIONS.items():
-        df = models[layer].transform(df).withColumnRenamed("prediction", column)
+    spark = frame.sparkSession
+
+    def fit_trees() -> dict[str, BoostedTrees]:
+        return fit_boosted(frame, features, {layer: (TARGETS[layer], boost_params(layer, trees.get(layer, TreeParams()), seed))
+                                             for layer in PREDICTIONS}, key=row_key())
+
+    def fit_tip() -> tuple[LogisticRegressionModel, int]:
+        train = frame.filter(F.col("split") == "train").select("imputed", "high_tip_zone").persist()
+        try:
+            rows = train.count()
+            fitted = _classifier(tip, rows).fit(train)
+        finally:
+            train.unpersist()
+        # A fitted model holds a summary, which holds the session, and a prediction would ship both; a saved one does not.
+        path = f"{work_dir(spark)}/tip"
+        fitted.write().save(path)
+        return LogisticRegressionModel.load(path), rows
+
+    models, (tip_model, rows) = _side_by_side(spark, lambda fit: fit(), [fit_trees, fit_tip], 2)
+    return {**models, "tip": tip_model}, rows
+
+
+def predict(df: DataFrame, models: dict[str, Model | BoostedTrees]) -> DataFrame:
+    """Four predictions per row of a frame that has the models' input."""
+    df = df.withColumns({column: models[layer].prediction("raw") for layer, column in PREDICTIONS.items()})
     scored = models["tip"].transform(df).withColumn("pred_tip_prob", vector_to_array("probability")[1])
     return scored.withColumnRenamed("prediction", "pred_tip").drop("rawPrediction", "probability")
 
@@ -159,17 +177,17 @@ def train_models(store: DataFrame, trees: dict[str, TreeParams] | None = None, t
                  split: SplitConfig = SplitConfig(), seed: int = 42) -> tuple[ModelBundle, DataFrame]:
     """Fit the four layers and measure them on train, valid and test."""
     frame, encoders, features, medians = prepare(store, split)
-    models, rows = fit_models(frame, trees, tip, seed)
+    models, rows = fit_models(frame, features, trees, tip, seed)
     metrics = regression_metrics(predict(frame, models))
     return ModelBundle(encoders, features, medians, models, rows), metrics
 
 
 def train_tuned(store: DataFrame, trials: int = 20, split: SplitConfig = SplitConfig(), seed: int = 42,
                 max_trees: int | None = None) -> tuple[ModelBundle, DataFrame, dict[str, TreeParams | TipParams]]:
-    """Search each layer's parameters, then fit the four layers with the best. The frame is prepared once."""
+    """Search each layer's parameters, then fit the four layers with the best on all rows. The frame is prepared once."""
     frame, encoders, features, medians = prepare(store, split)
-    best = {layer: tried[0][0] for layer, tried in search_layers(frame, trials, seed, max_trees).items()}
-    models, rows = fit_models(frame, {layer: best[layer] for layer in PREDICTIONS}, best["tip"], seed)
+    best = {layer: tried[0][0] for layer, tried in search_layers(frame, features, trials, seed, max_trees).items()}
+    models, rows = fit_models(frame, features, {layer: best[layer] for layer in PREDICTIONS}, best["tip"], seed)
     metrics = regression_metrics(predict(frame, models))
     return ModelBundle(encoders, features, medians, models, rows), metrics, best
 
@@ -198,8 +216,9 @@ def save_bundle(bundle: ModelBundle, path: str) -> None:
     """Encoders and models with their Spark ML writers, the rest as a one-row JSON table."""
     spark = SparkSession.active()
     bundle.encoders.write().overwrite().save(f"{path}/encoders")
-    for layer, model in bundle.models.items():
-        model.write().overwrite().save(f"{path}/models/{layer}")
+    for layer in PREDICTIONS:
+        bundle.models[layer].save(f"{path}/models/{layer}")
+    bundle.models["tip"].write().overwrite().save(f"{path}/models/tip")
     row = (bundle.features, [bundle.medians[c] for c in bundle.features], bundle.train_rows)
     metadata = spark.createDataFrame([row], "features array<string>, medians array<double>, train_rows bigint")
     metadata.write.mode("overwrite").json(f"{path}/metadata")
@@ -208,38 +227,34 @@ def save_bundle(bundle: ModelBundle, path: str) -> None:
 def load_bundle(spark: SparkSession, path: str) -> ModelBundle:
     schema = "features array<string>, medians array<double>, train_rows bigint"
     row = spark.read.schema(schema).json(f"{path}/metadata").first()
-    models = {layer: GBTRegressionModel.load(f"{path}/models/{layer}") for layer in PREDICTIONS}
+    models = {layer: BoostedTrees.load(spark, f"{path}/models/{layer}") for layer in PREDICTIONS}
     models["tip"] = LogisticRegressionModel.load(f"{path}/models/tip")
     encoders = StringIndexerModel.load(f"{path}/encoders")
     return ModelBundle(encoders, list(row.features), dict(zip(row.features, row.medians)), models, row.train_rows)
 
 
-def search_layers(frame: DataFrame, trials: int = 20, seed: int = 42, max_trees: int | None = None
+def search_layers(frame: DataFrame, features: list[str], trials: int = 20, seed: int = 42, max_trees: int | None = None
                   ) -> dict[str, list[tuple[TreeParams | TipParams, float]]]:
     """Every layer's points with their valid error, best first; the three tree layers try the same points."""
     points = draw_trees(trials, seed, max_trees)
-    tried = {layer: tune_trees(frame, layer, points, seed) for layer in PREDICTIONS}
-    return {**tried, "tip": tune_tip(frame, draw_tips(trials, seed))}
+    both = _side_by_side(frame.sparkSession, lambda search: search(), [
+        lambda: tune_trees(frame, features, list(PREDICTIONS), points, seed), lambda: {"tip": tune_tip(frame, draw_tips(trials, seed))}], 2)
+    return {**both[0], **both[1]}
 
 
 def draw_trees(n: int, seed: int, max_trees: int | None = None) -> list[TreeParams]:
-    """Random points of the search space; the learning rate is drawn on a log scale. ``max_trees`` ends the
-    range of trees earlier; points stay spread below it."""
+    """Random points of the search space; the learning rate is drawn on a log scale. ``trees`` is the most that a point may
+    grow, as its error is known after each tree: the end of the range, or ``max_trees``."""
     rng = random.Random(seed)
     ranges = TreeParams.RANGES
-    low, high = ranges["trees"]
-    if max_trees and max_trees < high:
-        low, high = min(low, max(1, max_trees // 2)), max_trees
-    points = []
-    for _ in range(n):
-        points.append(TreeParams(
-            trees=rng.randint(min(low, high), high),
-            learning_rate=math.exp(rng.uniform(*map(math.log, ranges["learning_rate"]))),
-            depth=rng.randint(*ranges["depth"]),
-            subsample=rng.uniform(*ranges["subsample"]),
-            feature_share=rng.uniform(*ranges["feature_share"]),
-        ))
-    return points
+    return [TreeParams(
+        trees=min(ranges["trees"][1], max_trees or ranges["trees"][1]),
+        learning_rate=math.exp(rng.uniform(*map(math.log, ranges["learning_rate"]))),
+        depth=rng.randint(*ranges["depth"]),
+        subsample=rng.uniform(*ranges["subsample"]),
+        feature_share=rng.uniform(*ranges["feature_share"]),
+        leaves=rng.randint(*ranges["leaves"]),
+    ) for _ in range(n)]
 
 
 def draw_tips(n: int, seed: int) -> list[TipParams]:
@@ -251,23 +266,69 @@ def _best_first(tried: Iterable[tuple]) -> list[tuple]:
     return sorted(tried, key=lambda point: math.inf if point[1] is None else point[1])
 
 
-def tune_trees(frame: DataFrame, layer: str, points: list[TreeParams], seed: int = 42, at_once: int = 4
-               ) -> list[tuple[TreeParams, float]]:
-    """Valid mean absolute error of every point, best first. The chronological valid part is used as it
-    is, never a random one."""
-    target = TARGETS[layer]
-    train = frame.filter(F.col("split") == "train").persist()
-    valid = frame.filter(F.col("split") == "valid")
-    error = F.avg(F.abs(F.col(target) - F.col("prediction")))
-
-    def attempt(params: TreeParams) -> tuple[TreeParams, float]:
-        return params, _regressor(target, params, seed).fit(train).transform(valid).agg(error).first()[0]
-
-    try:
-        train.count()
-        return _best_first(_side_by_side(frame.sparkSession, attempt, points, at_once))
-    finally:
-        train.unpersist()
+def search_sample(frame: DataFrame, rows: int) -> DataFrame:
+    """All train and valid rows where they are no more than ``rows`` each, else about so many of each, by a hash."""
+    counts = {r["split"]: r["n"] for r in frame.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    place = F.xxhash64("PUZone", "ts_hour", F.lit("search")) / F.lit(2.0 ** 64) + 0.5
+    share = {part: min(1.0, rows / max(1, counts.get(part, 0))) for part in ("train", "valid")}
+    return frame.filter(F.col("split").isin("train", "valid") & (place < F.when(F.col("split") == "train", share["train"]).otherwise(share["valid"])))
+
+
+def tune_trees(frame: DataFrame, features: list[str], layers: list[str], points: list[TreeParams], seed: int = 42, sample_rows: int = 50_000,
+               patience: int = 50) -> dict[str, list[tuple[TreeParams, float]]]:
+    """Points of every layer with their valid mean absolute error, best first; ``trees`` of a point is its best number.
+
+    A fit's error is known after every tree, so the numbers of trees of a point cost one fit; a fit whose last ``patience``
+    trees were no better ends. Points are halved: all grow to the least number of the range, the better half to twice that, and so
+    on. Every (layer, point) is a task of its own on the same sample of at most ``sample_rows`` rows of train and of valid,
+    about 60 bytes each. The chronological valid part is used as it is, never a random one.
+    """
+    spark = frame.sparkSession
+    least = min(TreeParams.RANGES["trees"][0], min(p.trees for p in points))
+    prepared = boosting.frame_of(search_sample(frame, sample_rows), features, [TARGETS[layer] for layer in layers], key=row_key())
+    parts = prepared.blocks.collect()  # the sample, a few megabytes
+    blocks = [boosting.Block.of(list(row), len(features), len(layers)) for row in parts]
+    order = sorted(range(len(blocks)), key=lambda i: blocks[i].key.tobytes())
+    whole = spark.sparkContext.broadcast(boosting.Block(*(
+        boosting.np.concatenate([getattr(blocks[i], c) for i in order]) if blocks else getattr(boosting.Block.of([b""] * 5, len(features), len(layers)), c)
+        for c in boosting.BLOCK_COLUMNS)))
+    tasks = [(i, k, None) for i in range(len(layers)) for k in range(len(points))]
+    params = [[boost_params(layer, p, seed) for p in points] for layer in layers]
+    state = spark.createDataFrame(tasks, "layer int, point int, state binary")
+    errors: dict[tuple[int, int], list[float]] = {}
+    until = least
+    while True:
+        budget = min(until, max(p.trees for p in points))
+        grown = state.repartitionByRange(max(1, len(tasks)), "layer", "point").mapInArrow(
+            boosting.trial(whole, params, prepared.edges, prepared.scales, budget, patience), "layer int, point int, state binary, errors array<double>")
+        grown = materialize(grown)
+        for row in grown.select("layer", "point", "errors").collect():
+            errors[row["layer"], row["point"]] = list(row["errors"])
+        if budget >= max(p.trees for p in points):
+            break
+        best = []
+        for i in range(len(layers)):
+            own = [t for t in tasks if t[0] == i]
+            own.sort(key=lambda t: _staged(errors[t[0], t[1]], least)[1])
+            best += own[:max(1, len(own) // 2)]
+        tasks = best
+        kept = spark.createDataFrame([t[:2] for t in tasks], "layer int, point int")
+        state = grown.select("layer", "point", "state").join(F.broadcast(kept), ["layer", "point"])
+        until *= 2
+    whole.unpersist()
+    found = {}
+    for i, layer in enumerate(layers):
+        staged = [(p, *_staged(errors[i, k], min(least, p.trees))) for k, p in enumerate(points)]
+        found[layer] = _best_first((replace(p, trees=count), error) for p, count, error in staged)
+    return found
+
+
+def _staged(errors: list[float], least: int) -> tuple[int, float]:
+    """The best number of trees from ``least`` on, and its error; a fit that ended before has its last."""
+    least = min(least, len(errors) - 1)
+    known = [(math.inf if math.isnan(e) else e, n) for n, e in enumerate(errors) if n >= least]
+    error, count = min(known)
+    return count, error
 
 
 def tune_tip(frame: DataFrame, points: list[TipParams], at_once: int = 4) -> list[tuple[TipParams, float]]:

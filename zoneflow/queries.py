@@ -7,6 +7,7 @@ two engines add in different orders), whole numbers as BIGINT, dates as text.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -503,18 +504,30 @@ def train_forecast_checks(spark, sf):
     return found.select(F.inline(F.array(*pairs)))
 
 
-SEARCHED = ("trees", "learning_rate", "depth", "subsample", "feature_share", "c")
+SEARCHED = ("trees", "learning_rate", "depth", "leaves", "subsample", "feature_share", "c")
+TUNED = ("layer string, place int, trees int, learning_rate double, depth int, leaves int, subsample double, "
+         "feature_share double, c double, valid_error double")
 
 
 def tune_demand(spark, sf):
-    """The library's default search, from demand to tip: 20 points a layer over the whole range of trees. A tip point has
-    no trees, the others have no c."""
-    frame, *_ = training.prepare(_history(spark, sf))
+    """The library's default search, from demand to tip: 20 points a layer. ``trees`` is a point's best number up to the end
+    of the range; a tip point has no trees, the others have no c."""
+    frame, _, features, _ = training.prepare(_history(spark, sf))
     rows = [(layer, i, *[getattr(p, name, None) for name in SEARCHED], error)
-            for layer, tried in training.search_layers(frame).items() for i, (p, error) in enumerate(tried, 1)]
-    return spark.createDataFrame(
-        rows, "layer string, place int, trees int, learning_rate double, depth int, subsample double, "
-              "feature_share double, c double, valid_error double")
+            for layer, tried in training.search_layers(frame, features).items() for i, (p, error) in enumerate(tried, 1)]
+    return spark.createDataFrame(rows, TUNED)
+
+
+def tune_checks(spark, sf):
+    """What must hold for every layer of a search, counted on its points."""
+    tried = materialize(tune_demand(spark, sf))
+    ranges = training.TreeParams.RANGES
+    inside = [F.col(c).between(*ranges[c]) for c in ranges if c != "trees"]
+    wrong = ~(F.col("trees").between(1, ranges["trees"][1]) & functools.reduce(lambda a, b: a & b, inside))
+    after = F.lead("valid_error").over(Window.partitionBy("layer").orderBy("place"))
+    return tried.withColumn("_next", after).groupBy("layer").agg(
+        F.count("*").alias("points"), F.max("place").alias("last_place"), F.count_if(wrong).alias("outside_ranges"),
+        F.count_if(F.col("_next") < F.col("valid_error")).alias("out_of_order"), F.count_if(F.col("valid_error").isNull()).alias("without_error"))
 
 
 QUERIES: dict[str, Query] = {
@@ -590,6 +603,7 @@ QUERIES: dict[str, Query] = {
     "train_forecast": train_forecast,
     "train_forecast_checks": train_forecast_checks,
     "tune_demand": tune_demand,
+    "tune_checks": tune_checks,
 }
 
 
