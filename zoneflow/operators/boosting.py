@@ -18,17 +18,22 @@ themselves. Tasks keep nothing between passes, so a lost executor costs a pass.
 from __future__ import annotations
 
 import pickle
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.session import materialize
 
+# Functions go to the tasks by value, so executors need not have the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Bins of a feature without the one of NULL, and that one.
 BINS, MISSING = 63, 63
 BLOCK_ROWS, INTERVAL, DIRECT_PARTS, SPREAD = 65_536, 20, 16, 32
@@ -462,6 +467,8 @@ def fit_boosted(rows: DataFrame, features: list[str], models: dict[str, tuple[st
     """
     frame = frame_of(rows, features, [target for target, _ in models.values()], raw, split, key)
     parts, blocks = frame.blocks.rdd.getNumPartitions(), frame.blocks
+    if frame.blocks.count() == 1:
+        return fit_in_tasks(frame, features, models)
     fits = [Fit(i, params) for i, (_, params) in enumerate(models.values())]
     for step in range(max((f.params.trees for f in fits), default=0) + 1):
         active = [f for f in fits if step <= f.params.trees]
@@ -492,6 +499,28 @@ def fit_boosted(rows: DataFrame, features: list[str], models: dict[str, tuple[st
     return {name: BoostedTrees(features, frame.bases[f.model], f.trees, f.errors) for name, f in zip(models, fits)}
 
 
+def fit_in_tasks(frame: Frame, features: list[str], models: dict[str, tuple[str, BoostParams]]) -> dict[str, BoostedTrees]:
+    """The same for rows that are one block: a pass's sums are those of its only task then, so the loop over trees runs inside
+    it, a task for each model, with the same result."""
+    params = [p for _, p in models.values()]
+    each = frame.blocks.withColumn("model", F.explode(F.array(*map(F.lit, range(len(params))))))
+    grown = each.repartitionByRange(len(params), "model").mapInArrow(
+        whole_fitter(params, frame.edges, frame.scales), "model int, state binary").collect()  # as large as the models
+    states = {row["model"]: pickle.loads(row["state"]) for row in grown}
+    return {name: BoostedTrees(features, frame.bases[i], [Tree(*t) for t in states[i][0]], states[i][1]) for i, name in enumerate(models)}
+
+
+def whole_fitter(params: list[BoostParams], edges: list[np.ndarray], scales: list[float]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                *columns, model = (c[i].as_py() for c in batch.columns)
+                fit = LocalFit(Block.of(columns, len(edges), len(params)), model, params[model], edges, scales[model])
+                fit.grow(params[model].trees, params[model].trees + 1)
+                yield pa.RecordBatch.from_arrays([pa.array([model], pa.int32()), pa.array([fit.state()], pa.binary())], names=["model", "state"])
+    return run
+
+
 # --- one task's rows
 
 @dataclass
@@ -534,16 +563,17 @@ class LocalFit:
             self.errors.append(self.error())
 
     def state(self) -> bytes:
-        return pickle.dumps((self.trees, self.errors))
+        return pickle.dumps(([tuple(vars(t).values()) for t in self.trees], self.errors))
 
 
 def trial(whole, params: list[list[BoostParams]], edges: list[np.ndarray], scales: list[float], until: int, patience: int):
-    """(layer, point, state, errors) of fits that go on from their state. ``whole`` is the broadcast block of all rows."""
+    """(layer, point, state, errors) of fits that go on from their state. ``whole`` has the broadcast columns of a block of all rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for layer, point, state in zip(*(c.to_pylist() for c in batch.columns)):
                 trees, errors = pickle.loads(state) if state else ([], [])
-                fit = LocalFit(whole.value, layer, params[layer][point], edges, scales[layer], trees, errors)
+                block = Block(*whole.value)
+                fit = LocalFit(block, layer, params[layer][point], edges, scales[layer], [Tree(*t) for t in trees], errors)
                 fit.grow(until, patience)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([layer], pa.int32()), pa.array([point], pa.int32()), pa.array([fit.state()], pa.binary()),

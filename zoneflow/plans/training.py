@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
+import numpy as np
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
@@ -289,9 +290,9 @@ def tune_trees(frame: DataFrame, features: list[str], layers: list[str], points:
     parts = prepared.blocks.collect()  # the sample, a few megabytes
     blocks = [boosting.Block.of(list(row), len(features), len(layers)) for row in parts]
     order = sorted(range(len(blocks)), key=lambda i: blocks[i].key.tobytes())
-    whole = spark.sparkContext.broadcast(boosting.Block(*(
-        boosting.np.concatenate([getattr(blocks[i], c) for i in order]) if blocks else getattr(boosting.Block.of([b""] * 5, len(features), len(layers)), c)
-        for c in boosting.BLOCK_COLUMNS)))
+    whole = spark.sparkContext.broadcast(tuple(
+        np.concatenate([getattr(blocks[i], c) for i in order]) if blocks else getattr(boosting.Block.of([b""] * 5, len(features), len(layers)), c)
+        for c in boosting.BLOCK_COLUMNS))
     tasks = [(i, k, None) for i in range(len(layers)) for k in range(len(points))]
     params = [[boost_params(layer, p, seed) for p in points] for layer in layers]
     state = spark.createDataFrame(tasks, "layer int, point int, state binary")
