@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +64,27 @@ def with_group_total(rows: DataFrame, key: str, value: str, name: str) -> DataFr
     salted = rows.withColumn("_own", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_salt"))
     return salted.join(spread, same, "left").drop("_key", "_salt", "_own")
+
+
+def release_memory() -> None:
+    """Gives a Python worker's free memory back. Workers are used again by later stages, and what one stage leaves in them
+    counts against the next one's."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
+def frees_memory(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that releases its worker's memory when its task ends."""
+    @wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return wrapped

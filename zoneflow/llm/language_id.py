@@ -18,6 +18,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.llm.common import release_memory
+
 UNKNOWN = "und"
 
 
@@ -85,9 +87,13 @@ def predictor(model: CompressionModel):
     @F.pandas_udf("lang string, score double, rejected boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoders = model.encoders()
-        for texts in batches:
-            rows = [model.judge(text, encoders) for text in texts]
-            yield pd.DataFrame(rows, columns=["lang", "score", "rejected"])
+        try:
+            for texts in batches:
+                rows = [model.judge(text, encoders) for text in texts]
+                yield pd.DataFrame(rows, columns=["lang", "score", "rejected"])
+        finally:
+            encoders.clear()
+            release_memory()
 
     return predict
 

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zoneflow.llm.common import frees_memory
 from zoneflow.llm.components import connected_components
 from zoneflow.llm.word_hash import RADIX, WordHasher, chunks, mixed
 from zoneflow.session import materialize
@@ -303,11 +304,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Repeated rows are texts of their own. Empty tables give no rows; columns other than id and text are ignored.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
-    members = materialize(texts.mapInArrow(class_rows(words), "id long, n long, cls long"))
+    members = materialize(texts.mapInArrow(frees_memory(class_rows(words)), "id long, n long, cls long"))
     total = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_SHINGLES))
     deals = max(1, math.ceil(members.count() / DEALT_CLASSES))
-    packed = texts.select("body").mapInArrow(bucket_rows(words, buckets), PACKED_SQL)
+    packed = texts.select("body").mapInArrow(frees_memory(bucket_rows(words, buckets)), PACKED_SQL)
     shared = packed.groupBy("deal").applyInArrow(shared_shingles(deals), PACKED_SQL)
     sets = materialize(shared.groupBy("deal").applyInArrow(ordered_sets(percent), SET_SQL))
 

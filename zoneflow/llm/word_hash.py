@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES, PIECE_BYTES = 2_000_000, 262_144
+SEPARATORS = [bytes([b]) for b in (0x20, *range(0x09, 0x0E))]
 FOLD = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -39,8 +40,22 @@ class WordHasher:
         self.up, self.down = powers(RADIX), powers(pow(RADIX, -1, 2 ** 64))
 
     def word_hashes(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text number, hash, last two bytes as a number) of every word in order."""
-        raw = [(t or "").encode("utf-8", "surrogatepass").translate(FOLD) for t in texts]
+        """(text number, hash, last two bytes as a number) of every word in order.
+
+        Works on pieces of some ``PIECE_BYTES``, cut between words, as the buffers take many times a piece's size."""
+        found, own, size, parts = [], [], 0, []
+        for number, text in enumerate(texts):
+            for part in pieces((text or "").encode("utf-8", "surrogatepass").translate(FOLD)):
+                if parts and size + len(part) > PIECE_BYTES:
+                    found.append(self._hashes(own, parts))
+                    own, size, parts = [], 0, []
+                own.append(number)
+                parts.append(part)
+                size += len(part) + 1
+        found.append(self._hashes(own, parts))
+        return tuple(np.concatenate([f[i] for f in found]) for i in range(3))
+
+    def _hashes(self, numbers: list[int], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         data = np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)
         if len(data) >= len(self.up):
             self.grow(max(len(data), 2 * len(self.up)))
@@ -53,7 +68,21 @@ class WordHasher:
         hashes = mixed((sums[ends] - sums[starts]) * self.down[starts] ^ (ends - starts).astype(np.uint64))
         lasts = data[ends - 1].astype(np.int64) * 256 + np.where(ends - starts > 1, data[ends - 2], 0)
         lengths = np.array([len(t) + 1 for t in raw], dtype=np.int64)
-        return np.searchsorted(np.cumsum(lengths), starts, "right"), hashes, lasts
+        number = np.array(numbers, dtype=np.int64)[np.searchsorted(np.cumsum(lengths), starts, "right")] if len(starts) else np.empty(0, np.int64)
+        return number, hashes, lasts
+
+
+def pieces(raw: bytes) -> Iterator[bytes]:
+    """A text cut between words; a longer word stays whole."""
+    begin = 0
+    while len(raw) - begin > PIECE_BYTES:
+        end = max(raw.rfind(s, begin, begin + PIECE_BYTES) for s in SEPARATORS)
+        if end <= begin:
+            following = [at for s in SEPARATORS if (at := raw.find(s, begin + PIECE_BYTES)) >= 0]
+            end = min(following, default=len(raw))
+        yield raw[begin:end]
+        begin = end
+    yield raw[begin:]
 
 
 def chunks(texts: list[str | None]) -> Iterator[slice]:
