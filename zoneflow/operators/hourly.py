@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneflow.config import SAME_HOUR_MEASURES, TRIP_LIMITS, MonthWindow, StoreConfig
-from zoneflow.functions.calendar import with_calendar, with_sql
+from zoneflow.functions.calendar import ntz, with_calendar, with_sql
 from zoneflow.functions.scalar import ratio_sql
 from zoneflow.operators.quantiles import group_quantiles, key_sql, keyed
+from zoneflow.session import materialize
 from zoneflow.sources.sinks import in_month
 
 CELL = ("PUZone", "PUBorough", "ts_hour")
@@ -167,3 +168,30 @@ def feature_store_month(trips: DataFrame, window: MonthWindow, config: StoreConf
     """Store rows of the target month: windows see lookback and thin cells, the filters come last."""
     featured = store_features(flow_cells(trips, config), config)
     return featured.filter((F.col("trip_count") >= config.min_trips) & in_month("ts_hour", window))
+
+
+#: Rows of a zone before a month that its windows reach: the longest lag or frame, and one for what is shifted afterwards.
+TAIL_ROWS = max(*(k for _, k in LAGS.values()), *(rows for *_, rows in ROLLING.values())) + 25
+
+
+def zone_tails(flow: DataFrame, rows: int = TAIL_ROWS) -> DataFrame:
+    """The newest ``rows`` flow cells of every zone. Spark limits each group before the shuffle."""
+    newest_first = Window.partitionBy("PUZone").orderBy(F.desc("ts_hour"), F.desc("PUBorough"))
+    return flow.withColumn("_place", F.row_number().over(newest_first)).filter(F.col("_place") <= rows).drop("_place")
+
+
+def feature_store_after(tails: DataFrame | None, trips: DataFrame, window: MonthWindow, config: StoreConfig = StoreConfig()
+                        ) -> tuple[DataFrame, DataFrame]:
+    """(store rows of the month, tails after it) from the month's trips and the tails before it.
+
+    However far apart a zone's rows lie, this equals a build over all history, which a lookback of whole months does not. The
+    month's flow is aggregated once and no earlier trip is read. Stepping by clock hours, rows further back than the longest
+    window do not count and are left out of the grid.
+    """
+    own = materialize(flow_cells(trips.filter(in_month("tpep_pickup_datetime", window)), config))
+    both = own if tails is None else tails.unionByName(own)
+    seen = both
+    if config.lag_mode == "time":
+        seen = both.filter(F.col("ts_hour") >= ntz(window.start) - F.make_dt_interval(F.lit(0), F.lit(TAIL_ROWS)))
+    featured = store_features(seen, config)
+    return featured.filter((F.col("trip_count") >= config.min_trips) & in_month("ts_hour", window)), zone_tails(both)

@@ -419,8 +419,32 @@ def _finals() -> dict[str, str]:
                  f"SELECT 'weather', 'not empty', count(*), CAST(count(*) = 0 AS BIGINT), count(*) > 0 FROM {all_weather}"]
     return {
         "scan_trips": f"SELECT {whole(*_TRIP_WHOLE)}, {plain(*_TRIP_TIMES)}, store_and_fwd_flag, {r6(*_TRIP_DOUBLE)} FROM trips2",
+        "scan_trips_drifted": f"""
+    SELECT {whole(*_TRIP_WHOLE)}, {plain(*_TRIP_TIMES)},
+        CASE WHEN strftime(tpep_pickup_datetime, '%Y-%m') <> '2023-12' THEN store_and_fwd_flag END AS store_and_fwd_flag, {r6(*_TRIP_DOUBLE)}
+    FROM trips2""",
+        "trip_schema_drift": """
+    SELECT * FROM (VALUES
+        ('yellow_tripdata_2023-12.parquet', 'VendorID', 'vendorid', 'bigint', 'bigint', 'renamed'),
+        ('yellow_tripdata_2023-12.parquet', 'tpep_pickup_datetime', 'tpep_pickup_datetime', 'string', 'timestamp_ntz', 'retyped'),
+        ('yellow_tripdata_2023-12.parquet', 'passenger_count', 'passenger_count', 'bigint', 'double', 'retyped'),
+        ('yellow_tripdata_2023-12.parquet', 'RatecodeID', 'RatecodeID', 'string', 'bigint', 'retyped'),
+        ('yellow_tripdata_2023-12.parquet', 'store_and_fwd_flag', NULL, NULL, 'string', 'missing'),
+        ('yellow_tripdata_2023-12.parquet', 'PULocationID', 'PULocationID', 'int', 'bigint', 'retyped'),
+        ('yellow_tripdata_2023-12.parquet', 'payment_type', 'payment_type', 'double', 'bigint', 'retyped'),
+        ('yellow_tripdata_2023-12.parquet', 'Airport_fee', 'airport_fee', 'double', 'double', 'renamed'),
+        ('yellow_tripdata_2023-12.parquet', NULL, 'cbd_fee', 'double', NULL, 'added'),
+        ('yellow_tripdata_2024-01.parquet', 'extra', 'extra', 'float', 'double', 'retyped'))
+        AS t("file", "column", found_name, found_type, wanted_type, change)""",
         "scan_weather": weather,
         "weather_payload_rows": weather,
+        "weather_payloads_refused": f"""
+    SELECT strftime(date, '%Y-%m-%d') AS day, CASE day(date) % 5 WHEN 1 THEN 'not readable as JSON' WHEN 2 THEN 'no time axis'
+        WHEN 3 THEN 'hourly.wind_speed_10m is not as long as its times' ELSE 'hourly.time cannot be read' END AS reason
+    FROM ({weather}) WHERE type = 'daily' AND day(date) % 5 <> 0""",
+        "weather_payloads_accepted": f"""
+    SELECT type, count(*) AS rows, round(sum(temperature_2m), 6) AS temperatures FROM ({weather}) WHERE day(date) % 5 = 0 GROUP BY type
+    UNION ALL SELECT 'refused', count(*), NULL FROM ({weather}) WHERE type = 'daily' AND day(date) % 5 <> 0""",
         "zone_lookup": """
     SELECT CAST(r_regionkey AS BIGINT) AS LocationID, CASE WHEN r_regionkey % 2 = 0 THEN 'East' ELSE 'West' END AS Borough,
         CASE WHEN r_regionkey <> 4 THEN r_name END AS Zone, p.pickups
@@ -477,6 +501,13 @@ def _finals() -> dict[str, str]:
         {r6(*[f'lag1h_{m}' for m in _SAME_HOUR if m not in ('dropoff_count', 'net_pickup_flow')])} FROM shifted""",
         "feature_store_month": f"""
     SELECT {cell}, CAST(service_date AS VARCHAR) AS service_date, {whole(*_STORE_WHOLE)}, {r6(*_STORE_DOUBLE)} FROM store""",
+        "store_by_carried_tails": f"""
+    SELECT {cell}, CAST(service_date AS VARCHAR) AS service_date, {whole(*_STORE_WHOLE)}, {r6(*_STORE_DOUBLE)} FROM month_rows""",
+        "release_history": """
+    SELECT CAST(number AS BIGINT) AS number, "table", month, 'build ' || month AS note
+    FROM (SELECT dense_rank() OVER (ORDER BY month) AS number, month FROM (SELECT DISTINCT strftime(tpep_pickup_datetime, '%Y-%m') AS month FROM trips2)),
+        (SELECT unnest(['hourly_zone_store', 'zone_tails', 'trip_features', 'enriched_trips']) AS "table")
+    WHERE month IN ('2023-12', '2024-01')""",
         "upsert_month": f"""
     SELECT {plain(*_TRIP_KEY)}, {r6('fare_amount')}, CAST(NULL AS BIGINT) AS corrected FROM trips2
     WHERE NOT (tpep_pickup_datetime >= TIMESTAMP '2023-12-01' AND tpep_pickup_datetime < TIMESTAMP '2024-01-01')
@@ -633,16 +664,19 @@ def _finals() -> dict[str, str]:
 
 
 # Queries whose trips are spread over two months: their weather covers those trips.
-_TWO_MONTHS = ("scan_weather", "weather_payload_rows")
+#: Over trips of which half lie a month earlier, the whole chain.
+_MOVED = ("store_by_carried_tails",)
+_TWO_MONTHS = ("scan_weather", "weather_payload_rows", "weather_payloads_refused", "weather_payloads_accepted")
 
 
 def oracle_sql() -> dict[str, str]:
     steps = _steps()
     two_months = {**steps, **_weather("trips2")}
+    moved = {**steps, "trips": steps["trips2"], **_weather("trips2")}
 
     def chain(named: dict[str, str]) -> str:
         return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in named.items())
 
     return {
-        name: f"{chain(two_months if name in _TWO_MONTHS else steps)}\n{final}" for name, final in _finals().items()
+        name: f"{chain(two_months if name in _TWO_MONTHS else moved if name in _MOVED else steps)}\n{final}" for name, final in _finals().items()
     }

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zoneflow.config import MonthWindow, StoreConfig
 from zoneflow.operators.enrich import enrich_trips
-from zoneflow.operators.hourly import feature_store_month
+from zoneflow.operators.hourly import feature_store_after, feature_store_month
 from zoneflow.operators.quality import (
     duplicate_check, quality_gate, trip_rules, trip_schema_rules, value_set_rules, weather_rules, weather_schema_rules,
 )
 from zoneflow.operators.trips import trip_features, trip_quality_filter
 from zoneflow.session import work_dir
+from zoneflow.sources.releases import Manifest, Releases
 from zoneflow.sources.sinks import in_window, read_months, write_month
 
 
@@ -87,3 +88,33 @@ def build_month(spark: SparkSession, trips: DataFrame, zones: DataFrame, weather
     write_month(feature_store_month(staged, window, config), tables.store, "ts_hour", window,
                 order=("PUZone", "ts_hour"))
     return read_months(spark, tables.store)
+
+
+STORE, TAILS, TRIPS, ENRICHED = "hourly_zone_store", "zone_tails", "trip_features", "enriched_trips"
+
+
+def advance_month(spark: SparkSession, trips: DataFrame, zones: DataFrame, weather: DataFrame, month: str, releases: Releases,
+                  config: StoreConfig = StoreConfig(), check: bool | Collection[str] = True) -> Manifest:
+    """Build one month from its own trips and the zones' tails before it, and publish all its tables with one release.
+
+    No earlier trip is read, and windows reach back as far as a zone's rows lie apart. The tails come from the newest month
+    before this one. A month that is built again changes what later months rest on: build those again too
+    (:func:`months_after`). Readers see the release before until all tables are written; if the job fails, they keep it.
+    """
+    window = MonthWindow(month, 0)
+    if check:
+        check_month(trips, weather, window, CHECKS if check is True else check)
+    before = [m for m in releases.months(TAILS) if m < month]
+    tails = releases.read(TAILS, MonthWindow(before[-1], 0)).drop("trip_month") if before else None
+    with releases.transaction(f"build {month}") as publish:
+        joined = publish.write_month(enrich_trips(trips, zones, weather, window), ENRICHED, "tpep_pickup_datetime", window)
+        kept = publish.write_month(trip_quality_filter(trip_features(joined, config), config), TRIPS, "tpep_pickup_datetime", window)
+        store, after = feature_store_after(tails, kept, window, config)
+        publish.write_month(store, STORE, "ts_hour", window, order=("PUZone", "ts_hour"))
+        publish.write_month(after, TAILS, None, window)
+    return releases.manifest()
+
+
+def months_after(releases: Releases, month: str) -> list[str]:
+    """Published months that rest on the tails of ``month``, in the order to build them again."""
+    return [m for m in releases.months(STORE) if m > month]

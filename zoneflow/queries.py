@@ -21,10 +21,11 @@ from zoneflow.operators import hourly, prep, quality, ranking, report, store
 from zoneflow.operators.enrich import enrich_trips
 from zoneflow.operators.trips import trip_features, trip_quality_filter
 from zoneflow.plans import forecasting, training
-from zoneflow.plans.month import feature_store
+from zoneflow.plans.month import STORE, advance_month, feature_store
 from zoneflow.schemas import DAILY_MEASURES, DAILY_TEXTS, HOURLY_MEASURES
 from zoneflow.session import materialize, work_dir
-from zoneflow.sources import files, months, sinks
+from zoneflow.sources import files, months, payloads, reconcile, sinks
+from zoneflow.sources.releases import Releases
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,6 +123,29 @@ def scan_trips(spark, sf):
     return files.scan_trips(spark, base)
 
 
+def _drifted_trips(spark, sf):
+    """Two months as two deliveries years apart: other types, spellings, a column more and a column less."""
+    base = work_dir(spark)
+    source = views.trips(spark, sf, two_months=True)
+    early, late = (source.filter(sinks.in_month("tpep_pickup_datetime", MonthWindow(m))) for m in TARGET.months)
+    early = early.withColumns({
+        "passenger_count": F.col("passenger_count").cast("bigint"), "payment_type": F.col("payment_type").cast("double"),
+        "PULocationID": F.col("PULocationID").cast("int"), "RatecodeID": F.col("RatecodeID").cast("string"),
+        "tpep_pickup_datetime": F.date_format("tpep_pickup_datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "cbd_fee": F.lit(0.75)})
+    early.withColumnsRenamed({"Airport_fee": "airport_fee", "VendorID": "vendorid"}).drop("store_and_fwd_flag").write.parquet(
+        files.trip_path(base, TARGET.months[0]))
+    late.withColumn("extra", F.col("extra").cast("float")).write.parquet(files.trip_path(base, TARGET.months[1]))
+    return base
+
+
+def scan_trips_drifted(spark, sf):
+    return reconcile.scan_trips_reconciled(spark, _drifted_trips(spark, sf))
+
+
+def trip_schema_drift(spark, sf):
+    return reconcile.schema_drift(spark, _drifted_trips(spark, sf))
+
+
 def scan_weather(spark, sf):
     base = work_dir(spark)
     source = views.weather(spark, sf, two_months=True)
@@ -145,7 +169,34 @@ def zone_lookup(spark, sf):
 
 def weather_payload_rows(spark, sf):
     """Weather as one JSON payload per month (at most 744 hours), and back into rows."""
-    source = views.weather(spark, sf, two_months=True)
+    return files.weather_rows(_payloads(spark, sf, "trip_month"), keep=("trip_month",))
+
+
+def _daily_payloads(spark, sf):
+    """A payload a day; days by turns whole, cut off, without times, with an array too short, with a time that is none."""
+    turn = F.expr("day(CAST(day AS DATE)) % 5")
+    payload = F.when(turn == 1, F.expr("left(payload, length(payload) - 9)")).when(
+        turn == 2, F.regexp_replace("payload", '"time"', '"hours"')).when(
+        turn == 3, F.regexp_replace("payload", r'("wind_speed_10m":\[)[^\]]*\]', "$1]")).when(
+        turn == 4, F.regexp_replace("payload", r'T(\d\d):', "T$1h")).otherwise(F.col("payload"))
+    return _payloads(spark, sf, "day").withColumn("payload", payload)
+
+
+def weather_payloads_refused(spark, sf):
+    return payloads.refused_payloads(_daily_payloads(spark, sf)).select("day", "reason")
+
+
+def weather_payloads_accepted(spark, sf):
+    """What an ingest of the same payloads writes, after a run of other payloads under the same id."""
+    path, days = work_dir(spark), _daily_payloads(spark, sf)
+    payloads.ingest_payloads(days.filter("day(CAST(day AS DATE)) > 15"), f"{path}/rows", f"{path}/refused", "run")
+    refused = payloads.ingest_payloads(days, f"{path}/rows", f"{path}/refused", "run")
+    written = spark.read.parquet(f"{path}/rows").groupBy("type").agg(F.count("*").alias("rows"), F.sum("temperature_2m").alias("temperatures"))
+    return written.unionByName(refused.groupBy(F.lit("refused").alias("type")).agg(F.count("*").alias("rows")), allowMissingColumns=True)
+
+
+def _payloads(spark, sf, unit):
+    source = views.weather(spark, sf, two_months=True).withColumn("day", F.date_format("date", "yyyy-MM-dd"))
 
     def arrays(kind, names):
         entry = F.struct(F.expr("replace(left(string(date), 16), ' ', 'T') AS time"), *names)
@@ -155,10 +206,8 @@ def weather_payload_rows(spark, sf):
         return F.struct(*[F.col(f"{kind}.{n}").alias(n) for n in ("time", *names)]).alias(kind)
 
     daily = (*DAILY_MEASURES, *DAILY_TEXTS)
-    payloads = source.groupBy("trip_month").agg(arrays("hourly", HOURLY_MEASURES), arrays("daily", daily))
-    payloads = payloads.select(
-        "trip_month", F.to_json(F.struct(block("hourly", HOURLY_MEASURES), block("daily", daily))).alias("payload"))
-    return files.weather_rows(payloads, keep=("trip_month",))
+    units = source.groupBy(unit).agg(arrays("hourly", HOURLY_MEASURES), arrays("daily", daily))
+    return units.select(unit, F.to_json(F.struct(block("hourly", HOURLY_MEASURES), block("daily", daily))).alias("payload"))
 
 
 def _order_range(spark, sf):
@@ -246,6 +295,25 @@ def upsert_month_stored(spark, sf):
     return sinks.read_months(spark, path)
 
 
+def _advanced(spark, sf):
+    """December and January built after each other, each from its own trips; then a writer that gives up before its release."""
+    releases = Releases(spark, work_dir(spark))
+    trips, weather = views.trips(spark, sf, two_months=True), views.weather(spark, sf, two_months=True)
+    for month in TARGET.months:
+        advance_month(spark, trips, views.zones(spark, sf), weather, month, releases, HISTORY, check=("schema", "duplicates"))
+    abandoned = releases.transaction("never published")
+    abandoned.write_month(releases.read(STORE).withColumn("trip_count", -F.col("trip_count")), STORE, "ts_hour", TARGET)
+    return releases
+
+
+def store_by_carried_tails(spark, sf):
+    return _advanced(spark, sf).read(STORE, MonthWindow(TARGET.month, 0)).drop("trip_month")
+
+
+def release_history(spark, sf):
+    return _advanced(spark, sf).history()
+
+
 # --- quality -------------------------------------------------------------------------------------
 
 
@@ -535,6 +603,10 @@ QUERIES: dict[str, Query] = {
     "scan_weather": scan_weather,
     "zone_lookup": zone_lookup,
     "weather_payload_rows": weather_payload_rows,
+    "scan_trips_drifted": scan_trips_drifted,
+    "trip_schema_drift": trip_schema_drift,
+    "weather_payloads_refused": weather_payloads_refused,
+    "weather_payloads_accepted": weather_payloads_accepted,
     "month_list": month_list,
     "month_bounds": month_bounds,
     "missing_months": missing_months,
@@ -560,6 +632,8 @@ QUERIES: dict[str, Query] = {
     "feature_store_month": _store,
     "upsert_month": upsert_month,
     "upsert_month_stored": upsert_month_stored,
+    "store_by_carried_tails": store_by_carried_tails,
+    "release_history": release_history,
     "store_summary": lambda s, sf: store.store_summary(_store(s, sf)),
     "store_preview": lambda s, sf: store.store_preview(_store(s, sf)),
     "dq_schema": dq_schema,

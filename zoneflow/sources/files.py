@@ -61,7 +61,9 @@ def weather_rows(payloads: DataFrame, payload: str = "payload", keep: tuple[str,
 
     def block(kind: str, doubles: tuple[str, ...], texts: tuple[str, ...] = ()) -> DataFrame:
         names = ("time", *doubles, *texts)
-        zipped = F.arrays_zip(*[F.col(f"p.{kind}.{n}").alias(n) for n in names])
+        # A measure that a block lacks is NULL at all its times; without times it has no rows.
+        values = [F.coalesce(F.col(f"p.{kind}.{n}"), F.array()).alias(n) for n in names]
+        zipped = F.when(F.col(f"p.{kind}.time").isNotNull(), F.arrays_zip(*values))
         rows = parsed.select(*keep, F.inline(zipped).alias(*names))
         return rows.select(
             F.col("time").cast("timestamp_ntz").alias("date"), F.lit(kind).alias("type"), *doubles, *texts, *keep

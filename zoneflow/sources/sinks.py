@@ -67,3 +67,8 @@ def write_forecast(output: DataFrame, metadata: DataFrame, path: str, name: str)
     reads all parts of the newest run."""
     output.write.mode("errorifexists").option("header", True).csv(f"{path}/{name}.csv")
     metadata.write.mode("errorifexists").json(f"{path}/{name}.meta.json")
+
+
+def write_refused(rows: DataFrame, path: str, run_id: str) -> None:
+    """Add a run's refused rows to a table partitioned by run; writing a run again replaces it, also by nothing."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/run_id={run_id}")
