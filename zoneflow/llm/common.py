@@ -88,3 +88,14 @@ def frees_memory(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], It
         finally:
             release_memory()
     return wrapped
+
+
+#: Bytes of a batch of rows on its way to a Python worker.
+BATCH_BYTES = "4m"
+
+
+def in_small_batches(rows: DataFrame) -> DataFrame:
+    """``rows``, whose session from now on hands rows to Python in batches of some megabytes: batches of many long texts would
+    take several times their size in the JVM and in the worker."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return rows

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import release_memory
+from zoneflow.llm.common import in_small_batches, release_memory
 
 UNKNOWN = "und"
 
@@ -104,10 +104,10 @@ def identify(docs: DataFrame, model: CompressionModel, text_col: str = "text") -
     NULL texts and texts without a letter are ``und``, score 0, rejected. Whole texts count, however long. Columns
     other than the text are no input. A column of that name in ``docs`` is replaced.
     """
-    return docs.withColumn("language", predictor(model)(F.col(text_col)))
+    return in_small_batches(docs).withColumn("language", predictor(model)(F.col(text_col)))
 
 
 def keep_identified(docs: DataFrame, model: CompressionModel, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language the model tells, with its columns."""
-    judged = docs.select(F.struct(*docs.columns).alias("row"), predictor(model)(F.col(text_col)).alias("language"))
+    judged = in_small_batches(docs).select(F.struct(*docs.columns).alias("row"), predictor(model)(F.col(text_col)).alias("language"))
     return judged.filter(~F.col("language.rejected")).select("row.*")

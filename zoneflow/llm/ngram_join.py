@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import frees_memory
+from zoneflow.llm.common import frees_memory, in_small_batches
 from zoneflow.llm.components import connected_components
 from zoneflow.llm.word_hash import RADIX, WordHasher, chunks, mixed
 from zoneflow.session import materialize
@@ -303,7 +303,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     smallest id reachable. A text of fewer words is one shingle; NULL texts and texts without words link with nothing.
     Repeated rows are texts of their own. Empty tables give no rows; columns other than id and text are ignored.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
+    texts = in_small_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body")))
     members = materialize(texts.mapInArrow(frees_memory(class_rows(words)), "id long, n long, cls long"))
     total = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_SHINGLES))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from zoneflow.llm.common import frees_memory
+from zoneflow.llm.common import frees_memory, in_small_batches
 from zoneflow.session import materialize
 
 LEAST_WORDS, HOT = 35, 1000
@@ -139,7 +139,7 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     Pieces are compared in lower case with single spaces; blank lines always stay. NULL counts as empty; rows that repeat
     lose what the first of them has; a NULL id comes last; empty tables give no rows; other columns are ignored."""
-    chosen = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    chosen = in_small_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = chosen.schema["id"].dataType
     packed = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", kind), T.StructField("text", T.BinaryType())])
     texts = materialize(chosen.mapInArrow(frees_memory(compressed(packed.names)), packed))

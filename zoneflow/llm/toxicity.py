@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zoneflow.llm.common import in_small_batches
 from zoneflow.session import materialize
 
 GRAM_SIZES, TABLE_BITS, SEED, CHUNK, LONGEST_WORD = (3, 4, 5), 18, 23, 256_000, 256
@@ -541,6 +542,6 @@ def score(docs: DataFrame, network: Network, text_col: str = "text", keep: tuple
     NULL texts are empty; an empty text is one window without words and has that window's score. Rows that repeat are scored
     each, empty tables give no rows, and columns not kept are ignored.
     """
-    rows = docs.select(F.col(text_col).alias("_body"), *keep)
+    rows = in_small_batches(docs.select(F.col(text_col).alias("_body"), *keep))
     schema = T.StructType([*rows.schema.fields[1:], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return rows.mapInArrow(scorer(network, schema.names), schema)
