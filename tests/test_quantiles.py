@@ -1,4 +1,5 @@
 import random
+import statistics
 
 import numpy as np
 import pytest
@@ -81,3 +82,27 @@ def test_one_far_value_takes_no_bins_from_the_others(spark):
     wide = long.selectExpr("_value AS c", "_value * 2 AS d")
     assert column_medians(wide, ["c", "d"]).first().asDict() == wide.selectExpr(
         "percentile(c, 0.5) AS c", "percentile(d, 0.5) AS d").first().asDict()
+
+
+def test_medians_of_merged_counts_equal_those_of_all_rows(spark):
+    from functools import reduce
+
+    from pyspark.sql import DataFrame
+
+    from zoneflow.operators.quantiles import count_medians, merged_counts, value_counts
+
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([1.0, 2.0, 2.0, rng.gauss(0, 1e6)]), rng.choice([None, float("nan"), 3.0, 1e300]), i % 4)
+            for i in range(500)]
+    df = spark.createDataFrame(rows, "z string, x double, y double, part int")
+    parts = reduce(DataFrame.unionAll, [value_counts(df.filter(f"part = {k}"), ["x", "y"], ["z"]) for k in range(4)])
+    for keys in (["z"], []):
+        found = count_medians(merged_counts(parts, keys), ["x", "y"], keys).collect()
+        whole = column_medians(df, ["x", "y"], keys).collect()
+        assert sorted(map(repr, found)) == sorted(map(repr, whole))
+        by = {tuple(r[k] for k in keys): r for r in found}
+        for key, r in by.items():
+            own = sorted(x for z, x, *_ in rows if not keys or z == key[0])
+            assert r.x == pytest.approx(statistics.median(own))
+    assert count_medians(parts.filter("false"), ["x"], ["z"]).count() == 0
+    assert value_counts(df, ["x"]).agg({"_times": "sum"}).first()[0] == 500

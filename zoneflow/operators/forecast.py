@@ -13,7 +13,8 @@ from zoneflow.config import (
 )
 from zoneflow.functions.calendar import CALENDAR_COLUMNS, ntz, plus_hours, with_calendar, with_sql
 from zoneflow.operators.hourly import rolling_columns
-from zoneflow.operators.quantiles import column_medians
+from zoneflow.operators.quantiles import column_limits, count_medians, merged_counts, tail_limits, value_counts
+from zoneflow.session import materialize
 
 GRID_ZONE = ("PUZone", "PUBorough", "PUZone_enc", "PUBorough_enc")
 
@@ -187,17 +188,30 @@ def zone_hour_stats(grid: DataFrame, history: DataFrame) -> DataFrame:
     return joined.join(F.broadcast(hour_weather_means(history)), "hour", "left")
 
 
-def fill_missing(future: DataFrame, history: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+def feature_counts(history: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """Value counts of a part of the history, for :func:`fill_missing`: what a month adds to the medians of all months."""
+    return value_counts(history, [c for c in features if c in history.columns], ["PUZone"])
+
+
+def fill_missing(future: DataFrame, history: DataFrame, features: Sequence[str] = FEATURES, counts: DataFrame | None = None) -> DataFrame:
     """Missing features become the zone's median, else the median of all zones, else 0. A feature that
-    the frame lacks altogether starts out missing."""
+    the frame lacks altogether starts out missing.
+
+    ``counts``: :func:`feature_counts` of the parts of the history, one after the other; without them the history is counted
+    here, once for both kinds of medians."""
     always_there = set(GRID_ZONE) | set(CALENDAR_COLUMNS)
     fillable = [c for c in features if not (c in always_there and c in future.columns)]
     known = [c for c in fillable if c in history.columns]
     frame = future
     if known:
-        by_zone = column_medians(history, known, ["PUZone"]).withColumnsRenamed({c: f"_zone_{c}" for c in known})
+        if counts is None:
+            counts, limits = materialize(feature_counts(history, known)), materialize(column_limits(history, known))
+        else:
+            counts = materialize(merged_counts(counts.filter(F.col("_column").isin(known)), ["PUZone"]))
+            limits = materialize(tail_limits(counts))
+        by_zone = count_medians(counts, known, ["PUZone"], limits).withColumnsRenamed({c: f"_zone_{c}" for c in known})
         # The medians of all zones are one row, read once as a subquery.
-        overall = column_medians(history, known).select(F.struct(*known)).scalar()
+        overall = count_medians(merged_counts(counts), known, limits=limits).select(F.struct(*known)).scalar()
         frame = frame.join(by_zone, "PUZone", "left").withColumn("_all", overall)
 
     def filled(c: str) -> str:

@@ -38,10 +38,10 @@ def bin_sql(value: str, low: float | str, high: float | str, bins: int = BINS) -
 
 
 def keyed(df: DataFrame, keys: Sequence[str], value: str, low: float | str, high: float | str, bins: int = BINS,
-          scale: str | None = None) -> DataFrame:
-    """The rows with a value, as group, bin and value. ``scale`` is what is cut into bins instead of the value;
-    it must grow with the value."""
-    rows = df.selectExpr(key_sql(keys), f"{value} AS _v", f"{bin_sql(scale or value, low, high, bins)} AS _bin")
+          scale: str | None = None, times: str = "1") -> DataFrame:
+    """The rows with a value, as group, bin, value and how often it counts (``times``). ``scale`` is what is cut into bins
+    instead of the value; it must grow with the value."""
+    rows = df.selectExpr(key_sql(keys), f"{value} AS _v", f"{bin_sql(scale or value, low, high, bins)} AS _bin", f"bigint({times}) AS _times")
     return rows.filter("_v IS NOT NULL AND NOT isnan(_v)")
 
 
@@ -68,9 +68,9 @@ def locate(bin_counts: DataFrame, probs: Mapping[str, float]) -> DataFrame:
 
 
 def group_quantiles(rows: DataFrame, probs: Mapping[str, float]) -> DataFrame:
-    """``_k`` and one column per quantile, from rows of ``_k``, ``_bin`` and ``_v`` (not NULL). The value
+    """``_k`` and one column per quantile, from rows of ``_k``, ``_bin``, ``_v`` (not NULL) and ``_times``. The value
     counts are shuffled once and serve both the bin counts and the ordering."""
-    counts = rows.groupBy("_k", "_bin", "_v").agg(F.expr("count(*) AS _c"))
+    counts = rows.groupBy("_k", "_bin", "_v").agg(F.expr("sum(_times) AS _c"))
     located = locate(counts.groupBy("_k", "_bin").agg(F.expr("sum(_c) AS _c")), probs)
     in_bin = Window.partitionBy("_k", "_bin").orderBy("_v")
     ordered = counts.join(located, ["_k", "_bin"]).withColumn("_upto", F.col("_before") + F.sum("_c").over(in_bin))
@@ -96,28 +96,57 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
 TAIL_SCALE = "signum(_value - _middle) * log1p(abs(_value - _middle) / _width)"
 
 
-def tail_limits(long: DataFrame) -> DataFrame:
+def column_limits(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: where its values are dense (approximate quantiles, which steer the load and not the result), and the
-    limits of :data:`TAIL_SCALE`. One far value so takes no bins away from the usual ones."""
-    spread = long.groupBy("_column").agg(F.expr(
-        "approx_percentile(_value, array(0.05D, 0.25D, 0.5D, 0.75D, 0.95D)) AS q"), F.expr("min(_value) AS a"), F.expr("max(_value) AS b"))
+    limits of :data:`TAIL_SCALE`. One far value so takes no bins away from the usual ones. One pass over the columns side by side."""
+    facts = []
+    for i, c in enumerate(columns):
+        value = f"nullif(double({c}), double('NaN'))"
+        facts += [f"approx_percentile({value}, array(0.05D, 0.25D, 0.5D, 0.75D, 0.95D)) AS q{i}", f"min({value}) AS a{i}", f"max({value}) AS b{i}"]
+    each = ", ".join(f"'{c}', q{i}, a{i}, b{i}" for i, c in enumerate(columns))
+    spread = df.agg(*map(F.expr, facts)).selectExpr(f"stack({len(columns)}, {each}) AS (_column, q, a, b)")
     width = "coalesce(nullif(q[3] - q[1], 0D), nullif(q[4] - q[0], 0D), nullif(b - a, 0D), 1D)"
-    at = spread.selectExpr("_column", "a", "b", "q[2] AS _middle", f"{width} AS _width")
+    at = spread.filter("a IS NOT NULL").selectExpr("_column", "a", "b", "q[2] AS _middle", f"{width} AS _width")
     return at.selectExpr("_column", "_middle", "_width", f"{TAIL_SCALE.replace('_value', 'a')} AS _low",
                          f"{TAIL_SCALE.replace('_value', 'b')} AS _high")
 
 
-def column_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Exact median of many columns, wide: one row per group (one row in all without keys).
+def value_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """How often each value of each column occurs in a group: keys, ``_column``, ``_value``, ``_times``. NULL and NaN do not count.
 
-    Columns become rows first, so that every (group, column, bin) is its own unit of work and no task
-    holds the values of a whole column.
-    """
+    Counts of parts of a table, of its months for instance, add up to those of the whole (:func:`merged_counts`), so medians over
+    a long history need its counts only, not its rows."""
     pairs = ", ".join(f"'{c}', double({c})" for c in columns)
     long = df.selectExpr(*keys, f"stack({len(columns)}, {pairs}) AS (_column, _value)")
-    long = long.filter("_value IS NOT NULL AND NOT isnan(_value)")
+    return long.filter("_value IS NOT NULL AND NOT isnan(_value)").groupBy(*keys, "_column", "_value").agg(F.count("*").alias("_times"))
+
+
+def merged_counts(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Counts of parts added up, by fewer keys if fewer are given."""
+    return counts.groupBy(*keys, "_column", "_value").agg(F.sum("_times").alias("_times"))
+
+
+def tail_limits(counts: DataFrame) -> DataFrame:
+    """:func:`column_limits` of values or their counts in rows."""
+    spread = counts.groupBy("_column").agg(F.expr("approx_percentile(_value, array(0.05D, 0.25D, 0.5D, 0.75D, 0.95D)) AS q"),
+                                           F.expr("min(_value) AS a"), F.expr("max(_value) AS b"))
+    width = "coalesce(nullif(q[3] - q[1], 0D), nullif(q[4] - q[0], 0D), nullif(b - a, 0D), 1D)"
+    at = spread.selectExpr("_column", "a", "b", "q[2] AS _middle", f"{width} AS _width")
+    return at.selectExpr("_column", "_middle", "_width", f"{TAIL_SCALE.replace('_value', 'a')} AS _low",
+                         f"{TAIL_SCALE.replace('_value', 'b')} AS _high")
+
+
+def count_medians(counts: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), limits: DataFrame | None = None) -> DataFrame:
+    """Exact medians of many columns from their value counts, wide: one row per group (one row in all without keys).
+
+    Every (group, column, bin) is its own unit of work, and no task holds the values of a whole column."""
     # One row per column name: bounded by the argument list.
-    long = long.join(F.broadcast(tail_limits(long)), "_column")
-    medians = exact_quantiles(long, [*keys, "_column"], "_value", {"_median": 0.5}, "_low", "_high", scale=TAIL_SCALE)
-    pick = [F.expr(f"max(CASE WHEN _column = '{c}' THEN _median END) AS {c}") for c in columns]
-    return medians.groupBy(*keys).agg(*pick)
+    placed = counts.join(F.broadcast(tail_limits(counts) if limits is None else limits), "_column")
+    rows = keyed(placed, [*keys, "_column"], "_value", "_low", "_high", scale=TAIL_SCALE, times="_times")
+    medians = group_quantiles(rows, {"_median": 0.5}).selectExpr(*[f"_k.{k}" for k in [*keys, "_column"]], "_median")
+    return medians.groupBy(*keys).agg(*[F.expr(f"max(CASE WHEN _column = '{c}' THEN _median END) AS {c}") for c in columns])
+
+
+def column_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact median of many columns, wide: one row per group (one row in all without keys)."""
+    return count_medians(value_counts(df, columns, keys), columns, keys, column_limits(df, columns))

@@ -617,6 +617,7 @@ def _finals() -> dict[str, str]:
         ON z.PUZone = g.PUZone AND z.hour = g.hour
     LEFT JOIN (SELECT hour, {', '.join(f'avg({c}) AS {c}' for c in _CLIMATE_HOUR)} FROM history GROUP BY 1) h ON h.hour = g.hour""",
         "fill_missing": _filled_select(),
+        "fill_missing_from_parts": _filled_select(),
         "forecast_window_check": """
     SELECT first_hour AS expected_first, min(ts_hour) AS actual_first, first_hour + INTERVAL 23 HOUR AS expected_last,
         max(ts_hour) AS actual_last,

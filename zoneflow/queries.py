@@ -474,6 +474,14 @@ def fill_missing(spark, sf):
     return fc.fill_missing(_lagged(history), history, FILLED).select(*CELL, *FILLED)
 
 
+def fill_missing_from_parts(spark, sf):
+    """The same from value counts of three parts of the history, each counted by itself as a month's would be."""
+    history = materialize(_history(spark, sf))
+    parts = [fc.feature_counts(history.filter(F.dayofmonth("ts_hour") % 3 == k), FILLED) for k in range(3)]
+    counts = materialize(functools.reduce(DataFrame.unionAll, parts))
+    return fc.fill_missing(_lagged(history), history, FILLED, counts).select(*CELL, *FILLED)
+
+
 def forecast_frame_online(spark, sf):
     """What an online answer knows of the coming hours: its lags and the climatology."""
     history = _coded(spark, sf)
@@ -660,6 +668,7 @@ QUERIES: dict[str, Query] = {
     "forecast_derived": forecast_derived,
     "zone_hour_stats": zone_hour_stats,
     "fill_missing": fill_missing,
+    "fill_missing_from_parts": fill_missing_from_parts,
     "forecast_frame_online": forecast_frame_online,
     "forecast_window_check": forecast_window_check,
     "opportunity_score": lambda s, sf: _scored(s, sf).select(*CELL, *SCORE_COLUMNS),
