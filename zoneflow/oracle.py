@@ -501,6 +501,11 @@ def _finals() -> dict[str, str]:
         {r6(*[f'lag1h_{m}' for m in _SAME_HOUR if m not in ('dropoff_count', 'net_pickup_flow')])} FROM shifted""",
         "feature_store_month": f"""
     SELECT {cell}, CAST(service_date AS VARCHAR) AS service_date, {whole(*_STORE_WHOLE)}, {r6(*_STORE_DOUBLE)} FROM store""",
+        "ingest_new_months": f"""
+    SELECT {plain(*_TRIP_KEY)}, {d6("fare_amount + CASE WHEN tpep_pickup_datetime >= TIMESTAMP '2024-01-01' THEN 1 ELSE 0 END")} AS fare_amount,
+        strftime(tpep_pickup_datetime, '%Y-%m') AS trip_month FROM trips2
+    WHERE tpep_pickup_datetime >= TIMESTAMP '2023-12-01' AND tpep_pickup_datetime < TIMESTAMP '2024-02-01'""",
+        "bucketed_store_windows": f"SELECT {cell}, {whole('trip_count')}, {r6('target_rph', *_FUTURE_ROLLING)} FROM rolled",
         "store_by_carried_tails": f"""
     SELECT {cell}, CAST(service_date AS VARCHAR) AS service_date, {whole(*_STORE_WHOLE)}, {r6(*_STORE_DOUBLE)} FROM month_rows""",
         "release_history": """

@@ -72,3 +72,15 @@ def write_forecast(output: DataFrame, metadata: DataFrame, path: str, name: str)
 def write_refused(rows: DataFrame, path: str, run_id: str) -> None:
     """Add a run's refused rows to a table partitioned by run; writing a run again replaces it, also by nothing."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/run_id={run_id}")
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, keys: tuple[str, ...] = ("PUZone",),
+                   order: tuple[str, ...] = ("PUZone", "ts_hour")) -> DataFrame:
+    """Write a catalog table bucketed by ``keys`` and sorted by ``order`` in each bucket, and read it.
+
+    Windows, groups and joins on these keys then plan no shuffle, however often the table is read: the one shuffle is here, and
+    leaves one file a bucket. Meant for the hourly store, where a zone has a row per hour; trips are partitioned by month.
+    """
+    rows = df.repartition(buckets, *keys).sortWithinPartitions(*order)
+    rows.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys).sortBy(*order).saveAsTable(name)
+    return df.sparkSession.table(name)
