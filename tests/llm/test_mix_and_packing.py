@@ -6,10 +6,12 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from zoneflow.llm import best_fit_packing as bp
 from zoneflow.llm import source_mix as sm
 from zoneflow.llm.common import vocabulary
+from zoneflow.session import materialize
 
 SPACED = re.compile("[^\x20\x09-\x0D]+")
 
@@ -150,3 +152,18 @@ def test_packed_pieces(spark, tokenizer, group_pieces):
     if group_pieces > len(rows):
         assert len(places) == -(-sum(r.length for r in rows) // 4096)
     assert bp.pack_documents(docs.limit(0), vocabulary("word_bpe_49k.json")).count() == 0
+
+
+def test_lengths_that_must_pair_meet_across_groups(spark):
+    # 32,768 pieces of either length: only a bin with one of both has no waste.
+    frame = spark.range(65_536).select(F.col("id"), F.when(F.col("id") % 2 == 0, 2500).otherwise(1596).cast("long").alias("length"))
+    packed = bp.pack_pieces(materialize(frame))
+    assert packed.select("sequence_id").distinct().count() == 32_768
+    assert packed.count() == 65_536 and packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 4096").count() == 0
+
+
+def test_rounds_that_save_nothing_end(spark):
+    frame = materialize(spark.range(3_000).select("id", F.lit(2500).cast("long").alias("length")))
+    packed = bp.pack_pieces(frame, group_pieces=100)
+    assert packed.select("sequence_id").distinct().count() == 3_000 and packed.count() == 3_000
+    assert packed.filter("offset <> 0").count() == 0 and packed.columns == ["id", "length", "sequence_id", "offset"]

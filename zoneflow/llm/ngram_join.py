@@ -333,3 +333,19 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = least.join(parts, "part", "left").select("cls", F.coalesce("part_least", "least").alias("component"))
     return members.join(named, "cls", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+
+
+def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without near copies: of texts linked by similarity the row with the smallest id stays, the first of several; NULL
+    is the largest id. Rows are numbered, as an id may be NULL or stand on several texts; ``docs`` has to be a written table,
+    which gives the same numbers each time it is read. Columns may have any names."""
+    numbered = docs.select(F.monotonically_increasing_id().alias("near"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                           F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    found = similar_components(numbered.select("near", "text"), id_col="near", text_col="text")
+    linked = materialize(found.filter("component_id <> near").select("near", "component_id"))
+    members = linked.unionAll(linked.select(F.col("component_id").alias("near"), "component_id").distinct())
+    rank = F.struct(F.col("id").isNull(), "id", "near")
+    kept = members.join(numbered.select("near", "id"), "near").groupBy("component_id").agg(F.min(rank).alias("kept")).select(
+        F.col("kept.near").alias("near"))
+    going = members.select("near").join(kept, "near", "left_anti")
+    return numbered.join(going, "near", "left_anti").select("doc.*")
