@@ -19,13 +19,12 @@ through to the last stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from zoneflow.llm import language_id
 from zoneflow.llm.best_fit_packing import pack_documents
 from zoneflow.llm.common import vocabulary
 from zoneflow.llm.exact_dedup import drop_copies
-from zoneflow.llm.ngram_join import similar_components
+from zoneflow.llm.ngram_join import drop_similar
 from zoneflow.llm.source_mix import mixed_texts
 from zoneflow.session import materialize
 
@@ -39,17 +38,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Rows are numbered, as an id may be NULL or stand on several texts. A written table gives the same numbers each time
-    # it is read.
-    numbered = docs.withColumn("near_row", F.monotonically_increasing_id())
-    found = similar_components(numbered.select("near_row", "text"), id_col="near_row")
-    linked = materialize(found.filter("component_id <> near_row").select("near_row", "component_id"))
-    members = linked.unionAll(linked.select(F.col("component_id").alias("near_row"), "component_id").distinct())
-    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "near_row")
-    kept = members.join(numbered.select("near_row", "doc_id"), "near_row").groupBy("component_id").agg(F.min(rank).alias("kept")).select(
-        F.col("kept.near_row").alias("near_row"))
-    going = members.select("near_row").join(kept, "near_row", "left_anti")
-    return numbered.join(going, "near_row", "left_anti").select(docs.columns)
+    return drop_similar(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
