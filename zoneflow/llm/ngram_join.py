@@ -35,7 +35,7 @@ from zoneflow.llm.word_hash import RADIX, WordHasher, chunks, mixed
 from zoneflow.session import materialize
 
 WORDS, PERCENT = 5, 80
-LIGHT, BLOCK, BUCKET_SHINGLES, MOST_MATCHES = 64, 512, 3_000_000, 8
+LIGHT, BLOCK, BUCKET_SHINGLES, MOST_MATCHES = 64, 512, 1_200_000, 8
 #: Factors of a shingle's words, by their place.
 PLACES = np.array([pow(0xD1B54A32D192ED03, k + 1, 2 ** 64) for k in range(64)], dtype=np.uint64)
 
