@@ -91,7 +91,7 @@ def test_codes_of_few_and_of_no_vectors(spark):
 
 def test_decoding_gives_the_entries(spark):
     rows = vector_codes.scaled(spark.createDataFrame([(i, [i / 4, -i / 4], 1) for i in range(9)], VECTORS), 16, "vec_id", "embedding", "label")
-    books = vector_codes.train(rows, parts=2, entries=16)
+    books = vector_codes.train(rows, parts=2, entries=16, scale=16)
     decoded = vector_codes.decode(vector_codes.encode(rows, books), books).collect()
     assert {r.id: r.decoded for r in decoded} == {i: [i / 4, -i / 4] for i in range(9)}
 

@@ -163,7 +163,9 @@ class Sizes:
     window: int = 32
     sample_docs: int = 2048
     sample_bytes: int = 3_000_000
+    #: Passes over the windows, and updates at least: small samples get more passes, up to 60.
     rounds: int = 7
+    updates: int = 500
     batch: int = 128
     rate: float = 0.01
 
@@ -448,12 +450,13 @@ def fit(texts: list[str], labels: np.ndarray, sizes: Sizes = Sizes()) -> Network
     text, places = network.windows(x.own, len(texts))
     draw, adam = np.random.default_rng(SEED), Adam(sizes.rate)
     label = labels[text]
-    for turn in range(sizes.rounds):
+    rounds = max(sizes.rounds, min(60, -(-4 * sizes.batch * sizes.updates // len(text))))
+    for turn in range(rounds):
         chosen = np.flatnonzero(draw.random(len(text)) < 0.4) if turn < 2 else promising(text, label, network.window_logits(x, len(texts))[1], draw)
         chosen = draw.permutation(chosen)
         ones = label[chosen].mean()
         weight = np.where(label == 1, 0.5 / max(ones, 1e-9), 0.5 / max(1 - ones, 1e-9))
-        adam.rate = sizes.rate * (1 - turn / sizes.rounds)
+        adam.rate = sizes.rate * (1 - turn / rounds)
         for begin in range(0, len(chosen), sizes.batch):
             at = chosen[begin:begin + sizes.batch]
             part, index = network.part(x, places[at])
