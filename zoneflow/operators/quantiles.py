@@ -111,14 +111,19 @@ def column_limits(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                          f"{TAIL_SCALE.replace('_value', 'b')} AS _high")
 
 
+def stacked(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Columns as rows: keys, ``_column``, ``_value`` (not NULL, not NaN)."""
+    pairs = ", ".join(f"'{c}', double({c})" for c in columns)
+    long = df.selectExpr(*keys, f"stack({len(columns)}, {pairs}) AS (_column, _value)")
+    return long.filter("_value IS NOT NULL AND NOT isnan(_value)")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """How often each value of each column occurs in a group: keys, ``_column``, ``_value``, ``_times``. NULL and NaN do not count.
 
     Counts of parts of a table, of its months for instance, add up to those of the whole (:func:`merged_counts`), so medians over
     a long history need its counts only, not its rows."""
-    pairs = ", ".join(f"'{c}', double({c})" for c in columns)
-    long = df.selectExpr(*keys, f"stack({len(columns)}, {pairs}) AS (_column, _value)")
-    return long.filter("_value IS NOT NULL AND NOT isnan(_value)").groupBy(*keys, "_column", "_value").agg(F.count("*").alias("_times"))
+    return stacked(df, columns, keys).groupBy(*keys, "_column", "_value").agg(F.count("*").alias("_times"))
 
 
 def merged_counts(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -149,4 +154,5 @@ def count_medians(counts: DataFrame, columns: Sequence[str], keys: Sequence[str]
 
 def column_medians(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Exact median of many columns, wide: one row per group (one row in all without keys)."""
-    return count_medians(value_counts(df, columns, keys), columns, keys, column_limits(df, columns))
+    each = stacked(df, columns, keys).withColumn("_times", F.lit(1))
+    return count_medians(each, columns, keys, column_limits(df, columns))
