@@ -162,6 +162,15 @@ def test_lengths_that_must_pair_meet_across_groups(spark):
     assert packed.count() == 65_536 and packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 4096").count() == 0
 
 
+def test_ids_of_characters_of_all_kinds(tokenizer):
+    draw = random.Random(5)
+    low, cache = [chr(i) for i in range(0x130)] + list("'''stmdlrv ") * 8, bp.WordCache(vocabulary("word_bpe_49k.json"), limit=50)
+    wide = low + list("İſ̀́Åﬁ 日<|>") * 3
+    for i in range(1000):
+        text = "".join(draw.choices(wide if i % 2 else low, k=draw.randint(1, 30)))
+        assert np.frombuffer(cache.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_rounds_that_save_nothing_end(spark):
     frame = materialize(spark.range(3_000).select("id", F.lit(2500).cast("long").alias("length")))
     packed = bp.pack_pieces(frame, group_pieces=100)

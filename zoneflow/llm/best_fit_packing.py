@@ -14,7 +14,9 @@ before the rest is filled greedily.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Sequence
 
@@ -31,74 +33,58 @@ from zoneflow.session import materialize
 CAPACITY, END_ID = 4096, 1
 
 
-class WordCache(dict):
-    """Token ids, as little-endian bytes, of the parts of a text between blanks and line ends.
+#: Letters, digits and white space below U+0130, as the tokenizer's pattern has them.
+LETTERS, DIGITS, BLANKS = "a-zA-Zªµº\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
+#: What the tokenizer cuts a text into before it looks for tokens; every such word has ids of its own.
+CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{BLANKS}{LETTERS}{DIGITS}]+")
+#: Texts with these are left to the tokenizer: other lower case or normal forms, names of special tokens.
+OTHERS = re.compile("[^\x00-\u012f]|<\\|")
+#: How the tokenizer's model writes bytes: visible ones of Latin-1 as they are, others from U+0100 on.
+VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTES = {byte: 256 + n for n, byte in enumerate(b for b in range(256) if b not in VISIBLE)}
 
-    The tokenizer splits at white space first, so a text's ids are those of its parts in turn. Parts seen before
-    come from memory; the rest of a text is encoded in one call. Memory is bounded: at ``limit`` entries a new
-    generation begins, and what is used again moves over from the last one.
+
+class WordCache:
+    """Token ids, as little-endian bytes, of the words that the tokenizer cuts a text into.
+
+    The tokenizer looks for tokens within words only, so a text's ids are those of its words in turn. Words seen before
+    come from memory; the others go to the tokenizer's model as they are. Memory is bounded: at ``limit`` entries a new
+    generation begins, and what is used again moves over from the last one. A text with characters from U+0130 on is cut
+    at blanks and line ends, and what has such characters is encoded as it stands.
     """
 
     def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.limit = limit
-        self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, dtype=bool)
-        for token, number in self.tokenizer.get_vocab().items():
-            self.ends[number] = token.endswith("</w>")
-        self.last: dict[str, bytes] = {}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
-        self.last_words: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
-        found = list(map(self.get, parts))
-        if None in found:
-            new = {p: self.last.get(p) for p, ids in zip(parts, found, strict=True) if ids is None}
-            self.learn(new)
-            found = [new[p] if ids is None else ids for p, ids in zip(parts, found, strict=True)]
-            if len(self) > self.limit:
-                self.last = dict(self)
-                self.clear()
-            self.update(new)
-        return b"".join(found)
-
-    def learn(self, parts: dict[str, bytes | None]) -> None:
-        """Fills in what is None. Plain parts are a word and what follows it; words are shared by their parts and encoded in
-        one call."""
-        if len(self.words) > self.limit:
-            self.last_words, self.words = self.words, {}
-        plain, new = [], {}
-        for part, ids in parts.items():
-            if ids is not None:
-                continue
-            word = part.rstrip(".,!|%&*#$?;:")
-            if word.isalpha() and max(word) < "İ":
-                tail, word = part[len(word):], word.lower()
-                plain.append((part, word, tail))
-                for piece in (word, tail):
-                    if piece not in self.words:
-                        if (known := self.last_words.get(piece)) is not None:
-                            self.words[piece] = known
-                        elif piece is word:
-                            new[word] = None
-                        else:
-                            self.words[tail] = self.ids(tail)
-            else:
-                parts[part] = self.ids(part)
+        if not (text.isascii() and "<|" not in text) and OTHERS.search(text):
+            return b"".join([self.ids(part) if OTHERS.search(part) else self.known(part)
+                             for part in text.replace("\n", " ").split(" ")])
+        return self.known(text)
+
+    def known(self, text: str) -> bytes:
+        words = CUT.findall(text.lower())
+        new = set(words).difference(self.words)
         if new:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(stops) == len(new):
-                raw = ids.tobytes()
-                self.words.update((w, raw[4 * i:4 * j]) for w, i, j in zip(new, [0, *stops[:-1]], stops, strict=True))
-            else:
-                self.words.update((w, self.ids(w)) for w in new)
-        words = self.words
-        for part, word, tail in plain:
-            parts[part] = words[word] + words[tail] if tail else words[word]
+            self.learn(new, words)
+        return b"".join(map(self.words.__getitem__, words))
+
+    def learn(self, new: set[str], words: list[str]) -> None:
+        """Takes up the ``new`` ones of a text's words."""
+        if len(self.words) > self.limit:
+            self.last, self.words = self.words, {}
+            new = set(words)
+        last, tokens = self.last, self.model.tokenize
+        for word in new:
+            if (ids := last.get(word)) is None:
+                plain = word if word.isascii() and word.isalnum() else word.encode().decode("latin-1").translate(BYTES)
+                ids = array("I", [token.id for token in tokens(plain)]).tobytes()
+            self.words[word] = ids
 
     def ids(self, part: str) -> bytes:
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
