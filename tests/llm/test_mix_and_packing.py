@@ -162,6 +162,14 @@ def test_lengths_that_must_pair_meet_across_groups(spark):
     assert packed.count() == 65_536 and packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 4096").count() == 0
 
 
+def test_one_group_and_several_get_the_same_search(spark):
+    # A search of a tenth of the nodes ends before it has packed 1,800 pieces.
+    draw = random.Random(4)
+    frame = materialize(spark.createDataFrame([(i, draw.randint(1300, 1420)) for i in range(3600)], "id long, length long"))
+    counts = [bp.pack_pieces(frame, group_pieces=n).select("sequence_id").distinct().count() for n in (3600, 1800)]
+    assert max(counts) <= 1.02 * min(counts)
+
+
 def test_ids_of_characters_of_all_kinds(tokenizer):
     draw = random.Random(5)
     low, cache = [chr(i) for i in range(0x130)] + list("'''stmdlrv ") * 8, bp.WordCache(vocabulary("word_bpe_49k.json"), limit=50)

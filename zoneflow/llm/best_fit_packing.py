@@ -2,14 +2,15 @@
 
 Texts are tokenised where they lie; only (id, piece, lengths, checksum) rows are shuffled. Pieces are dealt into groups of
 about ``group_pieces`` and each group is packed by branch and bound. Then every bin of which more than a 64th stays empty, and the
-emptiest of each group, is taken apart and its pieces are dealt anew, until they are one group or a round saves less than one
-bin in a hundred; a round that saves none is undone. Lengths that a group has too many of so meet what they lack.
+emptiest of each group, is taken apart and its pieces are dealt anew, until a round saves less than one bin in a hundred; then
+follows one more. A round that saves none is undone. Lengths that a group has too many of so meet what they lack. The rule is
+the same for any number of pieces and groups.
 
 Bin completion: the largest piece left gets a bin; the undominated fillings of its rest are enumerated, fullest first. A
 branch ends when its waste so far exceeds what a better solution than the incumbent could afford. The incumbent is
 best-fit decreasing; a solution that meets the lower bound is final. The search is bounded, not the pieces: ``node_budget`` nodes a
-group in the last round and a tenth of them before, ``breadth`` fillings a node, up to three partners of the largest piece
-before the rest is filled greedily.
+group, before the last round a tenth of them where best-fit decreasing is within a hundredth of the bound; ``breadth``
+fillings a node, up to three partners of the largest piece before the rest is filled greedily.
 """
 
 from __future__ import annotations
@@ -195,12 +196,16 @@ def fillings(counts: np.ndarray, room: int, most: int) -> list[tuple[int, ...]]:
     return best[:most]
 
 
-def complete_bins(lengths: Sequence[int], capacity: int, node_budget: int = 5_000, breadth: int = 4) -> list[list[int]]:
-    """Bins as lists of lengths, as few as the search finds; it ends at the lower bound."""
+def complete_bins(lengths: Sequence[int], capacity: int, node_budget: int = 5_000, breadth: int = 4,
+                  close_budget: int | None = None) -> list[list[int]]:
+    """Bins as lists of lengths, as few as the search finds; it ends at the lower bound. ``close_budget``, if given, takes
+    ``node_budget``'s place where best-fit decreasing needs less than one bin in a hundred more than the lower bound."""
     incumbent, least = best_fit_decreasing(lengths, capacity), lower_bound(lengths, capacity)
     total = int(np.sum(lengths)) if len(lengths) else 0
     if len(incumbent) <= least:
         return incumbent
+    if close_budget is not None and 100 * (len(incumbent) - least) < len(incumbent):
+        node_budget = close_budget
     counts = np.bincount(np.asarray(lengths, dtype=np.int64), minlength=capacity + 1)
     # A stack entry: the filling put in at this depth, the alternatives left, the waste after it.
     path: list[list[int]] = []
@@ -271,19 +276,19 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
                         T.StructField("offset", T.LongType()), T.StructField("again", T.BooleanType())])
     columns = pieces.columns
 
-    def packed(round_no: int, more: bool):
+    def packed(round_no: int, last: bool):
         def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.drop(columns="group").reset_index(drop=True)
-            bins = complete_bins(rows["length"].tolist(), capacity, node_budget // 10 if more else node_budget)
+            bins = complete_bins(rows["length"].tolist(), capacity, node_budget, close_budget=None if last else node_budget // 10)
             ordered = rows["length"].argsort(kind="stable")
             waiting: dict[int, list[int]] = {}
             for at, length in zip(ordered.tolist(), rows["length"].to_numpy()[ordered].tolist(), strict=True):
                 waiting.setdefault(length, []).append(at)
             sequence, offset = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
             again = np.zeros(len(rows), bool)
-            last = min(range(len(bins)), key=lambda k: sum(bins[k]))
+            emptiest = min(range(len(bins)), key=lambda k: sum(bins[k]))
             for k, own in enumerate(bins):
-                place, apart = 0, more and (k == last or capacity - sum(own) > capacity // 64)
+                place, apart = 0, k == emptiest or capacity - sum(own) > capacity // 64
                 for length in own:
                     at = waiting[length].pop()
                     sequence[at], offset[at], again[at] = (round_no << 56) | (int(key[0]) << 24) | k, place, apart
@@ -291,22 +296,22 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
             return rows[columns].assign(sequence_id=sequence, offset=offset, again=again)
         return pack
 
-    done, round_no, carried, carried_bins = [], 0, None, 0
+    done, round_no, carried, carried_bins, last = [], 0, None, 0, False
     while True:
         groups = max(1, -(-pieces.count() // group_pieces))
         # Rows are dealt evenly, whatever their ids: copies of one row may be many.
         dealt = pieces.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(round_no)), F.lit(groups)))
-        result = materialize(dealt.groupBy("group").applyInPandas(packed(round_no, groups > 1), out))
+        result = materialize(dealt.groupBy("group").applyInPandas(packed(round_no, last), out))
         bins = result.agg(F.count_if(F.col("offset") == 0).alias("all"), F.count_if((F.col("offset") == 0) & F.col("again")).alias("again")).first()
-        if carried is not None and bins["all"] >= carried_bins:
-            done.append(carried)
+        saved = carried_bins - bins["all"] if carried is not None else bins["all"]
+        if last or not bins["again"]:
+            done.append(carried if carried is not None and saved <= 0 else result)
             break
-        if not bins["again"] or (carried is not None and 100 * (carried_bins - bins["all"]) < carried_bins):
-            done.append(result)
-            break
-        done.append(result.filter(~F.col("again")))
-        carried, carried_bins = result.filter("again"), bins["again"]
-        pieces = carried.select(columns)
+        last = carried is not None and 100 * saved < carried_bins
+        if saved > 0:
+            done.append(result.filter(~F.col("again")))
+            carried, carried_bins = result.filter("again"), bins["again"]
+            pieces = carried.select(columns)
         round_no += 1
     rows = done[0]
     for more in done[1:]:
