@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from zoneflow.llm import license_scan as ls
 from zoneflow.llm.queries import URL_RULES, op3_url_filter
@@ -65,6 +66,17 @@ def test_scan_of_repeated_rows_and_of_no_rows(spark):
     assert ls.labelled(ls.spans(docs.limit(0))).count() == 0
 
 
+def test_grams_are_made_once_and_only_where_one_may_begin(spark, capsys):
+    docs = docs_of(spark, ["a b the MIT License of a fox", "mıt license Åpache Licenſe", "general public", "mit", None])
+    found = ls.votes(docs, ls.PHRASES)
+    found.explain()
+    assert "size(concat(" not in capsys.readouterr().out
+    assert [(r.id, r.template, r.diagonal, r.ats) for r in found.filter("template >= 0").orderBy("id").collect()] == [
+        (0, 0, 3, [0]), (2, 2, 0, [0])]
+    starts = docs.select(ls.word_array(F.col("text"), ls.SEPARATORS).alias("words")).withColumn("n_words", F.size("words"))
+    assert [r[0] for r in starts.select(ls.likely_starts(ls.PHRASES)).collect()] == [[3], [], [0], [], []]
+
+
 RULES = (Rule("org", "/", "allow"), Rule("example.org", "/es/", "block"), Rule("com", "/de/", "block"))
 
 

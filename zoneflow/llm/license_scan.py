@@ -64,10 +64,23 @@ NOTICES = (
 )
 
 
-def grams(words: str, n: str, k: int) -> Column:
-    """All rolling ``k``-grams of the array ``words`` of ``n`` entries, joined by blanks."""
-    joined = ", ' ', ".join(f"{words}[i + {j}]" for j in range(k))
-    return F.expr(f"if({n} >= {k}, transform(sequence(0, {n} - {k}), i -> concat({joined})), array())")
+def grams(starts: str, n: str, k: int) -> Column:
+    """The ``k``-grams of the array ``words`` of ``n`` entries that begin at ``starts``, joined by blanks, and their places."""
+    joined = ", ' ', ".join(f"words[i + {j}]" for j in range(k))
+    return F.expr(f"transform(filter({starts}, i -> i <= {n} - {k}), i -> struct(i AS place, concat({joined}) AS found))")
+
+
+def likely_starts(templates: Sequence[Template]) -> Column:
+    """Places of ``words`` where a gram of a template may begin: its first two words are the first two of some gram, in lower
+    case of all letters. Other places hold no gram, so theirs are not made."""
+    pairs = {tuple(t.words[i:i + 2]) for t in templates for i in range(len(t.words) - t.gram + 1)}
+    first, second = (sorted({pair[side] for pair in pairs}) for side in (0, 1))
+
+    def likely(i: Column) -> Column:
+        return F.lower(F.get("words", i)).isin(first) & F.lower(F.get("words", i + 1)).isin(second)
+
+    places = F.when(F.col("n_words") >= 2, F.sequence(F.lit(0), F.col("n_words") - 2)).otherwise(F.array().cast("array<int>"))
+    return F.filter(places, likely)
 
 
 def template_grams(spark, templates: Sequence[Template]) -> DataFrame:
@@ -89,16 +102,16 @@ def votes(docs: DataFrame, templates: Sequence[Template], id_col: str = "doc_id"
         docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
                     word_array(F.col(text_col), SEPARATORS).alias("words"))
         .withColumn("n_words", F.size("words"))
-        .select("row", "id", "n_words", F.concat(F.array(F.lit("")), grams("words", "n_words", PHRASE_GRAM),
-                                                 grams("words", "n_words", TEXT_GRAM)).alias("grams"))
-        .select("row", "id", "n_words", F.posexplode("grams").alias("p", "found")))
+        .withColumn("starts", likely_starts(templates))
+        .select("row", "id", "n_words", F.concat(F.expr("array(struct(0 AS place, '' AS found))"), grams("starts", "n_words", PHRASE_GRAM),
+                                                 grams("starts", "n_words", TEXT_GRAM)).alias("grams"))
+        # The array is never empty; an inner explosion would be given a filter that makes it a second time.
+        .select("row", "id", "n_words", F.inline_outer("grams")))
     known = template_grams(spark, templates).withColumn("h", F.xxhash64("gram"))
     # Lower case of all letters finds candidates fast; equality is that of A-Z only.
     hit = (F.xxhash64(F.lower("found")) == F.col("h")) & (lower_ascii(F.col("found")) == F.col("gram"))
-    pairs = F.greatest(F.col("n_words") - (PHRASE_GRAM - 1), F.lit(0))
-    place = F.col("p") - 1 - F.when(F.col("p") > pairs, pairs).otherwise(0)
     return (texts.join(F.broadcast(known), hit)
-            .withColumn("diagonal", F.when(F.col("template") < 0, 0).otherwise(place - F.col("at")))
+            .withColumn("diagonal", F.when(F.col("template") < 0, 0).otherwise(F.col("place") - F.col("at")))
             .groupBy("row", "id", "n_words", "template", "diagonal").agg(F.collect_set("at").alias("ats")))
 
 
