@@ -312,6 +312,20 @@ def test_search_points_lie_in_their_ranges_and_the_best_comes_first(history):
     assert {p.trees for p in training.draw_trees(50, seed=1, max_trees=20)} == {20}
 
 
+def test_preparing_builds_a_lazy_store_once(spark, history):
+    """A store that is no table yet is its trips' aggregation: each pass over it would be a pass over all trips."""
+    built, rows = spark.sparkContext.accumulator(0), history.count()
+
+    def counted(hour):
+        built.add(1)
+        return hour
+
+    hour = F.udf(counted, "int").asNondeterministic()("hour")
+    lazy = history.withColumn("hour", hour)
+    frame, *_ = training.prepare(lazy)
+    assert frame.count() == rows == built.value
+
+
 def test_best_number_of_trees_comes_from_the_staged_errors():
     nan = float("nan")
     assert training._staged([9.0, 3.0, 5.0, 4.0, 6.0], 2) == (3, 4.0)

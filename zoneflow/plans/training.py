@@ -93,8 +93,9 @@ def with_model_input(df: DataFrame, features: list[str], medians: dict[str, floa
 
 def training_frame(store: DataFrame, split: SplitConfig = SplitConfig()
                    ) -> tuple[DataFrame, StringIndexerModel, list[str]]:
-    """Encoded, labelled, split rows with the competition target."""
-    known = known_categories(store)
+    """Encoded, labelled, split rows with the competition target. The store's rows are written once: encoders, cutoffs and
+    the rows themselves are passes of their own, and each would build a store that is not a table from its trips again."""
+    known = materialize(known_categories(store))
     encoders = fit_encoders(known)
     coded = encode_categoricals(known, encoders).withColumn("competition", competition_target())
     parts = tip_label(time_split(coded, split))
