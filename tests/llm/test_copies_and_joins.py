@@ -4,6 +4,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from zoneflow.llm import ngram_join as nj
@@ -121,6 +123,36 @@ def test_shingle_join_of_repeated_rows_and_of_no_rows(spark):
     assert nj.similar_components(docs.limit(0)).count() == 0
 
 
+def test_packed_shingles_stay_small_however_many_buckets():
+    """A bucket with one shingle of a text gets 8 bytes for it and about one for the text, not the text's class and size."""
+    texts = [" ".join(f"w{t}x{i}" for i in range(404)) for t in range(200)]
+    batch = pa.RecordBatch.from_pydict({"body": texts})
+    [packed] = nj.bucket_rows(5, 100, 1)(iter([batch]))
+    table = pa.Table.from_batches([packed])
+    sent = sum(len(raw) for c in nj.PACKED.names[1:] for raw in table[c].to_pylist() if raw)
+    assert 8 * 80_000 < sent < 10 * 80_000
+    name, own, shingle, *_ = nj.unpack(table.filter(pc.greater_equal(table["deal"], 0)))
+    assert len(set(name)) == 1 and len(set(shingle)) == 80_000
+    assert np.bincount(own).tolist() == [400] * 200
+
+
+def test_copies_sent_by_many_tasks_share_no_shingle(spark):
+    """Entries are counted by texts; a class is known to have a shingle alone by the copies that were sent of it."""
+    alone = " ".join(f"a{i}" for i in range(50))
+    pair = " ".join(f"p{i}" for i in range(50))
+    texts = [alone, pair, f"{pair} end", "b c d e f"]
+    docs = frame(spark, texts).unionAll(frame(spark, texts)).unionAll(frame(spark, texts)).repartition(12)
+    found = {(r.doc_id, r.component_id) for r in nj.similar_components(docs).collect()}
+    assert found == {(0, 0), (1, 1), (2, 1), (3, 3)}
+    rows = {name: [] for name in nj.PACKED.names}
+    name, own = np.array([7, 7, 9], dtype=np.uint64), np.array([0, 1, 4])
+    nj.pack(rows, np.zeros(3, np.int64), name, own, np.array([11, 12, 13], dtype=np.uint64), np.array([2, 2, 2]), np.array([3, 1, 1]))
+    # Shingle 5 is in three copies of class 11 alone, 6 in those and in class 12, 8 in a text that stands for no class.
+    nj.pack(rows, np.zeros(4, np.int64), name[[0, 0, 1, 2]], np.array([0, 0, 1, 5]), np.array([5, 6, 6, 8], dtype=np.uint64), np.array([3, 4, 4, 2]))
+    cls, n, shingle, df = nj.with_classes(pa.Table.from_pydict(rows, schema=nj.PACKED))
+    assert sorted(zip(cls.tolist(), n.tolist(), shingle.tolist(), df.tolist())) == [(11, 2, 6, 4), (12, 2, 6, 4)]
+
+
 def test_longer_prefixes_are_chosen_where_they_cost_less():
     rare, common = np.full(40, 2), np.full(40, 60)
     assert nj.matches_needed(rare, unique=0, free=20) > 1

@@ -7,15 +7,20 @@ costs least by estimate, so common shingles make the prefix longer and the test
 ``k`` of its two classes.
 
 1. Tasks hash the shingles of their texts and send them, packed, to shingle buckets, which find the shingles that
-   several classes have. Only those go back to their class. A class with too few of them has no partner at all.
-2. Prefix shingles of at most ``light`` classes give pairs, counted against ``k``. Commoner ones give no pairs: their
+   several texts have. With a shingle goes its text's number in a run of texts, some 9 bytes together however many buckets
+   there are; a run's classes go beside them, once, and find the first text of each class and how many were sent of it.
+   What several texts have meets the classes by run: shingles that only copies share are dropped there. A class with
+   too few others has no partner at all.
+2. Prefix shingles of at most ``light`` texts give pairs, counted against ``k``. Commoner ones give no pairs: their
    classes are linked to one of them as candidates. A pair that shares such a one needs no count, any other is counted.
 3. Candidates are gathered by connected component, and compared exactly there in blocks of ``block`` classes, each
    pair of blocks being a group of its own. A group yields only the links that join what is still apart, never all
    pairs, and connected components of these links are the result.
 
 Nothing is sampled or capped: prefixes lose no pair, and step 3 compares whole sets. A shingle is a 64-bit hash, a class
-a 64-bit hash of its set. A shingle's entries meet in one bucket, 9 to 10 bytes for each class that has it.
+a 64-bit hash of its set, and a run of texts a 64-bit hash of its classes, the same if a task reads its rows again in their
+order, as tables give them. A shingle's entries meet in one bucket, about 9 bytes for each text that has it; of equal
+texts a task sends one. How common a shingle is, is counted by these texts.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,8 +99,8 @@ def class_rows(words: int):
     return run
 
 
-def bucket_rows(words: int, buckets: int):
-    """Packed shingles of a run of texts by bucket: the shingles, and of each text (class, n, how many of them)."""
+def bucket_rows(words: int, buckets: int, groups: int):
+    """Packed shingles of a run of texts by bucket, and the run's classes and their sizes by group of classes (below 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, sent = Shingler(words), set()
         for batch in batches:
@@ -107,27 +113,27 @@ def bucket_rows(words: int, buckets: int):
                     if n[i] and c not in sent:
                         sent.add(c)
                         fresh[i] = True
+                # A run's name follows from its classes and their order, so a task that runs again gives the same one.
+                place = np.arange(len(cls), dtype=np.uint64) * np.uint64(RADIX)
+                name = mixed(mixed(cls + place).sum(dtype=np.uint64, keepdims=True))
                 keep = fresh[own]
                 own, shingle = own[keep], shingle[keep]
-                bucket = ((shingle >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                own, shingle, bucket = own[order], shingle[order], bucket[order]
-                edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
                 rows = {name: [] for name in PACKED.names}
-                for i, j in zip(edges, [*edges[1:], len(bucket)], strict=True):
-                    at, counts = runs(own[i:j])
-                    text = own[i:j][at]
-                    rows["deal"].append(int(bucket[i]))
-                    pack(rows, cls[text].view(np.int64), n[text], counts, shingle[i:j])
+                bucket = ((shingle >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+                pack(rows, bucket, np.repeat(name, len(own)), own, shingle)
+                text = np.flatnonzero(fresh)
+                pack(rows, -1 - dealt(cls[text], groups), np.repeat(name, len(text)), text, cls[text], n[text])
                 yield pa.RecordBatch.from_pydict(rows, schema=PACKED)
     return run
 
 
-#: Runs of shingles by class: of each run its class, the size of the class's set and how many shingles follow.
-PACKED = pa.schema([("deal", pa.int32()), ("cls", pa.binary()), ("n", pa.binary()), ("counts", pa.binary()),
-                    ("shingles", pa.binary()), ("dfs", pa.binary())])
-PACKED_SQL = "deal int, cls binary, n binary, counts binary, shingles binary, dfs binary"
-DEALT_CLASSES = 4096
+#: Entries by run of texts: of each run its name and how many entries follow, of an entry the text's number in its run, by
+#: steps, and a shingle and how many texts have it, or a class, its size and how many texts were sent of it.
+PACKED = pa.schema([("deal", pa.int32()), ("names", pa.binary()), ("counts", pa.binary()), ("steps", pa.binary()),
+                    ("shingles", pa.binary()), ("sizes", pa.binary()), ("copies", pa.binary())])
+PACKED_SQL = "deal int, names binary, counts binary, steps binary, shingles binary, sizes binary, copies binary"
+#: Classes of which a task looks up the copies, and classes that a task orders the shingles of.
+GROUP_CLASSES, DEALT_CLASSES = 200_000, 65_536
 
 
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,46 +142,102 @@ def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.diff(np.concatenate([at, [len(values)]]))
 
 
-def pack(rows: dict, cls: np.ndarray, n: np.ndarray, counts: np.ndarray, shingles: np.ndarray, dfs: np.ndarray | None = None):
-    for name, values, kind in (("cls", cls, np.int64), ("n", n, np.int32), ("counts", counts, np.int32),
-                               ("shingles", shingles, np.uint64)):
-        rows[name].append(values.astype(kind, copy=False).tobytes())
-    rows["dfs"].append(None if dfs is None else dfs.astype(np.int32, copy=False).tobytes())
-
-
-def unpack(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(x for x in table[name].to_pylist() if x), dtype=kind)
+def narrow(values: np.ndarray) -> bytes:
+    """Numbers from 0 in as many bytes as the largest needs, all lowest bytes first."""
+    width = max(1, -(-int(values.max()).bit_length() // 8))
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def widened(raw: bytes, count: int) -> np.ndarray:
+    found = np.zeros((count, 8), dtype=np.uint8)
+    found[:, :len(raw) // count] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, count).T
+    return found.view("<i8").ravel()
+
+
+def pack(rows: dict, deal: np.ndarray, name: np.ndarray, own: np.ndarray, shingle: np.ndarray, size: np.ndarray | None = None,
+         copies: np.ndarray | None = None):
+    """Adds a row for every number in ``deal``."""
+    order = np.lexsort((own, name, deal))
+    deal, name, own, shingle = deal[order], name[order], own[order], shingle[order]
+    size, copies = (None if x is None else x[order] for x in (size, copies))
+    new = np.concatenate([[True], (name[1:] != name[:-1]) | (deal[1:] != deal[:-1])])[:len(name)]
+    steps = np.where(new, own, own - np.concatenate([[0], own[:-1]])[:len(own)])
+    for i, length in zip(*runs(deal), strict=True):
+        part = slice(i, i + length)
+        at, lengths = runs(name[part])
+        rows["deal"].append(int(deal[i]))
+        rows["names"].append(name[part][at].tobytes())
+        rows["counts"].append(lengths.astype(np.int32).tobytes())
+        rows["steps"].append(narrow(steps[part]))
+        rows["shingles"].append(shingle[part].tobytes())
+        rows["sizes"].append(None if size is None else narrow(size[part]))
+        rows["copies"].append(None if copies is None else narrow(copies[part]))
+
+
+def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """name, own, shingle, size and copies of all entries; the last two are empty where rows have none."""
+    found = ([], [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)])
+    lengths = [np.empty(0, np.int32)]
+    for names, counts, steps, shingles, sizes, copies in zip(*(table[c].to_pylist() for c in PACKED.names[1:]), strict=True):
+        count = len(shingles) // 8
+        found[0].append(np.frombuffer(names, dtype=np.uint64))
+        lengths.append(np.frombuffer(counts, dtype=np.int32))
+        found[1].append(widened(steps, count))
+        found[2].append(np.frombuffer(shingles, dtype=np.uint64))
+        for to, raw in ((found[3], sizes), (found[4], copies)):
+            if raw is not None:
+                to.append(widened(raw, count))
+    counts = np.concatenate(lengths)
+    name = np.repeat(np.concatenate([np.empty(0, np.uint64), *found[0]]), counts)
+    total = np.cumsum(np.concatenate([np.empty(0, np.int64), *found[1]]))
+    # A run's steps begin at 0.
+    before = np.concatenate([[0], total])[np.cumsum(counts) - counts]
+    return name, total - np.repeat(before, counts), *(np.concatenate(x) for x in found[2:])
 
 
 def shared_shingles(deals: int):
-    """Of one bucket the shingles that several classes have, and how many have them, packed for groups of classes."""
+    """Of one bucket the shingles that several texts have, and how many have them; of one group of classes their first texts,
+    and how many were sent. Both go to the group of the texts' run."""
     def run(table: pa.Table) -> pa.Table:
-        counts = unpack(table, "counts", np.int32)
-        cls = np.repeat(unpack(table, "cls", np.int64), counts)
-        n, shingle = np.repeat(unpack(table, "n", np.int32), counts), unpack(table, "shingles", np.uint64)
-        order = np.lexsort((cls, shingle))
-        cls, n, shingle = cls[order], n[order], shingle[order]
-        if len(shingle):
-            # Tasks may have sent the same class.
-            new = np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])])
-            cls, n, shingle = cls[new], n[new], shingle[new]
-        df = np.repeat(lengths := runs(shingle)[1], lengths)
-        cls, n, shingle, df = cls[df > 1], n[df > 1], shingle[df > 1], df[df > 1]
-        deal = dealt(cls, deals)
-        order = np.lexsort((cls, deal))
-        cls, n, shingle, df, deal = cls[order], n[order], shingle[order], df[order], deal[order]
         rows = {name: [] for name in PACKED.names}
-        for i, length in zip(*runs(deal), strict=True):
-            part = slice(i, i + length)
-            at, lengths = runs(cls[part])
-            rows["deal"].append(int(deal[i]))
-            pack(rows, cls[part][at], n[part][at], lengths, shingle[part], df[part])
+        name, own, value, size, _ = unpack(table)
+        if len(size):
+            order = np.lexsort((own, name, value))
+            at, copies = runs(value[order])
+            first = order[at]
+            name = name[first]
+            pack(rows, dealt(name, deals), name, own[first], value[first], size[first], copies)
+        else:
+            order = np.argsort(value, kind="stable")
+            df = np.repeat(lengths := runs(value[order])[1], lengths)
+            order, df = order[df > 1], df[df > 1]
+            name = name[order]
+            pack(rows, dealt(name, deals), name, own[order], value[order], df)
         return pa.Table.from_pydict(rows, schema=PACKED)
     return run
 
 
-def dealt(cls: np.ndarray, deals: int) -> np.ndarray:
-    return (mixed(cls.view(np.uint64)) % np.uint64(deals)).astype(np.int64)
+def dealt(hashes: np.ndarray, deals: int) -> np.ndarray:
+    return (mixed(hashes) % np.uint64(deals)).astype(np.int64)
+
+
+def with_classes(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """cls, n, shingle and df of a group's shingles that another class has too; only a class's first text has any.
+
+    A shingle that no other class has is in as many texts as were sent of the class."""
+    first = pc.is_valid(table["copies"])
+    name, own, cls, n, copies = unpack(table.filter(first))
+    known, at = np.unique(name, return_inverse=True)
+    order = np.argsort(keys := at.astype(np.int64) << 32 | own)
+    keys, cls, n, copies = keys[order], cls[order], n[order], copies[order]
+    name, own, shingle, df, _ = unpack(table.filter(pc.invert(first)))
+    if not len(keys):
+        return cls, n, shingle[:0], df[:0]
+    at = np.minimum(np.searchsorted(known, name), len(known) - 1)
+    key = at.astype(np.int64) << 32 | own
+    text = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    keep = (known[at] == name) & (keys[text] == key) & (df > copies[text])
+    return cls[text[keep]], n[text[keep]], shingle[keep], df[keep]
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -186,7 +248,7 @@ def least_overlap(n: int, percent: int) -> int:
 def matches_needed(df: np.ndarray, unique: int, free: int) -> int:
     """The ``k`` whose prefix costs least: entries to read, and pairs left to verify, each as dear as ``n / 64`` entries.
 
-    ``df``: of the shared shingles, rarest first, how many classes have them. ``free``: n less the least overlap.
+    ``df``: of the shared shingles, rarest first, how many texts sent have them. ``free``: n less the least overlap.
     """
     most = min(MOST_MATCHES, unique + len(df) - free)
     read = np.concatenate([[0], np.cumsum(df - 1, dtype=np.float64)])
@@ -199,13 +261,16 @@ def matches_needed(df: np.ndarray, unique: int, free: int) -> int:
 
 def ordered_sets(percent: int):
     """Of a group's classes that may have a partner: shared shingles, rarest first, ``k``, how far the first of them lies
-    beyond the free part of the shortest prefix, and how many classes have those in the prefix."""
+    beyond the free part of the shortest prefix, and how many texts have those in the prefix."""
     def run(table: pa.Table) -> pa.Table:
-        counts = unpack(table, "counts", np.int32)
-        cls, n = np.repeat(unpack(table, "cls", np.int64), counts), np.repeat(unpack(table, "n", np.int32), counts)
-        shingle, df = unpack(table, "shingles", np.int64), unpack(table, "dfs", np.int32)
+        cls, n, shingle, df = with_classes(table)
+        cls, shingle = cls.view(np.int64), shingle.view(np.int64)
         order = np.lexsort((shingle, df, cls))
         cls, n, shingle, df = cls[order], n[order], shingle[order], df[order]
+        if len(cls):
+            # Tasks may have sent the same run of texts.
+            new = np.concatenate([[True], (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])])
+            cls, n, shingle, df = cls[new], n[new], shingle[new], df[new]
         rows = {name: [] for name in SET_SCHEMA.names}
         for i, length in zip(*runs(cls), strict=True):
             size = int(n[i])
@@ -307,8 +372,10 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = materialize(texts.mapInArrow(frees_memory(class_rows(words)), "id long, n long, cls long"))
     total = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_SHINGLES))
-    deals = max(1, math.ceil(members.count() / DEALT_CLASSES))
-    packed = texts.select("body").mapInArrow(frees_memory(bucket_rows(words, buckets)), PACKED_SQL)
+    count = members.count()
+    deals = max(1, math.ceil(total / (2 * BUCKET_SHINGLES)), math.ceil(count / DEALT_CLASSES))
+    groups = max(1, math.ceil(count / GROUP_CLASSES))
+    packed = texts.select("body").mapInArrow(frees_memory(bucket_rows(words, buckets, groups)), PACKED_SQL)
     shared = packed.groupBy("deal").applyInArrow(shared_shingles(deals), PACKED_SQL)
     sets = materialize(shared.groupBy("deal").applyInArrow(ordered_sets(percent), SET_SQL))
 
