@@ -138,6 +138,24 @@ def test_scoring_saving_and_odd_inputs(spark):
     assert zero.trees == [] and len(zero.errors) == 1
 
 
+def test_a_search_in_tasks_equals_one_in_shared_passes(spark, monkeypatch):
+    rows = random_rows(500)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(boosting, "INTERVAL", 3)
+    frame = frame_of(make_rows(spark, rows, 5), ["p", "q", "r"], ["y", "z"])
+    models = [(1, BoostParams(trees=7, leaves=5, depth=3, subsample=0.8, min_rows=5)), (0, BoostParams(trees=4, leaves=8, depth=3, min_rows=1, l2=1.0)),
+              (1, BoostParams(trees=5, leaves=3, depth=2, feature_share=0.7))]
+    tasks = boosting.staged_errors(frame, 3, models)
+    monkeypatch.setattr(boosting, "TASK_BYTES", 0)
+    monkeypatch.setattr(boosting, "WAVE_BYTES", 4 * 3 * 64 * 16)
+    assert [len(wave) for wave in boosting.waves(3, models)] == [2, 1] and frame.rows == 500 and frame.blocks.count() > 1
+    passes = boosting.staged_errors(frame, 3, models)
+    for (_, params), one, other in zip(models, tasks, passes):
+        assert len(one) == params.trees + 1 and one == pytest.approx(other, abs=1e-5) and one[-1] < one[0]
+    none = boosting.staged_errors(frame_of(make_rows(spark, rows).filter("split = 'x'"), ["p", "q", "r"], ["y"]), 3, [(0, BoostParams(trees=2))])
+    assert len(none[0]) == 3 and all(map(math.isnan, none[0]))
+
+
 def test_early_end_after_patience():
     draw = np.random.default_rng(3)
     y = draw.normal(size=(80, 1))  # nothing to learn

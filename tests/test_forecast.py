@@ -333,6 +333,27 @@ def test_best_number_of_trees_comes_from_the_staged_errors():
     assert training._staged([nan, nan], 1) == (1, float("inf"))
 
 
+def _staged_by_whole_fits(frame, features, layer, points, least):
+    """The best number of trees and its error of fits of all train rows that grow to their last tree."""
+    from zoneflow.operators.boosting import fit_boosted
+
+    models = {str(i): (training.TARGETS[layer], training.boost_params(layer, p, 42)) for i, p in enumerate(points)}
+    fits = fit_boosted(frame.filter("split <> 'test'"), features, models, key=training.row_key())
+    return [training._staged(fits[str(i)].errors, least) for i in range(len(points))]
+
+
+def test_search_drops_no_point_and_grows_each_to_its_last_tree(history):
+    """A point that learns slowly is best at its last tree; one that learns fast is best long before."""
+    frame, _, features, _ = training.prepare(history)
+    points = [training.TreeParams(trees=115, depth=3, learning_rate=0.3, leaves=8), training.TreeParams(trees=115, depth=2, learning_rate=0.01, leaves=4)]
+    tried = training.tune_trees(frame, features, ["demand"], points)["demand"]
+    want = _staged_by_whole_fits(frame, features, "demand", points, 100)
+    found = {p.learning_rate: (p.trees, error) for p, error in tried}
+    for point, (trees, error) in zip(points, want):
+        assert found[point.learning_rate] == (trees, pytest.approx(error, abs=1e-9))
+    assert found[0.01][0] == 115
+
+
 def test_search_sample_is_whole_or_bounded(history):
     frame = training.training_frame(history)[0]
     both = frame.filter("split <> 'test'").count()

@@ -13,6 +13,9 @@ among these can be dropped. A tree thus costs at most one pass per level of dept
 Several models grow side by side in the same passes (:func:`fit_boosted`). Rows are held in blocks below the shared folder with
 their predictions so far, which are brought up to date every ``INTERVAL`` trees; between that, tasks add the newest trees
 themselves. Tasks keep nothing between passes, so a lost executor costs a pass.
+
+A search fits many models of the same rows (:func:`staged_errors`). Where a task can hold all rows each model is a task, beyond
+that the models grow in shared passes, as many at a time as their histograms allow. Both read every row and give the same errors.
 """
 
 from __future__ import annotations
@@ -20,7 +23,8 @@ from __future__ import annotations
 import pickle
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -28,8 +32,9 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
-from zoneflow.session import materialize
+from zoneflow.session import discard, materialize, work_dir
 
 # Functions go to the tasks by value, so executors need not have the library.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -37,6 +42,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Bins of a feature without the one of NULL, and that one.
 BINS, MISSING = 63, 63
 BLOCK_ROWS, INTERVAL, DIRECT_PARTS, SPREAD = 65_536, 20, 16, 32
+#: A level's features are evaluated in groups by their bins, if it has more than a few nodes.
+WIDTHS, FEW_NODES = (4, 12, 30), 8
+#: Rows of up to this size are fitted in one task each model of a search; histograms of up to this size are asked for in one pass
+#: of a search; and up to this size come to the driver from the tasks of a pass.
+TASK_BYTES, WAVE_BYTES, DIRECT_BYTES = 96 << 20, 64 << 20, 256 << 20
 #: Residuals of the start become integers up to this size.
 FIXED_POINT = 2.0 ** 26
 TRAIN, VALID = 1, 2
@@ -146,7 +156,7 @@ class Growing:
                 smaller, rest = sorted(((node["rows_left"], len(self.nodes)), (node["sums"][1] - node["rows_left"], len(self.nodes) + 1)))
                 node["left"], node["right"] = len(self.nodes), len(self.nodes) + 1
                 self.nodes += [{"parent": i, "depth": node["depth"] + 1} for _ in (0, 1)]
-                if node["depth"] + 1 < self.params.depth:
+                if node["depth"] + 1 < self.params.depth and rest[0] >= 2 * max(1, self.params.min_rows):
                     self.wanted.append(smaller[1])
                     following += [node["left"], node["right"]]
                 else:  # leaves for certain: their sums follow from the split
@@ -160,34 +170,53 @@ class Growing:
 
     def evaluate(self) -> None:
         """The best split of every node of the level, NULL to either side; ties go to the first feature, bin and side."""
-        if not self.level or not len(self.features):
+        if not len(self.features):
             return
-        h = np.stack([self.nodes[i]["histogram"] for i in self.level]).astype(np.float64)
-        g, n = h[..., 0] / self.scale, h[..., 1]
-        all_g, all_n = g[:, 0].sum(axis=1)[:, None, None, None], n[:, 0].sum(axis=1)[:, None, None, None]
-        left_g, left_n = np.cumsum(g[..., :BINS], axis=2), np.cumsum(n[..., :BINS], axis=2)
-        left_g = np.stack([left_g, left_g + g[..., BINS:]], axis=3)
-        left_n = np.stack([left_n, left_n + n[..., BINS:]], axis=3)
-        right_g, right_n, l2 = all_g - left_g, all_n - left_n, self.params.l2
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = left_g ** 2 / (left_n + l2) + right_g ** 2 / (right_n + l2) - all_g ** 2 / (all_n + l2)
         least = max(1, self.params.min_rows)
-        gain[~((left_n >= least) & (right_n >= least))] = -np.inf
-        for k, f in enumerate(self.features):
-            gain[:, k, len(self.edges[f]):] = -np.inf
-        flat = gain.reshape(len(self.level), -1)
-        for row, i in enumerate(self.level):
-            at = int(flat[row].argmax())
-            node, best = self.nodes[i], flat[row, at]
-            f, b, side = np.unravel_index(at, gain.shape[1:])
+        open_ = [i for i in self.level if self.nodes[i]["sums"][1] >= 2 * least]
+        for i in set(self.level).difference(open_):  # too few rows for two sides
+            self.nodes[i] |= {"gain": 0.0, "path": 0.0}
+        if not open_:
+            return
+        h = np.stack([self.nodes[i]["histogram"] for i in open_])
+        g, n = h[..., 0] / self.scale, h[..., 1].astype(np.float64)
+        all_g, all_n, l2 = g[:, 0].sum(axis=1), n[:, 0].sum(axis=1), self.params.l2
+        shape = (len(open_), len(self.features))
+        gains, bins, sides, lefts = np.full(shape, -np.inf), np.zeros(shape, np.int64), np.zeros(shape, np.int64), np.zeros(shape)
+        for some, width, both in self.alike(n[..., MISSING].any(axis=0), len(open_)):
+            left_g, left_n = np.cumsum(g[:, some, :width], axis=2)[..., None], np.cumsum(n[:, some, :width], axis=2)[..., None]
+            if both:
+                left_g = np.concatenate([left_g, left_g + g[:, some, BINS:, None]], axis=3)
+                left_n = np.concatenate([left_n, left_n + n[:, some, BINS:, None]], axis=3)
+            whole_g, whole_n = all_g[:, None, None, None], all_n[:, None, None, None]
+            right_g, right_n = whole_g - left_g, whole_n - left_n
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = left_g ** 2 / (left_n + l2) + right_g ** 2 / (right_n + l2) - whole_g ** 2 / (whole_n + l2)
+            gain[~((left_n >= least) & (right_n >= least))] = -np.inf
+            for k, f in enumerate(self.features[some]):
+                gain[:, k, len(self.edges[f]):] = -np.inf
+            flat = gain.reshape(*gain.shape[:2], -1)
+            at = flat.argmax(axis=2)[..., None]
+            gains[:, some], lefts[:, some] = (np.take_along_axis(x, at, 2)[..., 0] for x in (flat, left_n.reshape(flat.shape)))
+            bins[:, some], sides[:, some] = at[..., 0] // gain.shape[3], at[..., 0] % gain.shape[3]
+        for row, (i, f) in enumerate(zip(open_, gains.argmax(axis=1).tolist())):
+            node, best, b, side = self.nodes[i], gains[row, f], int(bins[row, f]), int(sides[row, f])
             missing = h[row, f, MISSING, 1]
-            node["gain"] = float(best) if best > 1e-9 * max(1.0, float(all_g[row, 0, 0, 0] ** 2 / max(all_n[row, 0, 0, 0], 1))) else 0.0
-            rows_left = int(left_n[row, f, b, side])
-            node |= {"f": int(f), "b": int(b), "rows_left": rows_left, "null_left": bool(side) if missing else rows_left * 2 >= all_n[row, 0, 0, 0],
-                     "g_left": int(node["histogram"][f, :b + 1, 0].sum() + (node["histogram"][f, MISSING, 0] if side else 0))}
+            node["gain"] = float(best) if best > 1e-9 * max(1.0, float(all_g[row] ** 2 / max(all_n[row], 1))) else 0.0
+            rows_left = int(lefts[row, f])
+            node |= {"f": f, "b": b, "rows_left": rows_left, "null_left": bool(side) if missing else rows_left * 2 >= all_n[row],
+                     "g_left": int(h[row, f, :b + 1, 0].sum() + (h[row, f, MISSING, 0] if side else 0))}
             parent = self.nodes[node["parent"]]["path"] if node["parent"] >= 0 else np.inf
             node["path"] = min(parent, node["gain"])
 
+    def alike(self, missing: np.ndarray, nodes: int) -> list[tuple[np.ndarray, int, bool]]:
+        """Features in groups, with their bins and whether NULL may go to either side: what a feature has no rows for is not
+        computed. A level of few nodes is one group."""
+        ends = np.array([len(self.edges[f]) for f in self.features])
+        kinds = 2 * np.searchsorted(WIDTHS, ends) + missing if nodes > FEW_NODES else np.zeros(len(ends), np.int64)
+        groups = [np.flatnonzero(kinds == kind) for kind in np.unique(kinds)]
+        return [(some, int(ends[some].max()), bool(missing[some].any())) for some in groups if ends[some].any()]
+
     def best(self) -> set[int]:
         """The splits that the leaf-wise tree has, as far as nodes are evaluated."""
         open_ = [i for i, node in enumerate(self.nodes) if node.get("path", 0) > 0 and node["depth"] < self.params.depth]
@@ -196,10 +225,15 @@ class Growing:
     def finished(self) -> Tree:
         return self.tree(self.best())
 
+    def bare(self) -> Growing:
+        """What tasks need of it: the nodes without their histograms."""
+        return replace(self, nodes=[{k: v for k, v in node.items() if k != "histogram"} for node in self.nodes])
+
 
 @dataclass
 class Block:
-    """Rows of one block: bins (row, feature), target and prediction (row, model), part of the split, row key."""
+    """Rows of one block: bins (row, feature), targets (row, target), predictions (row, target at first, then model), part of the
+    split, row key."""
 
     bins: np.ndarray
     targets: np.ndarray
@@ -211,10 +245,10 @@ class Block:
         return [x.tobytes() for x in (self.bins, self.targets, self.predictions, self.part, self.key)]
 
     @classmethod
-    def of(cls, parts: list[bytes], features: int, models: int) -> Block:
-        bins, targets, predictions, part, key = parts
-        return cls(np.frombuffer(bins, np.uint8).reshape(-1, features), np.frombuffer(targets).reshape(-1, models),
-                   np.frombuffer(predictions).reshape(-1, models), np.frombuffer(part, np.uint8), np.frombuffer(key, np.int64))
+    def of(cls, parts: list[bytes], features: int, targets: int) -> Block:
+        bins, target, predictions, part, key = parts
+        return cls(np.frombuffer(bins, np.uint8).reshape(-1, features), np.frombuffer(target).reshape(-1, targets),
+                   np.frombuffer(predictions).reshape(len(part), -1), np.frombuffer(part, np.uint8), np.frombuffer(key, np.int64))
 
     def sampled(self, params: BoostParams, tree: int) -> np.ndarray:
         """Train rows of a tree's sample, by a hash of row and tree."""
@@ -228,6 +262,8 @@ class Block:
         return train & ((h >> np.uint64(11)).astype(np.float64) / 2.0 ** 53 < params.subsample)
 
     def histograms(self, growing: Growing, model: int, predictions: np.ndarray, tree: int) -> dict[int, np.ndarray]:
+        if not growing.wanted:
+            return {}
         rows = np.flatnonzero(self.sampled(growing.params, tree) & ~np.isnan(self.targets[:, model]))
         slot = np.full(len(growing.nodes), -1)
         slot[growing.wanted] = np.arange(len(growing.wanted))
@@ -235,14 +271,16 @@ class Block:
         # Nodes of the partial tree are numbered breadth first, as they were made.
         own = slot[numbers.leaves_of_bins(self.bins[rows])]
         rows, own = rows[own >= 0], own[own >= 0]
-        residuals = np.rint((predictions[rows] - self.targets[rows, model]) * growing.scale)
         shape = (len(growing.wanted), len(growing.features), BINS + 1)
-        at = (own[:, None] * shape[1] + np.arange(shape[1])) * shape[2] + self.bins[np.ix_(rows, growing.features)]
         size = int(np.prod(shape))
-        g = np.bincount(at.ravel(), np.repeat(residuals, shape[1]), size)
-        n = np.bincount(at.ravel(), minlength=size)
-        both = np.stack([g.astype(np.int64), n], axis=1).reshape(*shape, 2)
-        return dict(zip(growing.wanted, both))
+        both = np.zeros((size, 2), np.int64)
+        for start in range(0, len(rows), BLOCK_ROWS):  # one piece for a block, several where a task has all rows
+            some, mine = rows[start:start + BLOCK_ROWS], own[start:start + BLOCK_ROWS]
+            residuals = np.rint((predictions[some] - self.targets[some, model]) * growing.scale)
+            at = ((mine[:, None] * shape[1] + np.arange(shape[1])) * shape[2] + self.bins[np.ix_(some, growing.features)]).ravel()
+            both[:, 0] += np.bincount(at, np.repeat(residuals, shape[1]), size).astype(np.int64)
+            both[:, 1] += np.bincount(at, minlength=size)
+        return dict(zip(growing.wanted, both.reshape(*shape, 2)))
 
 
 def tree_features(params: BoostParams, tree: int, count: int) -> np.ndarray:
@@ -352,6 +390,7 @@ class Frame:
     edges: list[np.ndarray]
     bases: list[float]
     scales: list[float]
+    rows: int
 
 
 def frame_of(rows: DataFrame, features: list[str], targets: list[str], raw: str = "raw", split: str = "split", key: Column | None = None) -> Frame:
@@ -364,35 +403,44 @@ def frame_of(rows: DataFrame, features: list[str], targets: list[str], raw: str
     largest = [max(abs((facts[f"{end}{i}"] or 0.0) - bases[i]) for end in ("min", "max")) for i in range(len(targets))]
     edges = bin_edges(train, raw, len(features))
     part = F.when(F.col(split) == "train", TRAIN).when(F.col(split) == "valid", VALID).otherwise(0)
-    tasks = max(1, -(-rows.count() // BLOCK_ROWS))
+    count = rows.count()
+    tasks = max(1, -(-count // BLOCK_ROWS))
     chosen = rows.select(raw, F.array(*[F.col(t).cast("double") for t in targets]), part.cast("int"),
                          (F.xxhash64(raw) if key is None else key).cast("long")).coalesce(tasks)
     blocks = materialize(chosen.mapInArrow(blocker(edges, bases), BLOCK_SCHEMA))
-    return Frame(blocks, edges, bases, [FIXED_POINT / (x or 1.0) for x in largest])
+    return Frame(blocks, edges, bases, [FIXED_POINT / (x or 1.0) for x in largest], count)
 
 
 # --- passes over all rows
 
 @dataclass
 class Fit:
-    """A model being fitted: its column, the trees since its predictions were last written, and the one that grows."""
+    """A model being fitted: its number, target and column of predictions, the trees since its predictions were last written, and
+    the one that grows."""
 
     model: int
+    target: int
+    column: int
     params: BoostParams
+    step: int = 0
     growing: Growing | None = None
     recent: list[Tree] = field(default_factory=list)
     trees: list[Tree] = field(default_factory=list)
     errors: list[float] = field(default_factory=list)
 
+    def asked(self) -> Fit:
+        """What tasks need of it."""
+        return replace(self, growing=self.growing and self.growing.bare(), trees=[], errors=[])
+
 
 def up_to_date(block: Block, fit: Fit) -> np.ndarray:
-    found = block.predictions[:, fit.model].copy()
+    found = block.predictions[:, fit.column].copy()
     for tree in fit.recent:
         found += tree.value[tree.leaves_of_bins(block.bins)]
     return found
 
 
-def passer(fits: list[Fit], features: int, models: int, errors: bool):
+def passer(fits: list[Fit], features: int, targets: int, errors: bool):
     """(model, node, sums): a task's histograms of the nodes wanted; node -1 has the valid part's absolute errors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
@@ -402,13 +450,13 @@ def passer(fits: list[Fit], features: int, models: int, errors: bool):
 
         for batch in batches:
             for i in range(batch.num_rows):
-                block = Block.of([c[i].as_py() for c in batch.columns], features, models)
+                block = Block.of([c[i].as_py() for c in batch.columns], features, targets)
                 for fit in fits:
                     now = up_to_date(block, fit)
-                    for node, found in block.histograms(fit.growing, fit.model, now, len(fit.trees)).items():
+                    for node, found in block.histograms(fit.growing, fit.target, now, fit.step).items():
                         add((fit.model, node), found)
                     if errors:
-                        apart = np.abs(now - block.targets[:, fit.model])[block.part == VALID]
+                        apart = np.abs(now - block.targets[:, fit.target])[block.part == VALID]
                         apart = apart[~np.isnan(apart)]
                         add((fit.model, -1), np.array([apart.sum(), len(apart)]))
         if sums:
@@ -433,9 +481,10 @@ def add_up(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"model": group["model"].iloc[:1], "node": [node], "sums": [total.tobytes()]})
 
 
-def summed(partial: DataFrame, parts: int) -> dict[tuple[int, int], np.ndarray]:
-    """Sums of all tasks: few are added here; more in two rounds, so that no task and not the driver gets them all."""
-    if parts > DIRECT_PARTS:
+def summed(partial: DataFrame, parts: int, size: int) -> dict[tuple[int, int], np.ndarray]:
+    """Sums of all tasks, ``size`` bytes each: few are added here; more in two rounds, so that no task and not the driver gets them
+    all."""
+    if parts > DIRECT_PARTS or parts * size > DIRECT_BYTES:
         salted = partial.withColumn("salt", F.spark_partition_id() % SPREAD)
         partial = salted.groupBy("model", "node", "salt").applyInPandas(add_up, SUM_SCHEMA).groupBy("model", "node").applyInPandas(add_up, SUM_SCHEMA)
     found: dict[tuple[int, int], np.ndarray] = {}
@@ -445,14 +494,12 @@ def summed(partial: DataFrame, parts: int) -> dict[tuple[int, int], np.ndarray]:
     return found
 
 
-def updater(fits: list[Fit], features: int, models: int):
+def updater(fits: list[Fit], features: int, targets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block = Block.of([c[i].as_py() for c in batch.columns], features, models)
-                block.predictions = block.predictions.copy()
-                for fit in fits:
-                    block.predictions[:, fit.model] = up_to_date(block, fit)
+                block = Block.of([c[i].as_py() for c in batch.columns], features, targets)
+                block.predictions = np.stack([up_to_date(block, fit) for fit in fits], axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in block.columns()], names=BLOCK_COLUMNS)
     return run
 
@@ -466,37 +513,55 @@ def fit_boosted(rows: DataFrame, features: list[str], models: dict[str, tuple[st
     teach; ``trees`` may be 0.
     """
     frame = frame_of(rows, features, [target for target, _ in models.values()], raw, split, key)
-    parts, blocks = frame.blocks.rdd.getNumPartitions(), frame.blocks
     if frame.blocks.count() == 1:
         return fit_in_tasks(frame, features, models)
-    fits = [Fit(i, params) for i, (_, params) in enumerate(models.values())]
-    for step in range(max((f.params.trees for f in fits), default=0) + 1):
-        active = [f for f in fits if step <= f.params.trees]
-        for f in active:
-            f.growing = Growing(f.params, frame.edges, tree_features(f.params, step, len(features)), frame.scales[f.model])
-        first = True
-        while active and (first or any(f.growing.wanted for f in active)):
-            asked = [f for f in active if f.growing.wanted]
-            found = summed(blocks.mapInArrow(passer(asked, len(features), len(fits), first), SUM_SCHEMA), parts)
-            for f in asked:
-                if first and (error := found.get((f.model, -1))) is not None:
-                    f.errors.append(float(error[0] / error[1]) if error[1] else float("nan"))
-                shape = (len(f.growing.features), BINS + 1, 2)
-                zero = np.zeros(shape, np.int64)
-                f.growing.give({n: found[f.model, n].reshape(shape) if (f.model, n) in found else zero for n in f.growing.wanted})
-                if step == f.params.trees:  # only the errors were wanted
+    fits = fit_in_passes(frame, len(features), [(i, params) for i, (_, params) in enumerate(models.values())])
+    return {name: BoostedTrees(features, frame.bases[f.target], f.trees, f.errors) for name, f in zip(models, fits)}
+
+
+def fit_in_passes(frame: Frame, features: int, models: list[tuple[int, BoostParams]], keep: bool = True) -> list[Fit]:
+    """Models, as a target's number and parameters, grown side by side. Without ``keep`` only their errors are kept, not their trees."""
+    blocks, spark, written = frame.blocks, frame.blocks.sparkSession, []
+    parts, targets = blocks.rdd.getNumPartitions(), len(frame.bases)
+    fits = [Fit(i, target, target, params) for i, (target, params) in enumerate(models)]
+    try:
+        for step in range(max((f.params.trees for f in fits), default=0) + 1):
+            active = [f for f in fits if step <= f.params.trees]
+            for f in active:
+                f.step = step
+                f.growing = Growing(f.params, frame.edges, tree_features(f.params, step, features), frame.scales[f.target])
+                if step == f.params.trees:  # only the errors are wanted
                     f.growing.wanted = []
-            first = False
-        for f in active:
-            if step < f.params.trees:
-                f.trees.append(f.growing.finished())
-                f.recent.append(f.trees[-1])
-            f.growing = None
-        if max(len(f.recent) for f in fits) >= INTERVAL:
-            blocks = materialize(blocks.mapInArrow(updater(fits, len(features), len(fits)), BLOCK_SCHEMA))
-            for f in fits:
-                f.recent = []
-    return {name: BoostedTrees(features, frame.bases[f.model], f.trees, f.errors) for name, f in zip(models, fits)}
+            first = True
+            while active and (first or any(f.growing.wanted for f in active)):
+                asked = [f for f in active if first or f.growing.wanted]
+                size = sum(len(f.growing.wanted) * len(f.growing.features) * (BINS + 1) * 16 for f in asked)
+                found = summed(blocks.mapInArrow(passer([f.asked() for f in asked], features, targets, first), SUM_SCHEMA), parts, size)
+                for f in asked:
+                    if first and (error := found.get((f.model, -1))) is not None:
+                        f.errors.append(float(error[0] / error[1]) if error[1] else float("nan"))
+                    if f.growing.wanted:
+                        shape = (len(f.growing.features), BINS + 1, 2)
+                        zero = np.zeros(shape, np.int64)
+                        f.growing.give({n: found[f.model, n].reshape(shape) if (f.model, n) in found else zero for n in f.growing.wanted})
+                first = False
+            for f in active:
+                if step < f.params.trees:
+                    f.recent.append(f.growing.finished())
+                    f.trees += f.recent[-1:] if keep else []
+                f.growing = None
+            if max(len(f.recent) for f in fits) >= INTERVAL:
+                written.append(work_dir(spark))
+                blocks = materialize(blocks.mapInArrow(updater([f.asked() for f in fits], features, targets), BLOCK_SCHEMA), written[-1])
+                parts = blocks.rdd.getNumPartitions()
+                if len(written) > 1:  # one table of predictions at a time
+                    discard(spark, written.pop(0))
+                for f in fits:
+                    f.recent, f.column = [], f.model
+    finally:
+        for path in written:
+            discard(spark, path)
+    return fits
 
 
 def fit_in_tasks(frame: Frame, features: list[str], models: dict[str, tuple[str, BoostParams]]) -> dict[str, BoostedTrees]:
@@ -521,11 +586,71 @@ def whole_fitter(params: list[BoostParams], edges: list[np.ndarray], scales: lis
     return run
 
 
+# --- many models of the same rows
+
+def staged_errors(frame: Frame, features: int, models: list[tuple[int, BoostParams]]) -> list[list[float]]:
+    """The valid part's mean absolute error of every model, a target's number and parameters, before each tree and after the last.
+    Every model is fitted on all train rows to its last tree."""
+    if not frame.rows:
+        return [[float("nan")] * (params.trees + 1) for _, params in models]
+    if frame.rows * (features + 25) <= TASK_BYTES:
+        return errors_in_tasks(frame, features, models)
+    found: list[list[float]] = []
+    for wave in waves(features, models):
+        found += [fit.errors for fit in fit_in_passes(frame, features, wave, keep=False)]
+    return found
+
+
+def waves(features: int, models: list[tuple[int, BoostParams]]) -> list[list[tuple[int, BoostParams]]]:
+    """Models in their order, as many together as ask for ``WAVE_BYTES`` of histograms at most, or one."""
+    found, held = [], WAVE_BYTES + 1
+    for target, params in models:
+        nodes = max(1, min(params.leaves - 1, 2 ** max(0, params.depth - 2)))  # of two siblings one is asked for
+        size = nodes * len(tree_features(params, 0, features)) * (BINS + 1) * 16
+        if held + size > WAVE_BYTES:
+            found.append([])
+            held = 0
+        found[-1].append((target, params))
+        held += size
+    return found
+
+
+def errors_in_tasks(frame: Frame, features: int, models: list[tuple[int, BoostParams]]) -> list[list[float]]:
+    """A job of one task each model, which reads all blocks from their table; the longest first, as many at once as there are cores.
+    A union of them would be one task, as each has a single partition."""
+    spark = frame.blocks.sparkSession
+    longest = sorted(range(len(models)), key=lambda i: (-models[i][1].trees * min(models[i][1].leaves, 2 ** models[i][1].depth), i))
+
+    def fitted(i: int) -> tuple[int, list[float]]:
+        fitter = error_fitter(*models[i], frame.edges, frame.bases, frame.scales)
+        return i, list(frame.blocks.coalesce(1).mapInArrow(fitter, "errors array<double>").first()["errors"])  # a number a tree
+
+    with ThreadPoolExecutor(max(1, min(len(models), spark.sparkContext.defaultParallelism))) as pool:
+        found = dict(pool.map(inheritable_thread_target(spark)(fitted), longest))
+    return [found[i] for i in range(len(models))]
+
+
+def error_fitter(target: int, params: BoostParams, edges: list[np.ndarray], bases: list[float], scales: list[float]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = Block.of([c[i].as_py() for c in batch.columns], len(edges), len(bases))
+                parts.append((block.bins, block.targets[:, [target]], block.predictions[:, [target]], block.part, block.key))
+        block = Block(*map(np.concatenate, zip(*parts)))
+        order = np.argsort(block.key, kind="stable")  # the errors' last bits do not depend on how rows are partitioned
+        block = Block(*(x[order] for x in vars(block).values()))
+        fit = LocalFit(block, 0, params, edges, scales[target])
+        fit.grow(params.trees, params.trees + 1)
+        yield pa.RecordBatch.from_arrays([pa.array([fit.errors], pa.list_(pa.float64()))], names=["errors"])
+    return run
+
+
 # --- one task's rows
 
 @dataclass
 class LocalFit:
-    """A fit on one block, tree after tree, for searches on a bounded sample."""
+    """A fit of rows that a task holds, tree after tree."""
 
     block: Block
     model: int
@@ -564,18 +689,3 @@ class LocalFit:
 
     def state(self) -> bytes:
         return pickle.dumps(([tuple(vars(t).values()) for t in self.trees], self.errors))
-
-
-def trial(whole, params: list[list[BoostParams]], edges: list[np.ndarray], scales: list[float], until: int, patience: int):
-    """(layer, point, state, errors) of fits that go on from their state. ``whole`` has the broadcast columns of a block of all rows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for layer, point, state in zip(*(c.to_pylist() for c in batch.columns)):
-                trees, errors = pickle.loads(state) if state else ([], [])
-                block = Block(*whole.value)
-                fit = LocalFit(block, layer, params[layer][point], edges, scales[layer], [Tree(*t) for t in trees], errors)
-                fit.grow(until, patience)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([layer], pa.int32()), pa.array([point], pa.int32()), pa.array([fit.state()], pa.binary()),
-                     pa.array([fit.errors], pa.list_(pa.float64()))], names=["layer", "point", "state", "errors"])
-    return run

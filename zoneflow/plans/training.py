@@ -9,7 +9,6 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-import numpy as np
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
@@ -276,51 +275,22 @@ def search_sample(frame: DataFrame, rows: int) -> DataFrame:
     return frame.filter(F.col("split").isin("train", "valid") & (place < F.when(F.col("split") == "train", share["train"]).otherwise(share["valid"])))
 
 
-def tune_trees(frame: DataFrame, features: list[str], layers: list[str], points: list[TreeParams], seed: int = 42, sample_rows: int = 50_000,
-               patience: int = 50) -> dict[str, list[tuple[TreeParams, float]]]:
+def tune_trees(frame: DataFrame, features: list[str], layers: list[str], points: list[TreeParams], seed: int = 42, sample_rows: int = 50_000
+               ) -> dict[str, list[tuple[TreeParams, float]]]:
     """Points of every layer with their valid mean absolute error, best first; ``trees`` of a point is its best number.
 
-    A fit's error is known after every tree, so the numbers of trees of a point cost one fit; a fit whose last ``patience``
-    trees were no better ends. Points are halved: all grow to the least number of the range, the better half to twice that, and so
-    on. Every (layer, point) is a task of its own on the same sample of at most ``sample_rows`` rows of train and of valid,
-    about 60 bytes each. The chronological valid part is used as it is, never a random one.
+    A fit's error is known after every tree, so the numbers of trees of a point cost one fit. Every point of every layer is fitted
+    up to its last tree; no point is dropped or ends before. Points use the same sample of at most ``sample_rows`` rows of train and of
+    valid. The chronological valid part is used as it is, never a random one.
     """
-    spark = frame.sparkSession
-    least = min(TreeParams.RANGES["trees"][0], min(p.trees for p in points))
     prepared = boosting.frame_of(search_sample(frame, sample_rows), features, [TARGETS[layer] for layer in layers], key=row_key())
-    parts = prepared.blocks.collect()  # the sample, a few megabytes
-    blocks = [boosting.Block.of(list(row), len(features), len(layers)) for row in parts]
-    order = sorted(range(len(blocks)), key=lambda i: blocks[i].key.tobytes())
-    whole = spark.sparkContext.broadcast(tuple(
-        np.concatenate([getattr(blocks[i], c) for i in order]) if blocks else getattr(boosting.Block.of([b""] * 5, len(features), len(layers)), c)
-        for c in boosting.BLOCK_COLUMNS))
-    tasks = [(i, k, None) for i in range(len(layers)) for k in range(len(points))]
-    params = [[boost_params(layer, p, seed) for p in points] for layer in layers]
-    state = spark.createDataFrame(tasks, "layer int, point int, state binary")
-    errors: dict[tuple[int, int], list[float]] = {}
-    until = least
-    while True:
-        budget = min(until, max(p.trees for p in points))
-        grown = state.repartitionByRange(max(1, len(tasks)), "layer", "point").mapInArrow(
-            boosting.trial(whole, params, prepared.edges, prepared.scales, budget, patience), "layer int, point int, state binary, errors array<double>")
-        grown = materialize(grown)
-        for row in grown.select("layer", "point", "errors").collect():
-            errors[row["layer"], row["point"]] = list(row["errors"])
-        if budget >= max(p.trees for p in points):
-            break
-        best = []
-        for i in range(len(layers)):
-            own = [t for t in tasks if t[0] == i]
-            own.sort(key=lambda t: _staged(errors[t[0], t[1]], least)[1])
-            best += own[:max(1, len(own) // 2)]
-        tasks = best
-        kept = spark.createDataFrame([t[:2] for t in tasks], "layer int, point int")
-        state = grown.select("layer", "point", "state").join(F.broadcast(kept), ["layer", "point"])
-        until *= 2
-    whole.unpersist()
+    models = [(i, boost_params(layer, p, seed)) for i, layer in enumerate(layers) for p in points]
+    errors = boosting.staged_errors(prepared, len(features), models)
+    least = min(TreeParams.RANGES["trees"][0], min(p.trees for p in points))
     found = {}
     for i, layer in enumerate(layers):
-        staged = [(p, *_staged(errors[i, k], min(least, p.trees))) for k, p in enumerate(points)]
+        own = errors[i * len(points):(i + 1) * len(points)]
+        staged = [(p, *_staged(e, least)) for p, e in zip(points, own)]
         found[layer] = _best_first((replace(p, trees=count), error) for p, count, error in staged)
     return found
 
