@@ -354,6 +354,19 @@ def test_search_drops_no_point_and_grows_each_to_its_last_tree(history):
     assert found[0.01][0] == 115
 
 
+def test_search_reads_all_rows_of_train_and_valid(spark):
+    """More rows than the search once took of each part."""
+    n = F.col("id")
+    frame = spark.range(64_000).select(
+        F.concat(F.lit("Z"), n % 7).alias("PUZone"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, CAST(id / 7 AS INT))").alias("ts_hour"),
+        F.when(n < 60_000, "train").otherwise("valid").alias("split"), F.array((n % 97).cast("double"), (n % 13).cast("double")).alias("raw"),
+        ((n * n) % 101 + F.when(n % 97 > 40, 50).otherwise(0)).cast("double").alias("trip_count"))
+    points = [training.TreeParams(trees=2, depth=3, learning_rate=0.5, subsample=0.7)]
+    tried = training.tune_trees(frame, ["a", "b"], ["demand"], points)["demand"]
+    (trees, error), = _staged_by_whole_fits(frame, ["a", "b"], "demand", points, 2)
+    assert (tried[0][0].trees, tried[0][1]) == (trees, pytest.approx(error, abs=1e-9))
+
+
 def test_search_sample_is_whole_or_bounded(history):
     frame = training.training_frame(history)[0]
     both = frame.filter("split <> 'test'").count()

@@ -268,22 +268,24 @@ def _best_first(tried: Iterable[tuple]) -> list[tuple]:
 
 
 def search_sample(frame: DataFrame, rows: int) -> DataFrame:
-    """All train and valid rows where they are no more than ``rows`` each, else about so many of each, by a hash."""
+    """All train and valid rows where they are no more than ``rows`` each, else about so many of each, by a hash. For a caller's
+    own trials: the search here reads all rows."""
     counts = {r["split"]: r["n"] for r in frame.groupBy("split").agg(F.count("*").alias("n")).collect()}
     place = F.xxhash64("PUZone", "ts_hour", F.lit("search")) / F.lit(2.0 ** 64) + 0.5
     share = {part: min(1.0, rows / max(1, counts.get(part, 0))) for part in ("train", "valid")}
     return frame.filter(F.col("split").isin("train", "valid") & (place < F.when(F.col("split") == "train", share["train"]).otherwise(share["valid"])))
 
 
-def tune_trees(frame: DataFrame, features: list[str], layers: list[str], points: list[TreeParams], seed: int = 42, sample_rows: int = 50_000
+def tune_trees(frame: DataFrame, features: list[str], layers: list[str], points: list[TreeParams], seed: int = 42
                ) -> dict[str, list[tuple[TreeParams, float]]]:
     """Points of every layer with their valid mean absolute error, best first; ``trees`` of a point is its best number.
 
     A fit's error is known after every tree, so the numbers of trees of a point cost one fit. Every point of every layer is fitted
-    up to its last tree; no point is dropped or ends before. Points use the same sample of at most ``sample_rows`` rows of train and of
-    valid. The chronological valid part is used as it is, never a random one.
+    on all train rows up to its last tree and measured on all valid rows; no point is dropped or ends before. The chronological valid
+    part is used as it is, never a random one.
     """
-    prepared = boosting.frame_of(search_sample(frame, sample_rows), features, [TARGETS[layer] for layer in layers], key=row_key())
+    rows = frame.filter(F.col("split").isin("train", "valid"))
+    prepared = boosting.frame_of(rows, features, [TARGETS[layer] for layer in layers], key=row_key())
     models = [(i, boost_params(layer, p, seed)) for i, layer in enumerate(layers) for p in points]
     errors = boosting.staged_errors(prepared, len(features), models)
     least = min(TreeParams.RANGES["trees"][0], min(p.trees for p in points))
