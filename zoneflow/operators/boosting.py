@@ -46,7 +46,7 @@ BLOCK_ROWS, INTERVAL, DIRECT_PARTS, SPREAD = 65_536, 20, 16, 32
 WIDTHS, FEW_NODES = (4, 12, 30), 8
 #: Rows of up to this size are fitted in one task each model of a search; histograms of up to this size are asked for in one pass
 #: of a search; and up to this size come to the driver from the tasks of a pass.
-TASK_BYTES, WAVE_BYTES, DIRECT_BYTES = 96 << 20, 64 << 20, 256 << 20
+TASK_BYTES, WAVE_BYTES, DIRECT_BYTES = 48 << 20, 64 << 20, 256 << 20
 #: Residuals of the start become integers up to this size.
 FIXED_POINT = 2.0 ** 26
 TRAIN, VALID = 1, 2
@@ -638,6 +638,7 @@ def error_fitter(target: int, params: BoostParams, edges: list[np.ndarray], base
                 block = Block.of([c[i].as_py() for c in batch.columns], len(edges), len(bases))
                 parts.append((block.bins, block.targets[:, [target]], block.predictions[:, [target]], block.part, block.key))
         block = Block(*map(np.concatenate, zip(*parts)))
+        del parts
         order = np.argsort(block.key, kind="stable")  # the errors' last bits do not depend on how rows are partitioned
         block = Block(*(x[order] for x in vars(block).values()))
         fit = LocalFit(block, 0, params, edges, scales[target])
